@@ -26,8 +26,8 @@ def estimated_bytes(df: DataFrame) -> int:
     estimate is unavailable.
     """
     try:
-        stats = df._jdf.queryExecution().optimizedPlan().stats()
-        return int(str(stats.sizeInBytes().toString()))
+        size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+        return int(size if isinstance(size, int) else str(size.toString()))
     except Exception:  # pragma: no cover - defensive: Connect or plan errors
         return 1 << 62
 

@@ -33,14 +33,16 @@ def classify_rules(
 # --------------------------------------------------------------------------- J5
 
 
-def keyword_table(spark: SparkSession, keywords: Mapping[str, str], labels: Sequence[str]) -> DataFrame:
-    """(label, pos, keyword) rows; ``pos`` is the label's place in ``labels``."""
+def keyword_table(spark: SparkSession, tables: Mapping[str, tuple[Mapping[str, str], Sequence[str]]]) -> DataFrame:
+    """(task, label, pos, keyword) rows from ``{task: (keywords, labels)}``;
+    ``pos`` is the label's place in its label list (the tie-break)."""
     rows = [
-        (label, labels.index(label), kw)
+        (task, label, labels.index(label), kw)
+        for task, (keywords, labels) in tables.items()
         for label, words in keywords.items()
         for kw in dict.fromkeys(words.split())
     ]
-    return spark.createDataFrame(rows, "label string, pos int, keyword string")
+    return spark.createDataFrame(rows, "task string, label string, pos int, keyword string")
 
 
 def tokens(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -56,16 +58,17 @@ def classify_labels(
     id_col: str,
     text_col: str,
     keywords: DataFrame,
-    default: str = "other",
     digits: int = C.LABEL_SCORE_DIGITS,
 ) -> DataFrame:
-    """Best label per row by TF-IDF cosine between the text and each label's keywords.
+    """Best label per (row, task) by TF-IDF cosine between the text and each
+    label's keywords; ``keywords`` holds (task, label, pos, keyword).
 
     ``idf = ln((1+N)/(1+df)) + 1`` over the input texts (1 for an unseen
-    keyword); score = Σ tf·idf² / (‖doc‖·‖label‖); rounded to ``digits``,
-    ties go to the earlier label; no keyword hit gives ``default``.
-    Returns (id, label).  Every step is a shuffle-based aggregate or join;
-    the keyword table is small input data and is broadcast.
+    keyword); score = Σ tf·idf² / (‖doc‖·‖label‖), rounded to ``digits``;
+    ties go to the earlier label.  Returns (id, task, label) for rows with at
+    least one keyword hit.  Every step is a shuffle-based aggregate or join;
+    the keyword table is small input data and is broadcast.  Several label
+    tables (tasks) share one tokenisation and one idf.
     """
     tok = tokens(df, id_col, text_col)
     tf = tok.groupBy(id_col, "token").agg(F.count(F.lit(1)).alias("tf"))
@@ -79,29 +82,25 @@ def classify_labels(
     )
     # idf is unique per token, so the matched rows are bounded by the keyword
     # table and may be broadcast back onto it.
-    seen = idf.join(F.broadcast(keywords), F.col("token") == F.col("keyword")).select(
-        "label", "pos", "keyword", "idf"
+    key = ["task", "label", "pos", "keyword"]
+    seen = idf.join(F.broadcast(keywords), F.col("token") == F.col("keyword")).select(*key, "idf")
+    kw = keywords.join(F.broadcast(seen), key, "left").select(
+        *key, F.coalesce(F.col("idf"), F.lit(1.0)).alias("kw_idf")
     )
-    kw = keywords.join(F.broadcast(seen), ["label", "pos", "keyword"], "left").select(
-        "label", "pos", "keyword", F.coalesce(F.col("idf"), F.lit(1.0)).alias("kw_idf")
-    )
-    label_norm = kw.groupBy("label").agg(F.sqrt(F.sum(F.col("kw_idf") ** 2)).alias("label_norm"))
-    hits = tf_idf.join(F.broadcast(kw.select("label", "pos", "keyword", "kw_idf")), F.col("token") == F.col("keyword"))
+    label_norm = kw.groupBy("task", "label").agg(F.sqrt(F.sum(F.col("kw_idf") ** 2)).alias("label_norm"))
+    hits = tf_idf.join(F.broadcast(kw), F.col("token") == F.col("keyword"))
     scores = (
-        hits.groupBy(id_col, "label", "pos")
+        hits.groupBy(id_col, "task", "label", "pos")
         .agg(F.sum(F.col("tf") * F.col("kw_idf") * F.col("kw_idf")).alias("dot"))
         .join(doc_norm, id_col)
-        .join(F.broadcast(label_norm), "label")
+        .join(F.broadcast(label_norm), ["task", "label"])
         .select(
-            id_col, "label", "pos",
+            id_col, "task", "label", "pos",
             F.round(F.col("dot") / (F.col("doc_norm") * F.col("label_norm")), digits).alias("score"),
         )
     )
-    w = Window.partitionBy(id_col).orderBy(F.desc("score"), F.asc("pos"))
-    best = scores.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").select(id_col, "label")
-    return df.select(id_col).join(best, id_col, "left").select(
-        id_col, F.coalesce(F.col("label"), F.lit(default)).alias("label")
-    )
+    w = Window.partitionBy(id_col, "task").orderBy(F.desc("score"), F.asc("pos"))
+    return scores.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").select(id_col, "task", "label")
 
 
 # --------------------------------------------------------------------------- J7
@@ -117,18 +116,29 @@ def sample_products(dim_product: DataFrame, sample_size: int = C.MODEL_SAMPLE_SI
     )
 
 
-def model_labels(spark: SparkSession, sample: DataFrame) -> DataFrame:
-    """Theme and demand type for the sample by the keyword scorer."""
-    theme = classify_labels(
-        sample, "product_id", "product_name", keyword_table(spark, C.THEME_KEYWORDS, C.PRODUCT_THEMES)
-    ).withColumnRenamed("label", "ai_product_theme")
-    demand = classify_labels(
-        sample, "product_id", "product_name", keyword_table(spark, C.DEMAND_KEYWORDS, C.DEMAND_TYPES)
-    ).withColumnRenamed("label", "ai_demand_type")
+def model_labels(spark: SparkSession, sample: DataFrame, default: str = "other") -> DataFrame:
+    """Theme and demand type for the sample by the keyword scorer (one pass
+    for both label tables); no keyword hit gives ``default``."""
+    kw = keyword_table(
+        spark,
+        {
+            "ai_product_theme": (C.THEME_KEYWORDS, C.PRODUCT_THEMES),
+            "ai_demand_type": (C.DEMAND_KEYWORDS, C.DEMAND_TYPES),
+        },
+    )
+    best = classify_labels(sample, "product_id", "product_name", kw)
+    wide = best.groupBy("product_id").agg(
+        *[F.max(F.when(F.col("task") == t, F.col("label"))).alias(t) for t in ("ai_product_theme", "ai_demand_type")]
+    )
     return (
-        theme.join(demand, "product_id")
-        .withColumn("classification_method", F.lit(C.METHOD_MODEL))
-        .withColumn("ai_classified_ts", F.current_timestamp())
+        sample.select("product_id")
+        .join(wide, "product_id", "left")
+        .select(
+            "product_id",
+            *[F.coalesce(F.col(t), F.lit(default)).alias(t) for t in ("ai_product_theme", "ai_demand_type")],
+            F.lit(C.METHOD_MODEL).alias("classification_method"),
+            F.current_timestamp().alias("ai_classified_ts"),
+        )
     )
 
 

@@ -8,13 +8,15 @@ from any ``RawTables`` (e.g. a bronze layer read from CSV landing files).
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
 from larder import constants as C
 from larder.operators import classify, gold, silver
-from larder.sources.fixture import RawTables, raw_tables
+from larder.session import scratch_dir
+from larder.sources.fixture import RawTables, fixture_frames, raw_tables, split_lines
 
 AUDIT_COLUMNS = {
     "silver_updated_ts", "gold_updated_ts", "ai_classified_ts", "quarantine_ts",
@@ -28,7 +30,15 @@ def comparable(df: DataFrame) -> DataFrame:
 
 
 class Lineage:
-    """All datasets of one run, built on demand."""
+    """All datasets of one run, built on demand.
+
+    With ``materialize=True`` (the default) each layer dataset is written as a
+    Parquet table under the session's shared checkpoint folder and read back
+    before the next layer uses it, as the layered run does with its tables.
+    That cuts the lineage (a lost executor recomputes from the last written
+    layer, not from the raw inputs), keeps every plan short, and gives the
+    next layer real file-size statistics for its broadcast checks.
+    """
 
     def __init__(
         self,
@@ -38,6 +48,9 @@ class Lineage:
         sample_size: int = C.MODEL_SAMPLE_SIZE,
         null_safe_inventory: bool = False,
         min_co_purchase: int = C.MIN_CO_PURCHASE,
+        materialize: bool = True,
+        root: str | None = None,
+        sink: Callable[[str, Callable[[], DataFrame]], DataFrame] | None = None,
     ) -> None:
         if raw is None and sf_dir is None:
             raise ValueError("give sf_dir or raw")
@@ -47,20 +60,45 @@ class Lineage:
         self.sample_size = sample_size
         self.null_safe_inventory = null_safe_inventory
         self.min_co_purchase = min_co_purchase
+        self.materialize = materialize
+        self._root = root
+        self._sink = sink
+
+    @cached_property
+    def root(self) -> str:
+        return self._root or scratch_dir(self.spark, "lineage")
+
+    def _layer(self, name: str, build: Callable[[], DataFrame], partition_by: list[str] | None = None) -> DataFrame:
+        if self._sink is not None:
+            return self._sink(name, build)
+        if not self.materialize:
+            return build()
+        path = f"{self.root}/{name}"
+        build().write.mode("overwrite").parquet(path, partitionBy=partition_by)
+        return self.spark.read.parquet(path)
 
     # raw / bronze ------------------------------------------------------------
     @cached_property
     def raw(self) -> RawTables:
-        return self._raw if self._raw is not None else raw_tables(self.spark, self.sf_dir)
+        if self._raw is not None:
+            return self._raw
+        if not self.materialize:
+            return raw_tables(self.spark, self.sf_dir)
+        frames = fixture_frames(self.spark, self.sf_dir)
+        written = {n: self._layer(f"raw_{n}", lambda d=d: d) for n, d in frames.items() if n != "order_lines"}
+        written["order_lines"] = self._layer(
+            "raw_order_lines", lambda: frames["order_lines"], partition_by=["eval_set"]
+        )
+        return split_lines(written)
 
     # silver ------------------------------------------------------------------
     @cached_property
     def dim_aisle(self) -> DataFrame:
-        return silver.dim_aisle(self.raw.aisles)
+        return self._layer("dim_aisle", lambda: silver.dim_aisle(self.raw.aisles))
 
     @cached_property
     def dim_department(self) -> DataFrame:
-        return silver.dim_department(self.raw.departments)
+        return self._layer("dim_department", lambda: silver.dim_department(self.raw.departments))
 
     @cached_property
     def products_clean(self) -> DataFrame:
@@ -72,11 +110,11 @@ class Lineage:
 
     @cached_property
     def quarantine(self) -> DataFrame:
-        return silver.quarantine_products(self.products_clean)
+        return self._layer("quarantine", lambda: silver.quarantine_products(self.products_clean))
 
     @cached_property
     def dim_product(self) -> DataFrame:
-        return silver.build_dim_product(self.valid_products, self.dim_aisle, self.dim_department)
+        return self._layer("dim_product", lambda: silver.build_dim_product(self.valid_products, self.dim_aisle, self.dim_department))
 
     @cached_property
     def sample(self) -> DataFrame:
@@ -84,11 +122,11 @@ class Lineage:
 
     @cached_property
     def model_labels(self) -> DataFrame:
-        return classify.model_labels(self.spark, self.sample)
+        return self._layer("model_labels", lambda: classify.model_labels(self.spark, self.sample))
 
     @cached_property
     def dim_product_ai(self) -> DataFrame:
-        return classify.classify_overlay(self.dim_product, self.model_labels)
+        return self._layer("dim_product_ai", lambda: classify.classify_overlay(self.dim_product, self.model_labels))
 
     @cached_property
     def attributes(self) -> DataFrame:
@@ -97,20 +135,23 @@ class Lineage:
     @cached_property
     def fact(self) -> DataFrame:
         r = self.raw
-        return silver.build_fact(r.order_products_prior, r.order_products_train, r.orders, self.dim_product_ai)
+        return self._layer(
+            "fact",
+            lambda: silver.build_fact(r.order_products_prior, r.order_products_train, r.orders, self.dim_product_ai),
+        )
 
     @cached_property
     def inventory(self) -> DataFrame:
-        return silver.inventory_snapshots(self.fact, self.attributes, null_safe=self.null_safe_inventory)
+        return self._layer("inventory", lambda: silver.inventory_snapshots(self.fact, self.attributes, null_safe=self.null_safe_inventory))
 
     # gold --------------------------------------------------------------------
     @cached_property
     def demand(self) -> DataFrame:
-        return gold.product_demand(self.fact, self.attributes)
+        return self._layer("demand", lambda: gold.product_demand(self.fact, self.attributes))
 
     @cached_property
     def reorder(self) -> DataFrame:
-        return gold.reorder_metrics(self.fact, self.attributes)
+        return self._layer("reorder", lambda: gold.reorder_metrics(self.fact, self.attributes))
 
     @cached_property
     def latest_inventory(self) -> DataFrame:
@@ -122,15 +163,15 @@ class Lineage:
 
     @cached_property
     def stockout(self) -> DataFrame:
-        return gold.stockout_risk(self.latest_inventory, self.demand_summary)
+        return self._layer("stockout", lambda: gold.stockout_risk(self.latest_inventory, self.demand_summary))
 
     @cached_property
     def overstock(self) -> DataFrame:
-        return gold.overstock_alerts(self.latest_inventory, self.demand_summary)
+        return self._layer("overstock", lambda: gold.overstock_alerts(self.latest_inventory, self.demand_summary))
 
     @cached_property
     def pairs(self) -> DataFrame:
-        return gold.basket_affinity(self.fact, self.attributes, self.min_co_purchase)
+        return self._layer("pairs", lambda: gold.basket_affinity(self.fact, self.attributes, self.min_co_purchase))
 
     def table(self, name: str) -> DataFrame:
         """Dataset by its table name (as written by the layered run)."""

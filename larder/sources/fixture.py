@@ -150,22 +150,45 @@ def fixture_departments(pids: DataFrame) -> DataFrame:
     )
 
 
-def raw_tables(
+def fixture_frames(
     spark: SparkSession,
     sf_dir: str,
     modulus: int = C.FIXTURE_PRODUCT_MODULUS,
     divisor: int = C.FIXTURE_PRODUCT_DIVISOR,
-) -> RawTables:
-    """All six raw entities derived from the test tables at ``sf_dir``."""
+) -> dict[str, DataFrame]:
+    """orders, all order lines (with ``eval_set``), products, aisles, departments."""
     orders = fixture_orders(spark, sf_dir)
-    lines = fixture_order_lines(spark, sf_dir, orders, modulus, divisor)
-    cols = ["order_id", "product_id", "add_to_cart_order", "reordered"]
     pids = fixture_product_ids(spark, sf_dir, modulus, divisor)
+    return {
+        "orders": orders,
+        "order_lines": fixture_order_lines(spark, sf_dir, orders, modulus, divisor),
+        "products": fixture_products(pids),
+        "aisles": fixture_aisles(pids),
+        "departments": fixture_departments(pids),
+    }
+
+
+LINE_COLUMNS = ["order_id", "product_id", "add_to_cart_order", "reordered"]
+
+
+def split_lines(frames: dict[str, DataFrame]) -> RawTables:
+    """RawTables from ``fixture_frames`` output: lines split by their order's eval_set."""
+    lines = frames["order_lines"]
     return RawTables(
-        orders=orders,
-        order_products_prior=lines.filter(F.col("eval_set") == "prior").select(*cols),
-        order_products_train=lines.filter(F.col("eval_set") == "train").select(*cols),
-        products=fixture_products(pids),
-        aisles=fixture_aisles(pids),
-        departments=fixture_departments(pids),
+        orders=frames["orders"],
+        order_products_prior=lines.filter(F.col("eval_set") == "prior").select(*LINE_COLUMNS),
+        order_products_train=lines.filter(F.col("eval_set") == "train").select(*LINE_COLUMNS),
+        products=frames["products"],
+        aisles=frames["aisles"],
+        departments=frames["departments"],
     )
+
+
+def raw_tables(
+    spark: SparkSession,
+    sf_dir: str,
+    modulus: int = C.FIXTURE_PRODUCT_MODULUS,
+    divisor: int = C.FIXTURE_PRODUCT_DIVISOR,
+) -> RawTables:
+    """All six raw entities derived from the test tables at ``sf_dir``."""
+    return split_lines(fixture_frames(spark, sf_dir, modulus, divisor))
