@@ -462,6 +462,7 @@ FINAL["landing_report"] = f"""
       SELECT c.entity, f.file_name, c.row_count FROM ({FINAL['raw_row_counts']}) c
       JOIN (VALUES {", ".join(f"('{e}', '{C.RAW_FILE_NAMES[e]}')" for e in C.RAW_ENTITIES)}) AS f(entity, file_name)
         ON c.entity = f.entity)"""
+FINAL["stream_bronze_counts"] = FINAL["raw_row_counts"]
 FINAL["bronze_counts"] = f"""
     SELECT 'bronze_' || entity AS table_name, row_count FROM ({FINAL['raw_row_counts']})"""
 _VALIDATION_SOURCES = [

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from larder import constants as C
+from larder.functions import join_small
 from larder.operators import gold, maintenance, silver, validate
 from larder.operators.classify import classify_rules
 from larder.plans import dashboard, layers, medallion
@@ -90,6 +91,24 @@ def q_bronze_counts(spark, sf_dir):
     return res
 
 
+def q_stream_bronze_counts(spark, sf_dir):
+    """Landed files ingested by an availableNow stream, then re-run: the
+    second run finds no new files, so nothing is ingested twice."""
+    from larder.streaming import ingest_new_files
+
+    root = _landed(spark, sf_dir)
+    out = scratch_dir(spark, "stream-bronze")
+    ckpt = scratch_dir(spark, "stream-checkpoints")
+    paths = ingest_new_files(spark, root, out, ckpt)
+    ingest_new_files(spark, root, out, ckpt)
+    parts = [spark.read.parquet(p).agg(F.count(F.lit(1)).alias("row_count")).select(
+        F.lit(e).alias("entity"), "row_count") for e, p in paths.items()]
+    res = parts[0]
+    for p in parts[1:]:
+        res = res.unionByName(p)
+    return res
+
+
 def q_final_validation(spark, sf_dir):
     out = scratch_dir(spark, "layers")
     medallion.run_layers(spark, _landed(spark, sf_dir), out)
@@ -156,8 +175,8 @@ def q_join_left_lookup(spark, sf_dir):
     L = _lin(spark, sf_dir)
     a = L.dim_aisle.select("aisle_id", "aisle")
     d = L.dim_department.select("department_id", "department")
-    return L.valid_products.join(F.broadcast(a), "aisle_id", "left").join(F.broadcast(d), "department_id", "left") \
-        .select("product_id", "product_name", "aisle_id", "aisle", "department_id", "department")
+    joined = join_small(join_small(L.valid_products, a, "aisle_id"), d, "department_id")
+    return joined.select("product_id", "product_name", "aisle_id", "aisle", "department_id", "department")
 
 
 def q_rule_product_theme(spark, sf_dir):
@@ -250,6 +269,7 @@ QUERIES: dict[str, Query] = {
     "landing_latest_partition": q_landing_latest_partition,
     "landing_report": q_landing_report,
     "bronze_counts": q_bronze_counts,
+    "stream_bronze_counts": q_stream_bronze_counts,
     # 2.2 sinks, catalog, maintenance
     "write_read_roundtrip": q_write_read_roundtrip,
     "catalog_listing": q_catalog_listing,

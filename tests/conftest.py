@@ -13,10 +13,9 @@ SF_SMALL = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="session")
 def spark():
-    s = local_session(4, app="larder-tests", **{
-        "spark.sql.shuffle.partitions": "8",
-        "spark.checkpoint.dir": tempfile.mkdtemp(prefix="larder-tests-"),
-    })
+    s = local_session(4, app="larder-tests", **{"spark.sql.shuffle.partitions": "8"})
+    if not s.conf.get("spark.checkpoint.dir", None):  # only where the platform left it unset
+        s.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="larder-tests-"))
     yield s
     s.stop()
 
