@@ -269,3 +269,61 @@ def inventory_snapshots(
         .select(*INVENTORY_COLUMNS)
     )
     return _with_ts(out, "silver_updated_ts")
+
+
+def latest_inventory_direct(
+    fact: DataFrame,
+    attributes: DataFrame,
+    initial: int = C.INITIAL_INVENTORY,
+    every: int = C.RESTOCK_EVERY,
+    qty: int = C.RESTOCK_QTY,
+    reorder_point: int = C.REORDER_POINT,
+    null_safe: bool = False,
+) -> DataFrame:
+    """The last snapshot of ``inventory_snapshots`` without building the grid.
+
+    At the highest snapshot number every cumulative sum covers all snapshot
+    numbers, so the row is: units = the product's total, restocks = ``qty``
+    times the multiples of ``every`` among the distinct order numbers, stock
+    = ``greatest(initial + restocks − units, 0)``.  One partial aggregate per
+    product over the fact's ids instead of products × order numbers rows.
+    """
+    ids = fact.filter(F.col("product_id").isNotNull())
+    numbers = fact.filter(F.col("order_number").isNotNull()).select("order_number").distinct()
+    restocks = numbers.select(
+        F.max("order_number").alias("latest"),
+        F.count(F.when(F.col("order_number") % every == 0, True)).alias("n_restocks"),
+    )
+    latest = restocks.select("latest").scalar()
+    n_restocks = restocks.select("n_restocks").scalar()
+    at_latest = F.col("order_number") == latest
+    totals = ids.groupBy("product_id").agg(
+        F.count(F.lit(1)).alias("units_total"),
+        F.count(F.when(at_latest, True)).alias("last_units"),
+        F.sum(F.when(at_latest, F.col("reordered"))).alias("last_reordered"),
+    )
+    attrs = attributes.select("product_id", *PRODUCT_ATTRIBUTES)
+    complete = F.lit(True)
+    if not null_safe:
+        for c in PRODUCT_ATTRIBUTES:
+            complete = complete & F.col(c).isNotNull()
+    sold_latest = F.when(complete, F.col("last_units")).otherwise(F.lit(0).cast("long"))
+    cum_sold = F.when(complete, F.col("units_total")).otherwise(F.lit(0).cast("long"))
+    cum_restock = (F.lit(qty) * n_restocks).cast("long")
+    out = (
+        join_small(totals, attrs, "product_id", "left")
+        .select(
+            latest.alias("inventory_snapshot_number"),
+            "product_id",
+            *PRODUCT_ATTRIBUTES,
+            F.coalesce(sold_latest, F.lit(0).cast("long")).alias("units_sold"),
+            F.coalesce(F.when(complete, F.col("last_reordered")), F.lit(0).cast("long")).alias("reordered_units"),
+            F.lit(initial).alias("initial_inventory_qty"),
+            F.when(latest % every == 0, F.lit(qty)).otherwise(F.lit(0)).alias("restock_qty"),
+            cum_sold.alias("cumulative_units_sold"),
+            cum_restock.alias("cumulative_restock_qty"),
+            F.greatest(F.lit(initial) + cum_restock - cum_sold, F.lit(0)).alias("ending_inventory_qty"),
+            F.lit(reorder_point).alias("reorder_point"),
+        )
+    )
+    return _with_ts(out, "silver_updated_ts")

@@ -155,7 +155,9 @@ class Lineage:
 
     @cached_property
     def latest_inventory(self) -> DataFrame:
-        return gold.latest_stock(self.inventory)
+        # The last snapshot in closed form (equal to filtering the grid at its
+        # highest number, which ``gold.latest_stock`` does; tested equal).
+        return silver.latest_inventory_direct(self.fact, self.attributes, null_safe=self.null_safe_inventory)
 
     @cached_property
     def demand_summary(self) -> DataFrame:

@@ -225,7 +225,8 @@ def q_distinct_order_numbers(spark, sf_dir):
 
 
 def q_latest_snapshot(spark, sf_dir):
-    return _lin(spark, sf_dir).latest_inventory.select("inventory_snapshot_number", "product_id", "ending_inventory_qty")
+    return gold.latest_stock(_lin(spark, sf_dir).inventory).select(
+        "inventory_snapshot_number", "product_id", "ending_inventory_qty")
 
 
 def q_latest_demand(spark, sf_dir):

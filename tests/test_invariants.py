@@ -44,3 +44,14 @@ def test_overlay_precedence(lineage):
     ai = lineage.dim_product_ai
     n_model = ai.filter(F.col("classification_method") == "keyword_tfidf_model").count()
     assert n_model == min(lineage.sample_size, lineage.dim_product.filter("product_name IS NOT NULL").count())
+
+
+def test_latest_inventory_direct_equals_grid_filter(lineage):
+    from larder.operators import gold, silver
+    from larder.plans.lineage import comparable
+    for null_safe in (False, True):
+        grid = silver.inventory_snapshots(lineage.fact, lineage.attributes, null_safe=null_safe)
+        a = sorted(map(tuple, comparable(gold.latest_stock(grid)).collect()), key=repr)
+        b = sorted(map(tuple, comparable(silver.latest_inventory_direct(
+            lineage.fact, lineage.attributes, null_safe=null_safe)).collect()), key=repr)
+        assert a == b
