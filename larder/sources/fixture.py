@@ -11,10 +11,11 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from larder import constants as C
+from larder.operators.sequence import sequence_within
 
 
 def product_of_part(partkey: str | Column, modulus: int, divisor: int) -> Column:
@@ -45,23 +46,20 @@ def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def fixture_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """orders: per-user numbering, gap to the previous order, last = train.
 
-    One window stage partitioned by customer: row_number, lag and lead share
-    one exchange and one sort.
+    Numbering, previous date and last-order flag come from one pass of
+    ``sequence_within`` (a plain window for ordinary customers; a customer
+    with a huge history is split over several tasks).
     """
     o = _read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
-    w = Window.partitionBy("o_custkey").orderBy("o_orderdate", "o_orderkey")
-    return o.select(
+    seq = sequence_within(o, ["o_custkey"], ["o_orderdate", "o_orderkey"], lag=["o_orderdate"])
+    return seq.select(
         F.col("o_orderkey").alias("order_id"),
         F.col("o_custkey").alias("user_id"),
-        F.when(F.lead("o_orderkey").over(w).isNull(), F.lit("train"))
-        .otherwise(F.lit("prior"))
-        .alias("eval_set"),
-        F.row_number().over(w).alias("order_number"),
+        F.when(F.col("_is_last"), F.lit("train")).otherwise(F.lit("prior")).alias("eval_set"),
+        F.col("_seq").alias("order_number"),
         (F.col("o_orderkey") % 7).alias("order_dow"),
         (F.col("o_orderkey") % 24).alias("order_hour_of_day"),
-        F.datediff(F.col("o_orderdate"), F.lag("o_orderdate").over(w))
-        .cast("double")
-        .alias("days_since_prior_order"),
+        F.datediff(F.col("o_orderdate"), F.col("_prev_o_orderdate")).cast("double").alias("days_since_prior_order"),
     )
 
 
@@ -74,21 +72,21 @@ def fixture_order_lines(
 ) -> DataFrame:
     """All order lines with cart position, reorder flag and their order's eval_set.
 
-    The cart-position window and the join with orders share the exchange on
-    the order key.  ``reordered`` compares with the user's first order of the
+    Cart positions come from ``sequence_within`` (hot orders are split).
+    ``reordered`` compares with the user's first order of the
     product, computed as an aggregate (map-side combined) joined back, so a
     hot (user, product) group is split by AQE rather than sorted in one task.
     """
     li = _read(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_shipdate", "l_extendedprice"
     )
-    w_cart = Window.partitionBy("l_orderkey").orderBy(
-        "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_extendedprice"
+    carted = sequence_within(
+        li, ["l_orderkey"], ["l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_extendedprice"]
     )
-    lines = li.select(
+    lines = carted.select(
         F.col("l_orderkey").alias("order_id"),
         product_of_part("l_partkey", modulus, divisor).cast("long").alias("product_id"),
-        F.row_number().over(w_cart).alias("add_to_cart_order"),
+        F.col("_seq").alias("add_to_cart_order"),
     )
     with_orders = lines.join(orders.select("order_id", "user_id", "order_number", "eval_set"), "order_id")
     first_seen = with_orders.groupBy("user_id", "product_id").agg(
