@@ -200,7 +200,9 @@ def basket_lines(fact: DataFrame) -> DataFrame:
     return fact.filter(F.col("product_id").isNotNull()).select("order_id", "product_id")
 
 
-def co_purchase_counts(lines: DataFrame, min_count: int = C.MIN_CO_PURCHASE) -> DataFrame:
+def co_purchase_counts(
+    lines: DataFrame, min_count: int = C.MIN_CO_PURCHASE, product_counts: DataFrame | None = None
+) -> DataFrame:
     """(product_id_a < product_id_b, co_purchase_count ≥ min_count), ids only.
 
     A pair seen in ``min_count`` orders needs each product in at least that
@@ -212,9 +214,16 @@ def co_purchase_counts(lines: DataFrame, min_count: int = C.MIN_CO_PURCHASE) ->
     part of its condition; each order then adds each pair once, so a plain
     count equals the distinct-order count.  A hot product or a very large
     basket is a skewed join key, split over several tasks by AQE skew-join.
+
+    ``product_counts`` (product_id, n ≥ distinct orders of the product), e.g.
+    from the written reorder metrics, replaces the count over the lines: its
+    real size lets the prune be a checked broadcast, which keeps the lines in
+    their ``order_id`` buckets (no shuffle before the self-join).
     """
-    frequent = lines.groupBy("product_id").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= min_count)
-    kept = lines.join(frequent.select("product_id"), "product_id", "left_semi").distinct()
+    if product_counts is None:
+        product_counts = lines.groupBy("product_id").agg(F.count(F.lit(1)).alias("n"))
+    frequent = product_counts.filter(F.col("n") >= min_count).select("product_id")
+    kept = join_small(lines, frequent, "product_id", "left_semi").distinct()
     a = kept.select("order_id", F.col("product_id").alias("product_id_a"))
     b = kept.select("order_id", F.col("product_id").alias("product_id_b"))
     pairs = a.join(b, (a["order_id"] == b["order_id"]) & (F.col("product_id_a") < F.col("product_id_b")))
@@ -225,10 +234,15 @@ def co_purchase_counts(lines: DataFrame, min_count: int = C.MIN_CO_PURCHASE) ->
     )
 
 
-def basket_affinity(fact: DataFrame, attributes: DataFrame, min_count: int = C.MIN_CO_PURCHASE) -> DataFrame:
+def basket_affinity(
+    fact: DataFrame,
+    attributes: DataFrame,
+    min_count: int = C.MIN_CO_PURCHASE,
+    product_counts: DataFrame | None = None,
+) -> DataFrame:
     """Product pairs bought together in at least ``min_count`` orders, with the
     attributes of both sides attached after counting."""
-    counts = co_purchase_counts(basket_lines(fact), min_count)
+    counts = co_purchase_counts(basket_lines(fact), min_count, product_counts)
     attrs = attributes.select("product_id", *PAIR_ATTRIBUTES)
     side_a = attrs.select(F.col("product_id").alias("product_id_a"), *[F.col(c).alias(f"{c}_a") for c in PAIR_ATTRIBUTES])
     side_b = attrs.select(F.col("product_id").alias("product_id_b"), *[F.col(c).alias(f"{c}_b") for c in PAIR_ATTRIBUTES])

@@ -12,12 +12,16 @@ from collections.abc import Callable
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from larder import constants as C
 from larder.operators import classify, gold, silver
+from larder.plans.layers import write_bucketed
 from larder.session import scratch_dir
 from larder.sources.fixture import RawTables, fixture_frames, raw_tables, split_lines
 
+SCRATCH_DB = "larder_scratch"
+
 AUDIT_COLUMNS = {
     "silver_updated_ts", "gold_updated_ts", "ai_classified_ts", "quarantine_ts",
     "bronze_ingestion_ts", "valid_from", "valid_to", "source_file",
@@ -68,14 +72,26 @@ class Lineage:
     def root(self) -> str:
         return self._root or scratch_dir(self.spark, "lineage")
 
-    def _layer(self, name: str, build: Callable[[], DataFrame], partition_by: list[str] | None = None) -> DataFrame:
+    def _layer(
+        self,
+        name: str,
+        build: Callable[[], DataFrame],
+        partition_by: list[str] | None = None,
+        bucket_by: str | None = None,
+    ) -> DataFrame:
         if self._sink is not None:
             return self._sink(name, build)
         if not self.materialize:
             return build()
         path = f"{self.root}/{name}"
-        build().write.mode("overwrite").parquet(path, partitionBy=partition_by)
-        return self.spark.read.parquet(path)
+        if bucket_by is None:
+            build().write.mode("overwrite").parquet(path, partitionBy=partition_by)
+            return self.spark.read.parquet(path)
+        # bucketed layout needs a catalog table (bucket metadata lives there)
+        table = f"{SCRATCH_DB}.t_{self.root.rstrip('/').rsplit('/', 1)[-1]}_{name}"
+        self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {SCRATCH_DB} LOCATION '{self.root}/_db'")
+        write_bucketed(build(), table, path, bucket_by)
+        return self.spark.table(table)
 
     # raw / bronze ------------------------------------------------------------
     @cached_property
@@ -138,6 +154,7 @@ class Lineage:
         return self._layer(
             "fact",
             lambda: silver.build_fact(r.order_products_prior, r.order_products_train, r.orders, self.dim_product_ai),
+            bucket_by="order_id",
         )
 
     @cached_property
@@ -173,7 +190,11 @@ class Lineage:
 
     @cached_property
     def pairs(self) -> DataFrame:
-        return self._layer("pairs", lambda: gold.basket_affinity(self.fact, self.attributes, self.min_co_purchase))
+        counts = self.reorder.select("product_id", F.col("total_units_ordered").alias("n"))
+        return self._layer(
+            "pairs",
+            lambda: gold.basket_affinity(self.fact, self.attributes, self.min_co_purchase, product_counts=counts),
+        )
 
     def table(self, name: str) -> DataFrame:
         """Dataset by its table name (as written by the layered run)."""

@@ -35,6 +35,9 @@ LAYER_TABLES = {
     "overstock": ("gold", "overstock_alerts"),
     "pairs": ("gold", "basket_affinity"),
 }
+# The fact is bucketed on order_id: the basket self-join then reads bucket i
+# on both sides in one task, with no shuffle of the order lines.
+BUCKETED = {"fact": "order_id"}
 RUN_ORDER = [
     "dim_aisle", "dim_department", "dim_product", "quarantine", "dim_product_ai", "fact",
     "demand", "reorder", "inventory", "pairs", "stockout", "overstock",
@@ -65,7 +68,8 @@ def run_layers(
             return spark.read.format(fmt).load(path)
         layer, table = LAYER_TABLES[name]
         qualified = f"{db[layer]}.{table}"
-        counts[qualified] = write_layer(build(), qualified, f"{out_root}/{layer}/{table}", fmt)
+        bucket = BUCKETED.get(name)
+        counts[qualified] = write_layer(build(), qualified, f"{out_root}/{layer}/{table}", fmt, bucket_by=bucket)
         return spark.table(qualified)
 
     lineage = Lineage(spark, raw=raw, sink=sink)
