@@ -198,6 +198,7 @@ def inventory_snapshots(
     qty: int = C.RESTOCK_QTY,
     reorder_point: int = C.REORDER_POINT,
     null_safe: bool = False,
+    demand: DataFrame | None = None,
 ) -> DataFrame:
     """Simulated stock per product at each snapshot number (= order number).
 
@@ -216,11 +217,18 @@ def inventory_snapshots(
     hash-partitioned by product id, the sorted snapshot numbers (one small
     array from a scalar subquery) are exploded in place, and the cumulative
     window reuses that partitioning, so the grid is never shuffled.
+
+    ``demand`` (the written daily_product_demand: units and reordered units
+    per order number and product) replaces re-aggregating the fact.
     """
-    ids = fact.filter(F.col("product_id").isNotNull())
+    if demand is None:
+        demand = (
+            fact.filter(F.col("product_id").isNotNull())
+            .groupBy("product_id", "order_number")
+            .agg(F.count(F.lit(1)).alias("units_sold"), F.sum("reordered").alias("reordered_units"))
+        )
     per_product = (
-        ids.groupBy("product_id", "order_number")
-        .agg(F.count(F.lit(1)).alias("units_sold"), F.sum("reordered").alias("reordered_units"))
+        demand.select("product_id", "order_number", "units_sold", "reordered_units")
         .groupBy("product_id")
         .agg(
             F.map_from_entries(
@@ -279,6 +287,8 @@ def latest_inventory_direct(
     qty: int = C.RESTOCK_QTY,
     reorder_point: int = C.REORDER_POINT,
     null_safe: bool = False,
+    reorder: DataFrame | None = None,
+    demand: DataFrame | None = None,
 ) -> DataFrame:
     """The last snapshot of ``inventory_snapshots`` without building the grid.
 
@@ -296,12 +306,22 @@ def latest_inventory_direct(
     )
     latest = restocks.select("latest").scalar()
     n_restocks = restocks.select("n_restocks").scalar()
-    at_latest = F.col("order_number") == latest
-    totals = ids.groupBy("product_id").agg(
-        F.count(F.lit(1)).alias("units_total"),
-        F.count(F.when(at_latest, True)).alias("last_units"),
-        F.sum(F.when(at_latest, F.col("reordered"))).alias("last_reordered"),
-    )
+    if reorder is not None and demand is not None:
+        at_latest = demand.filter(F.col("order_number") == latest).select(
+            "product_id", F.col("units_sold").alias("last_units"), F.col("reordered_units").alias("last_reordered")
+        )
+        totals = join_small(
+            reorder.select("product_id", F.col("total_units_ordered").alias("units_total")),
+            at_latest, "product_id", "left",
+        ).select("product_id", "units_total", F.coalesce("last_units", F.lit(0).cast("long")).alias("last_units"),
+                 "last_reordered")
+    else:
+        is_latest = F.col("order_number") == latest
+        totals = ids.groupBy("product_id").agg(
+            F.count(F.lit(1)).alias("units_total"),
+            F.count(F.when(is_latest, True)).alias("last_units"),
+            F.sum(F.when(is_latest, F.col("reordered"))).alias("last_reordered"),
+        )
     attrs = attributes.select("product_id", *PRODUCT_ATTRIBUTES)
     complete = F.lit(True)
     if not null_safe:

@@ -159,7 +159,12 @@ class Lineage:
 
     @cached_property
     def inventory(self) -> DataFrame:
-        return self._layer("inventory", lambda: silver.inventory_snapshots(self.fact, self.attributes, null_safe=self.null_safe_inventory))
+        return self._layer(
+            "inventory",
+            lambda: silver.inventory_snapshots(
+                self.fact, self.attributes, null_safe=self.null_safe_inventory, demand=self.demand
+            ),
+        )
 
     # gold --------------------------------------------------------------------
     @cached_property
@@ -174,7 +179,9 @@ class Lineage:
     def latest_inventory(self) -> DataFrame:
         # The last snapshot in closed form (equal to filtering the grid at its
         # highest number, which ``gold.latest_stock`` does; tested equal).
-        return silver.latest_inventory_direct(self.fact, self.attributes, null_safe=self.null_safe_inventory)
+        return silver.latest_inventory_direct(
+            self.fact, self.attributes, null_safe=self.null_safe_inventory, reorder=self.reorder, demand=self.demand
+        )
 
     @cached_property
     def demand_summary(self) -> DataFrame:

@@ -54,4 +54,11 @@ def test_latest_inventory_direct_equals_grid_filter(lineage):
         a = sorted(map(tuple, comparable(gold.latest_stock(grid)).collect()), key=repr)
         b = sorted(map(tuple, comparable(silver.latest_inventory_direct(
             lineage.fact, lineage.attributes, null_safe=null_safe)).collect()), key=repr)
-        assert a == b
+        c = sorted(map(tuple, comparable(silver.latest_inventory_direct(
+            lineage.fact, lineage.attributes, null_safe=null_safe, reorder=lineage.reorder,
+            demand=lineage.demand)).collect()), key=repr)
+        grid2 = silver.inventory_snapshots(lineage.fact, lineage.attributes, null_safe=null_safe,
+                                           demand=lineage.demand)
+        assert sorted(map(tuple, comparable(grid2).collect()), key=repr) == \
+            sorted(map(tuple, comparable(grid).collect()), key=repr)
+        assert a == b == c
