@@ -18,7 +18,17 @@ from larder import constants as C
 from larder.operators import classify, gold, silver
 from larder.plans.layers import write_bucketed
 from larder.session import scratch_dir
-from larder.sources.fixture import RawTables, fixture_frames, raw_tables, split_lines
+from larder.sources.fixture import (
+    RawTables,
+    fixture_aisles,
+    fixture_departments,
+    fixture_order_lines,
+    fixture_orders,
+    fixture_product_ids,
+    fixture_products,
+    raw_tables,
+    split_lines,
+)
 
 SCRATCH_DB = "larder_scratch"
 
@@ -100,11 +110,21 @@ class Lineage:
             return self._raw
         if not self.materialize:
             return raw_tables(self.spark, self.sf_dir)
-        frames = fixture_frames(self.spark, self.sf_dir)
-        written = {n: self._layer(f"raw_{n}", lambda d=d: d) for n, d in frames.items() if n != "order_lines"}
-        written["order_lines"] = self._layer(
-            "raw_order_lines", lambda: frames["order_lines"], partition_by=["eval_set"]
-        )
+        # orders first; the lines are derived from the written orders, so
+        # nothing upstream is computed twice
+        orders = self._layer("raw_orders", lambda: fixture_orders(self.spark, self.sf_dir))
+        pids = fixture_product_ids(self.spark, self.sf_dir)
+        written = {
+            "orders": orders,
+            "order_lines": self._layer(
+                "raw_order_lines",
+                lambda: fixture_order_lines(self.spark, self.sf_dir, orders),
+                partition_by=["eval_set"],
+            ),
+            "products": self._layer("raw_products", lambda: fixture_products(pids)),
+            "aisles": self._layer("raw_aisles", lambda: fixture_aisles(pids)),
+            "departments": self._layer("raw_departments", lambda: fixture_departments(pids)),
+        }
         return split_lines(written)
 
     # silver ------------------------------------------------------------------

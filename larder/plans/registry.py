@@ -20,7 +20,6 @@ from larder.plans import dashboard, layers, medallion
 from larder.plans.lineage import Lineage, comparable
 from larder.session import scratch_dir
 from larder.sources import bronze, landing
-from larder.sources.fixture import fixture_frames, split_lines
 
 Query = Callable[[SparkSession, str], DataFrame]
 LANDING_DATE = "2024-01-01"
@@ -45,7 +44,7 @@ def _from(attr: str, *cols: str) -> Query:
 def _landed(spark: SparkSession, sf_dir: str, dates: tuple[str, ...] = (LANDING_DATE,)) -> str:
     """Land the six raw entities (derived from the test tables) as CSV."""
     root = scratch_dir(spark, "landing")
-    tables = split_lines(fixture_frames(spark, sf_dir)).as_dict()
+    tables = _lin(spark, sf_dir).raw.as_dict()  # derived once, written, then landed
     for d in dates:
         landing.land_all(tables, root, d)
     return root
@@ -70,7 +69,7 @@ def q_landing_report(spark, sf_dir):
 
 def q_landing_latest_partition(spark, sf_dir):
     root = scratch_dir(spark, "landing")
-    products = split_lines(fixture_frames(spark, sf_dir)).products
+    products = _lin(spark, sf_dir).raw.products
     for d in (LANDING_DATE, RELANDING_DATE):  # the same file landed twice
         landing.land_entity(products, root, "products", d)
     return landing.read_landing(spark, root, "products").drop("ingestion_date")
