@@ -7,11 +7,12 @@ holding a large share of the rows becomes one huge task.  Here groups above
 tasks; each slice is numbered locally, and the slices are stitched together
 by a carry table (rows before the slice, the last value before it, the group
 total).  Only a group a range boundary falls into has more than one slice, so
-at most ``partitions − 1`` groups need a carry; that table is provably small
+at most (range partitions − 1) groups need a carry; that table is provably small
 and is broadcast.  Ordinary groups keep the plain window (one shuffle).
 
 The hot-key list comes from a map-side-combined count per group; it holds at
-most ``rows / hot_rows`` keys, which bounds its broadcast.
+most ``rows / hot_rows`` keys, which bounds its broadcast.  When it is empty
+(checked by one boolean action) only the plain window is planned.
 """
 
 from __future__ import annotations
@@ -34,11 +35,14 @@ def _plain(df: DataFrame, group: Sequence[str], order: Sequence[Column], lag: Se
     )
 
 
-def _split(df: DataFrame, group: Sequence[str], order: Sequence[Column], lag: Sequence[str], parts: int) -> DataFrame:
-    order_keys = [o for o in order]
-    ranged = df.repartitionByRange(parts, *[F.col(g) for g in group], *order_keys).withColumn(
-        "_pid", F.spark_partition_id()
-    )
+def _split(
+    df: DataFrame, group: Sequence[str], order: Sequence[Column], lag: Sequence[str], parts: int | None
+) -> DataFrame:
+    keys = [*[F.col(g) for g in group], *order]
+    # Without an explicit count AQE may coalesce the range partitions; it only
+    # merges adjacent ones, so every partition stays one contiguous key range.
+    ranged = df.repartitionByRange(parts, *keys) if parts else df.repartitionByRange(*keys)
+    ranged = ranged.withColumn("_pid", F.spark_partition_id())
     w = Window.partitionBy("_pid", *group).orderBy(*order)
     local = ranged.select(
         "*",
@@ -87,7 +91,8 @@ def sequence_within(
     order_cols = [F.col(o) if isinstance(o, str) else o for o in order]
     counts = df.groupBy(*group).agg(F.count(F.lit(1)).alias("_n"))
     hot = counts.filter(F.col("_n") > hot_rows).select(*group)  # <= rows / hot_rows keys
-    parts = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    if hot.isEmpty():  # a boolean action: the usual case keeps the one-shuffle window
+        return _plain(df, group, order_cols, lag)
     normal = _plain(df.join(F.broadcast(hot), list(group), "left_anti"), group, order_cols, lag)
-    split = _split(df.join(F.broadcast(hot), list(group), "left_semi"), group, order_cols, lag, parts)
+    split = _split(df.join(F.broadcast(hot), list(group), "left_semi"), group, order_cols, lag, partitions)
     return normal.unionByName(split.select(*normal.columns))

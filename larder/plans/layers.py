@@ -14,23 +14,33 @@ def create_layer_databases(spark: SparkSession, root: str, names: dict[str, str]
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {db} LOCATION '{root}/{db}.db'")
 
 
-def bucket_count(spark: SparkSession) -> int:
-    """Buckets for a bucketed layer: the session's shuffle width, so a join on
-    the bucket key reads bucket i in task i with no exchange."""
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+BUCKET_TARGET_BYTES = 256 * 1024 * 1024
 
 
-def write_bucketed(df: DataFrame, table: str, path: str, key: str, fmt: str = "parquet") -> None:
+def bucket_count(spark: SparkSession, input_bytes: int | None = None,
+                 target_bytes: int = BUCKET_TARGET_BYTES) -> int:
+    """Buckets for a bucketed layer: about ``target_bytes`` of input per bucket
+    (each bucket is one task of a later join on the key), at most the
+    session's shuffle width."""
+    width = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if input_bytes is None:
+        return width
+    return max(1, min(width, -(-input_bytes // target_bytes)))
+
+
+def write_bucketed(df: DataFrame, table: str, path: str, key: str, fmt: str = "parquet",
+                   buckets: int | None = None) -> None:
     """Overwrite ``table`` at ``path`` hash-bucketed and sorted on ``key``."""
     (
         df.write.mode("overwrite").format(fmt).option("path", path)
-        .bucketBy(bucket_count(df.sparkSession), key).sortBy(key)
+        .bucketBy(buckets or bucket_count(df.sparkSession), key).sortBy(key)
         .saveAsTable(table)
     )
 
 
 def write_layer(df: DataFrame, table: str, path: str, fmt: str = "parquet",
-                partition_by: list[str] | None = None, bucket_by: str | None = None) -> int:
+                partition_by: list[str] | None = None, bucket_by: str | None = None,
+                buckets: int | None = None) -> int:
     """Full overwrite of ``table`` at ``path`` (schema may change), registered in
     the catalog.  The row count is observed while writing, so no second pass
     over the plan runs just to print it."""
@@ -40,7 +50,7 @@ def write_layer(df: DataFrame, table: str, path: str, fmt: str = "parquet",
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     if bucket_by:
-        writer = writer.bucketBy(bucket_count(df.sparkSession), bucket_by).sortBy(bucket_by)
+        writer = writer.bucketBy(buckets or bucket_count(df.sparkSession), bucket_by).sortBy(bucket_by)
     writer.saveAsTable(table)
     return int(obs.get["rows"])
 

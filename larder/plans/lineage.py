@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 
 from larder import constants as C
 from larder.operators import classify, gold, silver
-from larder.plans.layers import write_bucketed
+from larder.functions import estimated_bytes
+from larder.plans.layers import bucket_count, write_bucketed
 from larder.session import scratch_dir
 from larder.sources.fixture import (
     RawTables,
@@ -88,6 +89,7 @@ class Lineage:
         build: Callable[[], DataFrame],
         partition_by: list[str] | None = None,
         bucket_by: str | None = None,
+        bucket_input: DataFrame | None = None,
     ) -> DataFrame:
         if self._sink is not None:
             return self._sink(name, build)
@@ -100,7 +102,8 @@ class Lineage:
         # bucketed layout needs a catalog table (bucket metadata lives there)
         table = f"{SCRATCH_DB}.t_{self.root.rstrip('/').rsplit('/', 1)[-1]}_{name}"
         self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {SCRATCH_DB} LOCATION '{self.root}/_db'")
-        write_bucketed(build(), table, path, bucket_by)
+        sized = None if bucket_input is None else bucket_count(self.spark, estimated_bytes(bucket_input))
+        write_bucketed(build(), table, path, bucket_by, buckets=sized)
         return self.spark.table(table)
 
     # raw / bronze ------------------------------------------------------------
@@ -175,6 +178,8 @@ class Lineage:
             "fact",
             lambda: silver.build_fact(r.order_products_prior, r.order_products_train, r.orders, self.dim_product_ai),
             bucket_by="order_id",
+            # bucket count from the real size of the line files feeding the fact
+            bucket_input=r.order_products_prior.unionByName(r.order_products_train),
         )
 
     @cached_property

@@ -15,7 +15,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from larder import constants as C
-from larder.plans.layers import create_layer_databases, write_layer
+from larder.functions import estimated_bytes
+from larder.plans.layers import bucket_count, create_layer_databases, write_layer
 from larder.plans.lineage import Lineage
 from larder.sources.bronze import ingest_bronze
 from larder.sources.fixture import RawTables
@@ -69,7 +70,12 @@ def run_layers(
         layer, table = LAYER_TABLES[name]
         qualified = f"{db[layer]}.{table}"
         bucket = BUCKETED.get(name)
-        counts[qualified] = write_layer(build(), qualified, f"{out_root}/{layer}/{table}", fmt, bucket_by=bucket)
+        buckets = None
+        if bucket:  # size the buckets from the bronze line tables feeding the fact
+            lines = raw.order_products_prior.unionByName(raw.order_products_train)
+            buckets = bucket_count(spark, estimated_bytes(lines))
+        counts[qualified] = write_layer(build(), qualified, f"{out_root}/{layer}/{table}", fmt,
+                                        bucket_by=bucket, buckets=buckets)
         return spark.table(qualified)
 
     lineage = Lineage(spark, raw=raw, sink=sink)
