@@ -200,20 +200,27 @@ def basket_lines(fact: DataFrame) -> DataFrame:
     return fact.filter(F.col("product_id").isNotNull()).select("order_id", "product_id")
 
 
+GIANT_BASKET = 5_000
+
+
 def co_purchase_counts(
-    lines: DataFrame, min_count: int = C.MIN_CO_PURCHASE, product_counts: DataFrame | None = None
+    lines: DataFrame,
+    min_count: int = C.MIN_CO_PURCHASE,
+    product_counts: DataFrame | None = None,
+    giant_basket: int = GIANT_BASKET,
 ) -> DataFrame:
     """(product_id_a < product_id_b, co_purchase_count ≥ min_count), ids only.
 
     A pair seen in ``min_count`` orders needs each product in at least that
     many orders, so products below it are removed first: a left-semi join
     against a per-product line count (exact; a count inflated by duplicate
-    lines only keeps more).  The semi-join leaves the lines partitioned by
-    product id, so the (order, product) dedupe after it needs no exchange.
-    The self-join on ``order_id`` carries two ints per side and ``a < b`` is
+    lines only keeps more).  The self-join on ``order_id`` carries two ints
+    per side and ``a < b`` is
     part of its condition; each order then adds each pair once, so a plain
-    count equals the distinct-order count.  A hot product or a very large
-    basket is a skewed join key, split over several tasks by AQE skew-join.
+    count equals the distinct-order count.  Baskets of more than
+    ``giant_basket`` products (a bounded list) take a salted self-join that
+    spreads one basket over several tasks; bucket-local joins and AQE cannot
+    split a single key.
 
     ``product_counts`` (product_id, n ≥ distinct orders of the product), e.g.
     from the written reorder metrics, replaces the count over the lines: its
@@ -224,9 +231,14 @@ def co_purchase_counts(
         product_counts = lines.groupBy("product_id").agg(F.count(F.lit(1)).alias("n"))
     frequent = product_counts.filter(F.col("n") >= min_count).select("product_id")
     kept = join_small(lines, frequent, "product_id", "left_semi").distinct()
-    a = kept.select("order_id", F.col("product_id").alias("product_id_a"))
-    b = kept.select("order_id", F.col("product_id").alias("product_id_b"))
-    pairs = a.join(b, (a["order_id"] == b["order_id"]) & (F.col("product_id_a") < F.col("product_id_b")))
+    sizes = kept.groupBy("order_id").agg(F.count(F.lit(1)).alias("m"))  # rides the order_id buckets
+    giant = sizes.filter(F.col("m") > giant_basket)  # <= lines / giant_basket orders
+    if giant.isEmpty():  # a boolean action; the usual case
+        pairs = _self_pairs(kept)
+    else:
+        pairs = _self_pairs(kept.join(F.broadcast(giant.select("order_id")), "order_id", "left_anti")).unionByName(
+            _salted_pairs(kept, giant, giant_basket)
+        )
     return (
         pairs.groupBy("product_id_a", "product_id_b")
         .agg(F.count(F.lit(1)).alias("co_purchase_count"))
@@ -234,6 +246,34 @@ def co_purchase_counts(
     )
 
 
+def _self_pairs(kept: DataFrame) -> DataFrame:
+    a = kept.select("order_id", F.col("product_id").alias("product_id_a"))
+    b = kept.select("order_id", F.col("product_id").alias("product_id_b"))
+    return a.join(b, (a["order_id"] == b["order_id"]) & (F.col("product_id_a") < F.col("product_id_b"))).select(
+        "product_id_a", "product_id_b"
+    )
+
+
+def _salted_pairs(kept: DataFrame, giant: DataFrame, giant_basket: int) -> DataFrame:
+    """Pairs of the giant baskets, each basket cut into ``s = ceil(m / giant_basket)``
+    slices: side a is sliced by a hash of the product, side b is copied to
+    every slice, so each pair meets exactly once, in the slice of its
+    ``a`` side, and one basket's work is spread over ``s`` tasks."""
+    slices = giant.select("order_id", F.ceil(F.col("m") / F.lit(giant_basket)).cast("int").alias("s"))
+    rows = kept.join(F.broadcast(slices), "order_id")  # giant baskets only
+    a = rows.select(
+        "order_id", F.pmod(F.xxhash64("product_id"), F.col("s")).cast("int").alias("slice"),
+        F.col("product_id").alias("product_id_a"),
+    )
+    b = rows.select(
+        "order_id", F.explode(F.sequence(F.lit(0), F.col("s") - 1)).alias("slice"),
+        F.col("product_id").alias("product_id_b"),
+    )
+    return a.join(b, ["order_id", "slice"]).filter(F.col("product_id_a") < F.col("product_id_b")).select(
+        "product_id_a", "product_id_b"
+    )
+
+
 def basket_affinity(
     fact: DataFrame,
     attributes: DataFrame,
