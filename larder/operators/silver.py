@@ -134,45 +134,53 @@ def build_fact(
 ) -> DataFrame:
     """One row per (order_id, product_id): lines ⋈ orders ⟕ product attributes.
 
-    Plan: the lines and orders shuffle once each on ``order_id``; the product
-    dimension is broadcast when its size is proven small; the dedupe window on
-    (order_id, product_id) reuses the ``order_id`` partitioning, so there is no
-    further exchange.  Duplicates keep the prior copy, then the earliest cart
-    position, then a total order over the rest (deterministic).
+    Duplicates keep the prior copy, then the earliest cart position, then a
+    total order over the remaining columns (deterministic).  Keeping the first
+    (line, order) combination after the join equals keeping the first line per
+    (order, product) and the first order per order id before it, so both
+    sides are deduplicated first: the line dedupe takes a map-side top-1
+    (``WindowGroupLimit``) and shuffles on (order, product), which spreads even
+    an order holding a large share of all lines over many tasks; the order
+    dedupe's shuffle on ``order_id`` is the one the join needs.  The join on
+    ``order_id`` is then free to be split by AQE skew handling, and the
+    product dimension is a size-checked broadcast.  Keys are joined as typed
+    ints (what the source's inferred-int join compares).
     """
-    lines = union_prior_train(prior, train)
-    o = orders.select(
-        "order_id", "user_id", "eval_set", "order_number", "order_dow", "order_hour_of_day", "days_since_prior_order"
-    )
-    p = products.select(
-        "product_id", "product_name", "aisle_id", "aisle", "department_id", "department",
-        "ai_product_theme", "ai_demand_type", "classification_method",
-    )
-    typed = lines.join(o, "order_id", "inner").select(
+    lines = union_prior_train(prior, train).select(
         lenient_int("order_id").alias("order_id"),
-        lenient_int("user_id").alias("user_id"),
         lenient_int("product_id").alias("product_id"),
         lenient_int("add_to_cart_order").alias("add_to_cart_order"),
         lenient_int("reordered").alias("reordered"),
-        "eval_set",
         "eval_set_source",
+    )
+    o = orders.select(
+        lenient_int("order_id").alias("order_id"),
+        lenient_int("user_id").alias("user_id"),
+        "eval_set",
         lenient_int("order_number").alias("order_number"),
         lenient_int("order_dow").alias("order_dow"),
         lenient_int("order_hour_of_day").alias("order_hour_of_day"),
         F.col("days_since_prior_order").try_cast("double").alias("days_since_prior_order"),
     )
-    deduped = keep_first(
-        typed,
+    p = products.select(
+        "product_id", "product_name", "aisle_id", "aisle", "department_id", "department",
+        "ai_product_theme", "ai_demand_type", "classification_method",
+    )
+    first_lines = keep_first(
+        lines.filter(F.col("order_id").isNotNull()),
         ["order_id", "product_id"],
+        [F.col(c).asc_nulls_first() for c in ("eval_set_source", "add_to_cart_order", "reordered")],
+    )
+    first_orders = keep_first(
+        o.filter(F.col("order_id").isNotNull()),
+        ["order_id"],
         [
             F.col(c).asc_nulls_first()
-            for c in (
-                "eval_set_source", "add_to_cart_order", "reordered", "user_id", "order_number",
-                "eval_set", "order_dow", "order_hour_of_day", "days_since_prior_order",
-            )
+            for c in ("user_id", "order_number", "eval_set", "order_dow", "order_hour_of_day", "days_since_prior_order")
         ],
     )
-    fact = join_small(deduped, p, "product_id", "left").select(*FACT_COLUMNS)
+    joined = first_lines.join(first_orders, "order_id", "inner")
+    fact = join_small(joined, p, "product_id", "left").select(*FACT_COLUMNS)
     return _with_ts(fact, "silver_updated_ts")
 
 

@@ -175,3 +175,19 @@ def test_rounding_half_up(spark):
 
 def test_score_constants():
     assert [t for t, _, _ in C.STOCKOUT_TIERS] == ["CRITICAL", "HIGH", "MEDIUM"]
+
+
+def test_duplicate_orders_keep_first_combination(spark):
+    lines = "order_id long, product_id long, add_to_cart_order int, reordered int"
+    prior = spark.createDataFrame([(1, 5, 2, 0), (1, 5, 1, 1), (1, 6, 3, 0)], lines)
+    train = spark.createDataFrame([], lines)
+    orders = spark.createDataFrame([(1, 9, "prior", 4, 0, 0, None), (1, 3, "prior", 7, 0, 0, 2.0)],
+                                   "order_id long, user_id long, eval_set string, order_number int, "
+                                   "order_dow long, order_hour_of_day long, days_since_prior_order double")
+    products = spark.createDataFrame([], "product_id int, product_name string, aisle_id int, aisle string, "
+                                     "department_id int, department string, ai_product_theme string, "
+                                     "ai_demand_type string, classification_method string")
+    rows = {r.product_id: r for r in silver.build_fact(prior, train, orders, products).collect()}
+    assert len(rows) == 2
+    assert (rows[5].add_to_cart_order, rows[5].user_id, rows[5].order_number) == (1, 3, 7)
+    assert rows[6].user_id == 3
