@@ -70,11 +70,14 @@ def cluster_table(spark: SparkSession, src: str, dst: str, cols: Sequence[str],
     Parquet min/max statistics can skip files for filters on any of ``cols``."""
     df = spark.read.format(fmt).load(src)
     n = max(1, math.ceil(table_bytes(spark, src) / target_file_bytes))
+    # a row hash as second range key lets a run of equal z-values (one hot
+    # value) be cut across files instead of landing in one task
     (
         df.withColumn("_z", z_value(df, cols, bits))
-        .repartitionByRange(n, "_z")
-        .sortWithinPartitions("_z")
-        .drop("_z")
+        .withColumn("_h", F.xxhash64(*[F.col(c) for c in df.columns]))
+        .repartitionByRange(n, "_z", "_h")
+        .sortWithinPartitions("_z", "_h")
+        .drop("_z", "_h")
         .write.mode("overwrite")
         .format(fmt)
         .save(dst)
