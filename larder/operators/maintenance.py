@@ -52,9 +52,18 @@ def _rank_bucket(df: DataFrame, col: str, bits: int) -> Column:
     return (F.array_position(merged, key) - 1).cast("long")
 
 
-def z_value(df: DataFrame, cols: Sequence[str], bits: int = 8) -> Column:
-    """Interleave the bits of each column's rank bucket into one sort key."""
-    buckets = [_rank_bucket(df, c, bits) for c in cols]
+def with_z_value(df: DataFrame, cols: Sequence[str], bits: int = 8, name: str = "_z") -> DataFrame:
+    """Adds ``name``: the bits of each column's rank bucket interleaved into
+    one sort key.  Each bucket is computed once as a column (its cut points are
+    one aggregate), then the bits are read from those columns."""
+    staged = df.select("*", *[_rank_bucket(df, c, bits).alias(f"_zb{j}") for j, c in enumerate(cols)])
+    z = z_value([F.col(f"_zb{j}") for j in range(len(cols))], bits)
+    return staged.withColumn(name, z).drop(*[f"_zb{j}" for j in range(len(cols))])
+
+
+def z_value(buckets: Sequence[Column], bits: int = 8) -> Column:
+    """Interleave the low ``bits`` bits of each bucket column into one key."""
+    cols = buckets
     z = F.lit(0).cast("long")
     for i in range(bits):
         for j, b in enumerate(buckets):
@@ -73,7 +82,7 @@ def cluster_table(spark: SparkSession, src: str, dst: str, cols: Sequence[str],
     # a row hash as second range key lets a run of equal z-values (one hot
     # value) be cut across files instead of landing in one task
     (
-        df.withColumn("_z", z_value(df, cols, bits))
+        with_z_value(df, cols, bits)
         .withColumn("_h", F.xxhash64(*[F.col(c) for c in df.columns]))
         .repartitionByRange(n, "_z", "_h")
         .sortWithinPartitions("_z", "_h")
