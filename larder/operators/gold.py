@@ -208,6 +208,7 @@ def co_purchase_counts(
     min_count: int = C.MIN_CO_PURCHASE,
     product_counts: DataFrame | None = None,
     giant_basket: int = GIANT_BASKET,
+    basket_bound: int | None = None,
 ) -> DataFrame:
     """(product_id_a < product_id_b, co_purchase_count ≥ min_count), ids only.
 
@@ -226,6 +227,9 @@ def co_purchase_counts(
     from the written reorder metrics, replaces the count over the lines: its
     real size lets the prune be a checked broadcast, which keeps the lines in
     their ``order_id`` buckets (no shuffle before the self-join).
+    ``basket_bound`` (e.g. the largest cart position) is an upper bound on
+    basket sizes; at or under ``giant_basket`` it skips the giant-basket
+    search.  It only steers the skew handling; the counts are exact either way.
     """
     if product_counts is None:
         product_counts = lines.groupBy("product_id").agg(F.count(F.lit(1)).alias("n"))
@@ -233,7 +237,7 @@ def co_purchase_counts(
     kept = join_small(lines, frequent, "product_id", "left_semi").distinct()
     sizes = kept.groupBy("order_id").agg(F.count(F.lit(1)).alias("m"))  # rides the order_id buckets
     giant = sizes.filter(F.col("m") > giant_basket)  # <= lines / giant_basket orders
-    if giant.isEmpty():  # a boolean action; the usual case
+    if (basket_bound is not None and basket_bound <= giant_basket) or giant.isEmpty():  # the usual case
         pairs = _self_pairs(kept)
     else:
         pairs = _self_pairs(kept.join(F.broadcast(giant.select("order_id")), "order_id", "left_anti")).unionByName(
@@ -279,10 +283,11 @@ def basket_affinity(
     attributes: DataFrame,
     min_count: int = C.MIN_CO_PURCHASE,
     product_counts: DataFrame | None = None,
+    basket_bound: int | None = None,
 ) -> DataFrame:
     """Product pairs bought together in at least ``min_count`` orders, with the
     attributes of both sides attached after counting."""
-    counts = co_purchase_counts(basket_lines(fact), min_count, product_counts)
+    counts = co_purchase_counts(basket_lines(fact), min_count, product_counts, basket_bound=basket_bound)
     attrs = attributes.select("product_id", *PAIR_ATTRIBUTES)
     side_a = attrs.select(F.col("product_id").alias("product_id_a"), *[F.col(c).alias(f"{c}_a") for c in PAIR_ATTRIBUTES])
     side_b = attrs.select(F.col("product_id").alias("product_id_b"), *[F.col(c).alias(f"{c}_b") for c in PAIR_ATTRIBUTES])

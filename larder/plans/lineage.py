@@ -225,7 +225,11 @@ class Lineage:
         counts = self.reorder.select("product_id", F.col("total_units_ordered").alias("n"))
         return self._layer(
             "pairs",
-            lambda: gold.basket_affinity(self.fact, self.attributes, self.min_co_purchase, product_counts=counts),
+            lambda: gold.basket_affinity(
+                self.fact, self.attributes, self.min_co_purchase, product_counts=counts,
+                # the largest cart position bounds every basket (one int column, one number)
+                basket_bound=self.fact.agg(F.max("add_to_cart_order")).first()[0],
+            ),
         )
 
     def table(self, name: str) -> DataFrame:
