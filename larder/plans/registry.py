@@ -246,7 +246,10 @@ def q_project_basket_sides(spark, sf_dir):
 
 
 def q_join_self_pairs(spark, sf_dir):
-    return gold.co_purchase_counts(gold.basket_lines(_lin(spark, sf_dir).fact))
+    L = _lin(spark, sf_dir)
+    counts = L.reorder.select("product_id", F.col("total_units_ordered").alias("n"))
+    bound = L.fact.agg(F.max("add_to_cart_order")).first()[0]
+    return gold.co_purchase_counts(gold.basket_lines(L.fact), product_counts=counts, basket_bound=bound)
 
 
 # ----------------------------------------------------------------------- dashboard
