@@ -142,3 +142,13 @@ def landing_report(spark: SparkSession, root: str, entities: Iterable[str] = C.R
         F.when(F.col("row_count").isNull(), F.lit("skipped")).otherwise(F.lit("uploaded")).alias("status"),
         "row_count",
     )
+
+
+def validate_raw(spark: SparkSession, root: str, entities: Iterable[str] = C.RAW_ENTITIES,
+                 preview_rows: int = 5) -> dict[str, DataFrame]:
+    """The raw-zone check: per-file inventory, per-entity row counts, and a
+    ``preview_rows``-row preview of each landed entity (lazy DataFrames)."""
+    entities = [e for e in entities if landing_dates(spark, root, e)]
+    out = {"files": file_inventory(spark, root, entities), "counts": row_counts(spark, root, entities)}
+    out.update({f"preview_{e}": preview(spark, root, e, preview_rows) for e in entities})
+    return out

@@ -59,3 +59,12 @@ def test_compaction_and_clustering_keep_rows(spark):
     assert sorted(map(tuple, compacted.collect())) == want
     clustered = maintenance.cluster_table(spark, src, src + "_z", ["product_id", "department"])
     assert sorted(map(tuple, clustered.select(*df.columns).collect())) == want
+
+
+def test_validate_raw(spark):
+    root = scratch_dir(spark, "validate-raw-test")
+    landing.land_entity(_products(spark, range(9)), root, "products", "2024-01-01")
+    out = landing.validate_raw(spark, root)
+    assert {r.entity: r.row_count for r in out["counts"].collect()} == {"products": 9}
+    assert out["preview_products"].count() == 5
+    assert out["files"].agg(F.sum("row_count")).first()[0] == 9
