@@ -2,7 +2,7 @@
 
 Layers: ``sources`` (raw landing, fixture mapping, bronze), ``operators``
 (silver, labelling, gold, maintenance, validation), ``plans`` (lineage,
-dashboard SQL, layered run, query registry), ``functions`` (column helpers),
+dashboards, layered run, query registry), ``functions`` (column helpers),
 ``streaming`` (incremental landing ingestion).
 """
 

@@ -1 +1 @@
-"""Query plans: lineage wiring, dashboard SQL, layered run, registry."""
+"""Query plans: lineage wiring, dashboards, layered run, registry."""
