@@ -1,28 +1,33 @@
 """Position within a group (row_number, lag, is-last) that splits hot groups.
 
 A window partitioned by the group key sorts each group in one task, so a key
-holding a large share of the rows becomes one huge task.  Here groups above
-``hot_rows`` rows take another path: they are range-partitioned on
-(group, order), which cuts a hot group into contiguous slices over several
-tasks; each slice is numbered locally, and the slices are stitched together
-by a carry table (rows before the slice, the last value before it, the group
-total).  Only a group a range boundary falls into has more than one slice, so
-at most (range partitions − 1) groups need a carry; that table is provably small
-and is broadcast.  Ordinary groups keep the plain window (one shuffle).
+holding a large share of the rows becomes one huge task.  Groups that a sample
+finds heavy take another path: their rows are range-partitioned on (group,
+order), which cuts a hot group into contiguous slices, and written once with
+the number of their slice.  Each slice is numbered locally, and the slices are
+stitched together by a carry table (rows before the slice, the last value
+before it, whether it is the last).  Both read the written rows, so they agree
+on what a slice is.  Only a group that a range boundary falls into has more
+than one slice, so at most (range partitions - 1) groups need a carry; that
+table is provably small and is broadcast.  Ordinary groups keep the plain
+window (one shuffle).
 
-The hot-key list comes from a map-side-combined count per group; it holds at
-most ``rows / hot_rows`` keys, which bounds its broadcast.  When it is empty
-(checked by one boolean action) only the plain window is planned.
+Which path a group takes changes its speed only, never its numbers.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from larder.session import scratch_dir
+
 DEFAULT_HOT_ROWS = 2_000_000
+SAMPLE_SHARE = 0.001
+MOST_HOT_KEYS = 10_000
 
 
 def _plain(df: DataFrame, group: Sequence[str], order: Sequence[Column], lag: Sequence[str]) -> DataFrame:
@@ -42,7 +47,9 @@ def _split(
     # Without an explicit count AQE may coalesce the range partitions; it only
     # merges adjacent ones, so every partition stays one contiguous key range.
     ranged = df.repartitionByRange(parts, *keys) if parts else df.repartitionByRange(*keys)
-    ranged = ranged.withColumn("_pid", F.spark_partition_id())
+    path = scratch_dir(df.sparkSession, "sequence")
+    ranged.withColumn("_pid", F.spark_partition_id()).write.parquet(path)
+    ranged = df.sparkSession.read.parquet(path)
     w = Window.partitionBy("_pid", *group).orderBy(*order)
     local = ranged.select(
         "*",
@@ -56,7 +63,9 @@ def _split(
     )
     # groups cut by a range boundary: at most parts - 1 of them
     spanning = seg.groupBy(*group).agg(F.count(F.lit(1)).alias("_k")).filter("_k > 1").select(*group)
-    span_seg = seg.join(F.broadcast(spanning), list(group), "left_semi")  # <= 2 * (parts - 1) rows
+    # rows of seg with a group in ``spanning``: at most 2 * (parts - 1)
+    span_seg = seg.alias("_l").join(
+        F.broadcast(spanning.alias("_r")), reduce(lambda x, y: x & y, [F.col(f"_l.{g}").eqNullSafe(F.col(f"_r.{g}")) for g in group]), "left_semi")
     ws = Window.partitionBy(*group).orderBy("_pid")
     carry = span_seg.select(
         "_pid",
@@ -65,9 +74,10 @@ def _split(
         F.lead("_cnt").over(ws).isNull().alias("_last_slice"),
         *[F.lag(f"_last_{c}").over(ws).alias(f"_carry_{c}") for c in lag],
     )
-    out = local.join(F.broadcast(carry), ["_pid", *group], "left")
+    match = [F.col(f"_l.{g}").eqNullSafe(F.col(f"_r.{g}")) for g in ("_pid", *group)]
+    out = local.alias("_l").join(F.broadcast(carry.alias("_r")), reduce(lambda x, y: x & y, match), "left")
     return out.select(
-        *df.columns,
+        *[F.col(f"_l.{c}").alias(c) for c in df.columns],
         (F.col("_lrn") + F.coalesce(F.col("_offset"), F.lit(0))).cast("int").alias("_seq"),
         *[
             F.when(F.col("_lrn") == 1, F.col(f"_carry_{c}")).otherwise(F.col(f"_lprev_{c}")).alias(f"_prev_{c}")
@@ -84,15 +94,28 @@ def sequence_within(
     lag: Sequence[str] = (),
     hot_rows: int = DEFAULT_HOT_ROWS,
     partitions: int | None = None,
+    sample: float = SAMPLE_SHARE,
 ) -> DataFrame:
     """Adds ``_seq`` (1-based position by ``order`` within ``group``),
     ``_prev_<c>`` (value of ``c`` on the previous row) for ``c`` in ``lag``,
     and ``_is_last``.  ``order`` must be a total order within each group."""
     order_cols = [F.col(o) if isinstance(o, str) else o for o in order]
-    counts = df.groupBy(*group).agg(F.count(F.lit(1)).alias("_n"))
-    hot = counts.filter(F.col("_n") > hot_rows).select(*group)  # <= rows / hot_rows keys
-    if hot.isEmpty():  # a boolean action: the usual case keeps the one-shuffle window
+    # Group columns of a few rows only: no pass over the rows themselves.
+    sampled = df.select(*group) if hot_rows * sample < 1 else df.select(*group).sample(sample, seed=1)
+    counts = sampled.groupBy(*group).agg(F.count(F.lit(1)).alias("_n"))
+    hot = counts.filter(F.col("_n") > hot_rows * (1 if hot_rows * sample < 1 else sample)).select(*group)
+    hot_keys = hot.limit(MOST_HOT_KEYS + 1).collect()
+    if not hot_keys:
         return _plain(df, group, order_cols, lag)
-    normal = _plain(df.join(F.broadcast(hot), list(group), "left_anti"), group, order_cols, lag)
-    split = _split(df.join(F.broadcast(hot), list(group), "left_semi"), group, order_cols, lag, partitions)
+    known = df.sparkSession.createDataFrame(hot_keys, hot.schema)
+    if len(hot_keys) <= MOST_HOT_KEYS:
+        known = F.broadcast(known)
+    else:  # a broadcast needs a bound; the join then shuffles both sides
+        known = hot
+    same = [F.col(f"_l.{g}").eqNullSafe(F.col(f"_r.{g}")) for g in group]
+    condition = reduce(lambda x, y: x & y, same)
+    normal = df.alias("_l").join(known.alias("_r"), condition, "left_anti")
+    heavy = df.alias("_l").join(known.alias("_r"), condition, "left_semi")
+    split = _split(heavy, group, order_cols, lag, partitions)
+    normal = _plain(normal, group, order_cols, lag)
     return normal.unionByName(split.select(*normal.columns))
