@@ -47,10 +47,10 @@ def main() -> None:
             target.orders  # noqa: B018 - the raw landing is written when built
         times[step] = round(time.time() - t0, 3)
 
-    for name in dashboard.DASHBOARD_SQL:
-        tables = {p: lineage.table(t) for p, t in dashboard.DASHBOARD_INPUTS[name].items()}
+    for name, (source, _) in dashboard.DASHBOARDS.items():
+        lineage.table(source)
         t0 = time.time()
-        dashboard.dashboard_query(spark, name, **tables).collect()
+        dashboard.dashboard_query(name, lineage.table).collect()
         times[name] = round(time.time() - t0, 3)
 
     m = re.search(r"sf([0-9.]+)", sf_dir)

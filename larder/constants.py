@@ -116,6 +116,15 @@ NO_DEMAND_PROXY = 999
 MIN_CO_PURCHASE = 10
 HIGH_RISK_TIERS = ["STOCKOUT", "CRITICAL", "HIGH"]
 
+# Dashboards: digits shown, least units, lengths of the top lists.
+RATE_DIGITS = 4
+STOCK_DIGITS = 2
+NO_LABEL = "unclassified"
+TOP_REORDERED_LEAST_UNITS = 100
+TOP_REORDERED = 25
+TOP_PRIORITY = 50
+TOP_PAIRS = 50
+
 # Keyword tables of the label-scoring job (input data of classify_labels).
 THEME_KEYWORDS = {
     "fresh_produce": "organic fresh spinach eggplant apple banana salad",
@@ -147,8 +156,16 @@ LABEL_SCORE_DIGITS = 9
 # FIXED VALUES — test fixture mapping (FIXTURES.md §2)
 # ---------------------------------------------------------------------------
 
-FIXTURE_PRODUCT_MODULUS = 450
-FIXTURE_PRODUCT_DIVISOR = 202500
+FIXTURE_PRODUCT_MODULUS = 450      # at least; more where there are more parts
+FIXTURE_PARTS_PER_MODULUS = 10
+QUERY_SAMPLE_SIZE = 100          # of the registered queries, so that both labelling methods occur
+QUERY_LANDING_FILES = 4
+QUERY_MISSING_ENTITY = "aisles"  # the one that the landing report's input lacks
+QUERY_ABSENT_TABLE = "grocery_gold.absent"
+QUERY_UNREADABLE_TABLE = "grocery_bronze.unreadable"
+FIXTURE_LARGE_ID_MOD = 5         # every fifth order has an id beyond 32 bits
+FIXTURE_LARGE_ID_ADD = 3_000_000_000
+FIXTURE_BAD_LINE_MOD = 100       # text lines: 1 bad order id, 2 bad product id, 3 no product id
 FIXTURE_PRODUCT_NAMES = [
     "Organic Spinach", "Whole Milk", "Artisan Rye", "Potato Chips", "Family Pack Rice",
     "Microwave Meal", "Eggplant", "Strawberry Preserves", "Plain Yogurt", "Vegan Protein Bar",

@@ -4,6 +4,7 @@ from larder.functions.expressions import (
     first_match,
     guarded_ratio,
     lenient_int,
+    lenient_long,
     regex_rule,
     substring_rule,
 )
@@ -15,6 +16,7 @@ __all__ = [
     "guarded_ratio",
     "join_small",
     "lenient_int",
+    "lenient_long",
     "regex_rule",
     "substring_rule",
 ]

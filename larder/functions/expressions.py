@@ -19,6 +19,11 @@ def lenient_int(c: str | Column) -> Column:
     return _col(c).try_cast("int")
 
 
+def lenient_long(c: str | Column) -> Column:
+    """``try_cast(x AS bigint)``, for keys."""
+    return _col(c).try_cast("bigint")
+
+
 def first_match(pairs: Sequence[tuple[Column, object]], default: object) -> Column:
     """CASE chain: the first true condition wins, else ``default``.
 

@@ -208,7 +208,6 @@ def co_purchase_counts(
     min_count: int = C.MIN_CO_PURCHASE,
     product_counts: DataFrame | None = None,
     giant_basket: int = GIANT_BASKET,
-    basket_bound: int | None = None,
 ) -> DataFrame:
     """(product_id_a < product_id_b, co_purchase_count ≥ min_count), ids only.
 
@@ -227,9 +226,6 @@ def co_purchase_counts(
     from the written reorder metrics, replaces the count over the lines: its
     real size lets the prune be a checked broadcast, which keeps the lines in
     their ``order_id`` buckets (no shuffle before the self-join).
-    ``basket_bound`` (e.g. the largest cart position) is an upper bound on
-    basket sizes; at or under ``giant_basket`` it skips the giant-basket
-    search.  It only steers the skew handling; the counts are exact either way.
     """
     if product_counts is None:
         product_counts = lines.groupBy("product_id").agg(F.count(F.lit(1)).alias("n"))
@@ -237,7 +233,7 @@ def co_purchase_counts(
     kept = join_small(lines, frequent, "product_id", "left_semi").distinct()
     sizes = kept.groupBy("order_id").agg(F.count(F.lit(1)).alias("m"))  # rides the order_id buckets
     giant = sizes.filter(F.col("m") > giant_basket)  # <= lines / giant_basket orders
-    if (basket_bound is not None and basket_bound <= giant_basket) or giant.isEmpty():  # the usual case
+    if giant.isEmpty():  # the usual case
         pairs = _self_pairs(kept)
     else:
         pairs = _self_pairs(kept.join(F.broadcast(giant.select("order_id")), "order_id", "left_anti")).unionByName(
@@ -259,21 +255,18 @@ def _self_pairs(kept: DataFrame) -> DataFrame:
 
 
 def _salted_pairs(kept: DataFrame, giant: DataFrame, giant_basket: int) -> DataFrame:
-    """Pairs of the giant baskets, each basket cut into ``s = ceil(m / giant_basket)``
-    slices: side a is sliced by a hash of the product, side b is copied to
-    every slice, so each pair meets exactly once, in the slice of its
-    ``a`` side, and one basket's work is spread over ``s`` tasks."""
+    """Pairs of the giant baskets in tiles: each basket is cut into
+    ``s = ceil(m / giant_basket)`` slices by a hash of the product, and a task
+    pairs one slice with one slice, so it holds two slices' rows whatever the
+    basket's size.  Side a is copied along the rows of tiles, side b along the
+    columns; each pair meets in the one tile of its two slices."""
     slices = giant.select("order_id", F.ceil(F.col("m") / F.lit(giant_basket)).cast("int").alias("s"))
-    rows = kept.join(F.broadcast(slices), "order_id")  # giant baskets only
-    a = rows.select(
-        "order_id", F.pmod(F.xxhash64("product_id"), F.col("s")).cast("int").alias("slice"),
-        F.col("product_id").alias("product_id_a"),
-    )
-    b = rows.select(
-        "order_id", F.explode(F.sequence(F.lit(0), F.col("s") - 1)).alias("slice"),
-        F.col("product_id").alias("product_id_b"),
-    )
-    return a.join(b, ["order_id", "slice"]).filter(F.col("product_id_a") < F.col("product_id_b")).select(
+    rows = kept.join(F.broadcast(slices), "order_id").withColumn(  # giant baskets only
+        "own", F.pmod(F.xxhash64("product_id"), F.col("s")).cast("int"))
+    others = F.explode(F.sequence(F.lit(0), F.col("s") - 1))
+    a = rows.select("order_id", F.col("own").alias("slice_a"), others.alias("slice_b"), F.col("product_id").alias("product_id_a"))
+    b = rows.select("order_id", others.alias("slice_a"), F.col("own").alias("slice_b"), F.col("product_id").alias("product_id_b"))
+    return a.join(b, ["order_id", "slice_a", "slice_b"]).filter(F.col("product_id_a") < F.col("product_id_b")).select(
         "product_id_a", "product_id_b"
     )
 
@@ -283,11 +276,10 @@ def basket_affinity(
     attributes: DataFrame,
     min_count: int = C.MIN_CO_PURCHASE,
     product_counts: DataFrame | None = None,
-    basket_bound: int | None = None,
 ) -> DataFrame:
     """Product pairs bought together in at least ``min_count`` orders, with the
     attributes of both sides attached after counting."""
-    counts = co_purchase_counts(basket_lines(fact), min_count, product_counts, basket_bound=basket_bound)
+    counts = co_purchase_counts(basket_lines(fact), min_count, product_counts)
     attrs = attributes.select("product_id", *PAIR_ATTRIBUTES)
     side_a = attrs.select(F.col("product_id").alias("product_id_a"), *[F.col(c).alias(f"{c}_a") for c in PAIR_ATTRIBUTES])
     side_b = attrs.select(F.col("product_id").alias("product_id_b"), *[F.col(c).alias(f"{c}_b") for c in PAIR_ATTRIBUTES])

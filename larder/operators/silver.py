@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from larder import constants as C
-from larder.functions import join_small, lenient_int
+from larder.functions import join_small, lenient_int, lenient_long
 
 PRODUCT_ATTRIBUTES = ["product_name", "aisle", "department", "ai_product_theme", "ai_demand_type"]
 
@@ -34,7 +34,7 @@ def _with_ts(df: DataFrame, name: str) -> DataFrame:
 def clean_dimension(raw: DataFrame, key: str, name: str) -> DataFrame:
     """Lenient int key, trimmed lower-case name, NULL keys dropped, one row per key."""
     typed = raw.select(lenient_int(key).alias(key), F.trim(F.lower(F.col(name))).alias(name))
-    kept = keep_first(typed.filter(F.col(key).isNotNull()), [key], [F.col(name).asc_nulls_first()])
+    kept = keep_first(typed.filter(F.col(key).isNotNull()), [key], [F.col(name).asc_nulls_last()])
     return _with_ts(kept, "silver_updated_ts")
 
 
@@ -55,7 +55,7 @@ def products_clean(raw_products: DataFrame) -> DataFrame:
     """Typed keys beside their raw text, lineage columns passed through."""
     lineage = [c for c in ("source_file", "bronze_ingestion_ts") if c in raw_products.columns]
     return raw_products.select(
-        lenient_int("product_id").alias("product_id"),
+        lenient_long("product_id").alias("product_id"),
         F.trim(F.col("product_name")).alias("product_name"),
         lenient_int("aisle_id").alias("aisle_id"),
         lenient_int("department_id").alias("department_id"),
@@ -99,7 +99,7 @@ def build_dim_product(valid: DataFrame, aisles: DataFrame, departments: DataFram
     kept = keep_first(
         joined,
         ["product_id"],
-        [F.col(c).asc_nulls_first() for c in ("product_name", "aisle_id", "department_id", "aisle", "department")],
+        [F.col(c).asc_nulls_last() for c in ("product_name", "aisle_id", "department_id", "aisle", "department")],
     )
     return (
         kept.withColumn("is_current", F.lit(True))
@@ -126,60 +126,90 @@ def union_prior_train(prior: DataFrame, train: DataFrame) -> DataFrame:
     )
 
 
-def build_fact(
-    prior: DataFrame,
-    train: DataFrame,
-    orders: DataFrame,
-    products: DataFrame,
-) -> DataFrame:
-    """One row per (order_id, product_id): lines ⋈ orders ⟕ product attributes.
+REJECTED_LINE = "order or product id is not a whole number"
 
-    Duplicates keep the prior copy, then the earliest cart position, then a
-    total order over the remaining columns (deterministic).  Keeping the first
-    (line, order) combination after the join equals keeping the first line per
-    (order, product) and the first order per order id before it, so both
-    sides are deduplicated first: the line dedupe takes a map-side top-1
-    (``WindowGroupLimit``) and shuffles on (order, product), which spreads even
-    an order holding a large share of all lines over many tasks; the order
-    dedupe's shuffle on ``order_id`` is the one the join needs.  The join on
-    ``order_id`` is then free to be split by AQE skew handling, and the
-    product dimension is a size-checked broadcast.  Keys are joined as typed
-    ints (what the source's inferred-int join compares).
-    """
-    lines = union_prior_train(prior, train).select(
-        lenient_int("order_id").alias("order_id"),
-        lenient_int("product_id").alias("product_id"),
+
+def typed_lines(prior: DataFrame, train: DataFrame) -> DataFrame:
+    """Both line sets with long keys beside the raw ones."""
+    return union_prior_train(prior, train).select(
+        lenient_long("order_id").alias("order_id"),
+        lenient_long("product_id").alias("product_id"),
         lenient_int("add_to_cart_order").alias("add_to_cart_order"),
         lenient_int("reordered").alias("reordered"),
         "eval_set_source",
+        F.col("order_id").cast("string").alias("raw_order_id"),
+        F.col("product_id").cast("string").alias("raw_product_id"),
     )
+
+
+def _rejected() -> Column:
+    bad_product = F.col("product_id").isNull() & F.col("raw_product_id").isNotNull()
+    return F.col("order_id").isNull() | bad_product
+
+
+def quarantine_order_lines(prior: DataFrame, train: DataFrame) -> DataFrame:
+    """Lines that the fact leaves out because a key is no whole number (an
+    absent product id is not one of them: the fact keeps such lines)."""
+    bad = typed_lines(prior, train).filter(_rejected())
+    return bad.select("raw_order_id", "raw_product_id", "add_to_cart_order", "reordered", "eval_set_source",
+                      F.lit(REJECTED_LINE).alias("quarantine_reason"))
+
+
+def first_orders(orders: DataFrame) -> DataFrame:
+    """One typed row per order id; orders without a whole-number id have none."""
     o = orders.select(
-        lenient_int("order_id").alias("order_id"),
-        lenient_int("user_id").alias("user_id"),
+        lenient_long("order_id").alias("order_id"),
+        lenient_long("user_id").alias("user_id"),
         "eval_set",
         lenient_int("order_number").alias("order_number"),
         lenient_int("order_dow").alias("order_dow"),
         lenient_int("order_hour_of_day").alias("order_hour_of_day"),
         F.col("days_since_prior_order").try_cast("double").alias("days_since_prior_order"),
     )
+    return keep_first(
+        o.filter(F.col("order_id").isNotNull()),
+        ["order_id"],
+        [
+            F.col(c).asc_nulls_last()
+            for c in ("user_id", "order_number", "eval_set", "order_dow", "order_hour_of_day", "days_since_prior_order")
+        ],
+    )
+
+
+def build_fact(
+    prior: DataFrame,
+    train: DataFrame,
+    orders: DataFrame,
+    products: DataFrame,
+    orders_typed: bool = False,
+) -> DataFrame:
+    """One row per (order_id, product_id): lines ⋈ orders ⟕ product attributes.
+
+    Duplicates keep the prior copy, then the earliest cart position, then a
+    total order over the remaining columns, absent values last.  Keeping the
+    first (line, order) combination after the join equals keeping the first
+    line per (order, product) and the first order per order id before it, so
+    both sides are deduplicated first: the line dedupe takes a map-side top-1
+    and shuffles on (order, product), which spreads even an order holding a
+    large share of all lines over many tasks.
+
+    ``orders_typed``: ``orders`` is a written table of ``first_orders``.  Its
+    side of the join is then a plain shuffle, as is the line side, so AQE can
+    split a hot order over tasks; over a Window it could not.  Keys are long;
+    lines whose keys are no whole numbers go to ``quarantine_order_lines``.
+    """
+    lines = typed_lines(prior, train)
+    o = orders if orders_typed else first_orders(orders)
     p = products.select(
         "product_id", "product_name", "aisle_id", "aisle", "department_id", "department",
         "ai_product_theme", "ai_demand_type", "classification_method",
     )
     first_lines = keep_first(
-        lines.filter(F.col("order_id").isNotNull()),
+        lines.filter(~_rejected()).drop("raw_order_id", "raw_product_id"),
         ["order_id", "product_id"],
-        [F.col(c).asc_nulls_first() for c in ("eval_set_source", "add_to_cart_order", "reordered")],
+        [F.col(c).asc_nulls_last() for c in ("eval_set_source", "add_to_cart_order", "reordered")],
     )
-    first_orders = keep_first(
-        o.filter(F.col("order_id").isNotNull()),
-        ["order_id"],
-        [
-            F.col(c).asc_nulls_first()
-            for c in ("user_id", "order_number", "eval_set", "order_dow", "order_hour_of_day", "days_since_prior_order")
-        ],
-    )
-    joined = first_lines.join(first_orders, "order_id", "inner")
+    joined = first_lines.join(o, "order_id", "inner")
     fact = join_small(joined, p, "product_id", "left").select(*FACT_COLUMNS)
     return _with_ts(fact, "silver_updated_ts")
 
@@ -198,6 +228,11 @@ INVENTORY_COLUMNS = [
 ]
 
 
+# Shards over which the order numbers meet the products; each product row is
+# copied to all of them.
+GRID_SHARDS = 16
+
+
 def inventory_snapshots(
     fact: DataFrame,
     attributes: DataFrame,
@@ -219,12 +254,13 @@ def inventory_snapshots(
     NULL attribute never matches and sells 0; ``null_safe=True`` matches on
     the id alone instead.
 
-    Plan (no cross join, no grid shuffle): demand is aggregated by
-    (product, order number) and folded per product into a map whose size is
-    bounded by the number of distinct order numbers; the per-product rows are
-    hash-partitioned by product id, the sorted snapshot numbers (one small
-    array from a scalar subquery) are exploded in place, and the cumulative
-    window reuses that partitioning, so the grid is never shuffled.
+    Plan: the products are copied to a few shards, the distinct order numbers
+    are dealt over the same shards, and an equi-join on the shard gives every
+    (product, number) once as a row of zeros; the demand rows are added to
+    them by one aggregate per key.  The rows are hash-partitioned by product
+    first, which serves the aggregate and the cumulative window, so the grid
+    is shuffled once; the work is linear in its rows, and neither maps nor
+    arrays are built.  Order lines without an order number match no snapshot.
 
     ``demand`` (the written daily_product_demand: units and reordered units
     per order number and product) replaces re-aggregating the fact.
@@ -235,38 +271,32 @@ def inventory_snapshots(
             .groupBy("product_id", "order_number")
             .agg(F.count(F.lit(1)).alias("units_sold"), F.sum("reordered").alias("reordered_units"))
         )
-    per_product = (
-        demand.select("product_id", "order_number", "units_sold", "reordered_units")
-        .groupBy("product_id")
-        .agg(
-            F.map_from_entries(
-                F.collect_list(F.struct("order_number", F.struct("units_sold", "reordered_units")))
-            ).alias("sold")
-        )
-    )
-    numbers = (
-        fact.filter(F.col("order_number").isNotNull())
-        .agg(F.array_sort(F.collect_set("order_number")).alias("n"))
-        .scalar()
-    )
     attrs = attributes.select("product_id", *PRODUCT_ATTRIBUTES)
     complete = F.lit(True)
     if not null_safe:
         for c in PRODUCT_ATTRIBUTES:
             complete = complete & F.col(c).isNotNull()
-    hit = F.element_at(F.col("sold"), F.col("inventory_snapshot_number"))
-    grid = join_small(per_product, attrs, "product_id", "left").select(
-        "product_id",
-        *PRODUCT_ATTRIBUTES,
-        F.explode(numbers).alias("inventory_snapshot_number"),
-        F.when(complete, F.col("sold")).alias("sold"),
+    units = ["units_sold", "reordered_units"]
+    sold = demand.filter(F.col("order_number").isNotNull()).select(
+        "product_id", F.col("order_number").alias("inventory_snapshot_number"), *units)
+    numbers = fact.filter(F.col("order_number").isNotNull()).select(F.col("order_number").alias("inventory_snapshot_number")).distinct()
+    products = demand.select("product_id").distinct()
+    shard = F.pmod(F.xxhash64("inventory_snapshot_number"), F.lit(GRID_SHARDS))
+    zeros = (
+        products.withColumn("shard", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(GRID_SHARDS - 1).cast("long"))))
+        .join(numbers.withColumn("shard", shard), "shard")
+        .select("product_id", "inventory_snapshot_number", *[F.lit(0).cast("long").alias(c) for c in units])
+    )
+    grid = join_small(
+        zeros.unionByName(sold).repartition("product_id").groupBy("product_id", "inventory_snapshot_number")
+        .agg(*[F.sum(c).alias(c) for c in units]),
+        attrs, "product_id", "left",
     )
     w = Window.partitionBy("product_id").orderBy("inventory_snapshot_number").rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )
     out = (
-        grid.withColumn("units_sold", F.coalesce(hit.getField("units_sold"), F.lit(0).cast("long")))
-        .withColumn("reordered_units", F.coalesce(hit.getField("reordered_units"), F.lit(0).cast("long")))
+        grid.withColumns({c: F.when(complete, F.coalesce(c, F.lit(0))).otherwise(F.lit(0)).cast("long") for c in units})
         .withColumn("initial_inventory_qty", F.lit(initial))
         .withColumn(
             "restock_qty",
@@ -295,7 +325,6 @@ def latest_inventory_direct(
     qty: int = C.RESTOCK_QTY,
     reorder_point: int = C.REORDER_POINT,
     null_safe: bool = False,
-    reorder: DataFrame | None = None,
     demand: DataFrame | None = None,
 ) -> DataFrame:
     """The last snapshot of ``inventory_snapshots`` without building the grid.
@@ -314,19 +343,17 @@ def latest_inventory_direct(
     )
     latest = restocks.select("latest").scalar()
     n_restocks = restocks.select("n_restocks").scalar()
-    if reorder is not None and demand is not None:
-        at_latest = demand.filter(F.col("order_number") == latest).select(
-            "product_id", F.col("units_sold").alias("last_units"), F.col("reordered_units").alias("last_reordered")
+    # Units count only where they have an order number, as in the grid.
+    is_latest = F.col("order_number") == latest
+    if demand is not None:
+        totals = demand.groupBy("product_id").agg(
+            F.sum(F.when(F.col("order_number").isNotNull(), F.col("units_sold")).otherwise(0)).alias("units_total"),
+            F.sum(F.when(is_latest, F.col("units_sold")).otherwise(0)).alias("last_units"),
+            F.sum(F.when(is_latest, F.col("reordered_units"))).alias("last_reordered"),
         )
-        totals = join_small(
-            reorder.select("product_id", F.col("total_units_ordered").alias("units_total")),
-            at_latest, "product_id", "left",
-        ).select("product_id", "units_total", F.coalesce("last_units", F.lit(0).cast("long")).alias("last_units"),
-                 "last_reordered")
     else:
-        is_latest = F.col("order_number") == latest
         totals = ids.groupBy("product_id").agg(
-            F.count(F.lit(1)).alias("units_total"),
+            F.count("order_number").alias("units_total"),
             F.count(F.when(is_latest, True)).alias("last_units"),
             F.sum(F.when(is_latest, F.col("reordered"))).alias("last_reordered"),
         )

@@ -20,12 +20,10 @@ BUCKET_TARGET_BYTES = 256 * 1024 * 1024
 def bucket_count(spark: SparkSession, input_bytes: int | None = None,
                  target_bytes: int = BUCKET_TARGET_BYTES) -> int:
     """Buckets for a bucketed layer: about ``target_bytes`` of input per bucket
-    (each bucket is one task of a later join on the key), at most the
-    session's shuffle width."""
-    width = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    (each bucket is one task of a later join on the key)."""
     if input_bytes is None:
-        return width
-    return max(1, min(width, -(-input_bytes // target_bytes)))
+        return int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return max(1, -(-input_bytes // target_bytes))
 
 
 def write_bucketed(df: DataFrame, table: str, path: str, key: str, fmt: str = "parquet",

@@ -104,7 +104,10 @@ class Lineage:
         self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {SCRATCH_DB} LOCATION '{self.root}/_db'")
         sized = None if bucket_input is None else bucket_count(self.spark, estimated_bytes(bucket_input))
         write_bucketed(build(), table, path, bucket_by, buckets=sized)
-        return self.spark.table(table)
+        # The plan keeps the bucket layout; the catalog entry is not needed any more.
+        df = self.spark.table(table)
+        self.spark.sql(f"DROP TABLE {table}")
+        return df
 
     # raw / bronze ------------------------------------------------------------
     @cached_property
@@ -171,12 +174,24 @@ class Lineage:
     def attributes(self) -> DataFrame:
         return silver.product_attributes(self.dim_product_ai)
 
+    @cached_property
+    def quarantine_lines(self) -> DataFrame:
+        r = self.raw
+        return self._layer(
+            "quarantine_lines", lambda: silver.quarantine_order_lines(r.order_products_prior, r.order_products_train))
+
+    @cached_property
+    def fact_orders(self) -> DataFrame:
+        """One typed row per order, written: the fact joins a plain scan of it."""
+        return self._layer("fact_orders", lambda: silver.first_orders(self.raw.orders))
+
     @cached_property
     def fact(self) -> DataFrame:
         r = self.raw
         return self._layer(
             "fact",
-            lambda: silver.build_fact(r.order_products_prior, r.order_products_train, r.orders, self.dim_product_ai),
+            lambda: silver.build_fact(
+                r.order_products_prior, r.order_products_train, self.fact_orders, self.dim_product_ai, orders_typed=True),
             bucket_by="order_id",
             # bucket count from the real size of the line files feeding the fact
             bucket_input=r.order_products_prior.unionByName(r.order_products_train),
@@ -205,7 +220,7 @@ class Lineage:
         # The last snapshot in closed form (equal to filtering the grid at its
         # highest number, which ``gold.latest_stock`` does; tested equal).
         return silver.latest_inventory_direct(
-            self.fact, self.attributes, null_safe=self.null_safe_inventory, reorder=self.reorder, demand=self.demand
+            self.fact, self.attributes, null_safe=self.null_safe_inventory, demand=self.demand
         )
 
     @cached_property
@@ -225,11 +240,7 @@ class Lineage:
         counts = self.reorder.select("product_id", F.col("total_units_ordered").alias("n"))
         return self._layer(
             "pairs",
-            lambda: gold.basket_affinity(
-                self.fact, self.attributes, self.min_co_purchase, product_counts=counts,
-                # the largest cart position bounds every basket (one int column, one number)
-                basket_bound=self.fact.agg(F.max("add_to_cart_order")).first()[0],
-            ),
+            lambda: gold.basket_affinity(self.fact, self.attributes, self.min_co_purchase, product_counts=counts),
         )
 
     def table(self, name: str) -> DataFrame:

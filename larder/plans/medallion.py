@@ -50,8 +50,9 @@ def run_layers(
     landing_root: str,
     out_root: str,
     fmt: str = "parquet",
-    ingestion_date: str | None = "latest",
+    ingestion_date: str | None = None,
     escape: str | None = None,
+    sample_size: int = C.MODEL_SAMPLE_SIZE,
 ) -> dict[str, int]:
     """Build every table; returns {qualified table: rows written}."""
     create_layer_databases(spark, out_root)
@@ -78,7 +79,7 @@ def run_layers(
                                         bucket_by=bucket, buckets=buckets)
         return spark.table(qualified)
 
-    lineage = Lineage(spark, raw=raw, sink=sink)
+    lineage = Lineage(spark, raw=raw, sink=sink, sample_size=sample_size)
     for name in RUN_ORDER:
         getattr(lineage, name)
     return counts

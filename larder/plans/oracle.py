@@ -1,11 +1,12 @@
 """Independent DuckDB SQL for every registered query (the correctness oracle).
 
-The SQL restates the *source* semantics literally — group-bys over all seven
+The SQL restates the *source* semantics — group-bys over all seven
 or twelve attribute columns, the seven-key NULL-never-matches inventory
 join, the cross-join grid, the 12-column pair group-by with a distinct
 count, the max snapshot as a subquery — so agreement with the Spark plans
 (which regroup by ids, fold the grid into an explode, prune pairs first)
-checks those rewrites.  It reads the raw test tables (``part``, ``orders``,
+checks those rewrites.  One formula is not literal: the mean of the 30-order
+average divides a sum of whole numbers once (``_mean_of_shares``).  It reads the raw test tables (``part``, ``orders``,
 ``lineitem``) and rebuilds the fixture mapping too.
 
 Engine differences handled here: lenient int casts are guarded by a regex
@@ -19,16 +20,29 @@ from __future__ import annotations
 import re
 
 from larder import constants as C
+from larder.operators.silver import REJECTED_LINE
 
+LANDING_DATE = "2024-01-01"
 
-def _lenient(x: str) -> str:
-    return f"CASE WHEN regexp_full_match({x}, '\\s*[+-]?[0-9]+\\s*') THEN TRY_CAST(trim({x}) AS INTEGER) END"
+
+def _lenient(x: str, kind: str = "INTEGER") -> str:
+    return f"CASE WHEN regexp_full_match({x}, '\\s*[+-]?[0-9]+\\s*') THEN TRY_CAST(trim({x}) AS {kind}) END"
+
+
+def _order_id(x: str) -> str:
+    return f"CASE WHEN {x} % {C.FIXTURE_LARGE_ID_MOD} = 0 THEN {x} + {C.FIXTURE_LARGE_ID_ADD} ELSE {x} END"
 
 
 def _round(x: str, k: int) -> str:
     return f"CAST(round(CAST(CAST({x} AS VARCHAR) AS DECIMAL(38,18)), {k}) AS DOUBLE)"
 
 
+def _mean_of_shares(x: str, n: int) -> str:
+    """``avg(x / n)`` for whole numbers, divided once so that the result does
+    not depend on the order in which an engine adds fractions."""
+    return f"CAST(sum({x}) AS BIGINT) / (count({x}) * {n})"
+
+
 def _list(values: list[str]) -> str:
     return "[" + ", ".join("'" + v.replace("'", "''") + "'" for v in values) + "]"
 
@@ -57,13 +71,20 @@ def _demand_rule(col: str) -> str:
     return f"CASE {whens} ELSE '{C.DEMAND_DEFAULT}' END"
 
 
-M, D = C.FIXTURE_PRODUCT_MODULUS, C.FIXTURE_PRODUCT_DIVISOR
+M = f"greatest({C.FIXTURE_PRODUCT_MODULUS}, (SELECT count(*) FROM part) // {C.FIXTURE_PARTS_PER_MODULUS})"
+
+
+def _product(key: str) -> str:
+    k = f"({key} % {M})"
+    return f"({k} * {k} * {k}) // ({M} * {M})"
+
+
 ATTRS = "product_name, aisle, department, ai_product_theme, ai_demand_type"
 
 CTES: dict[str, str] = {
     # ---------------------------------------------------------------- fixture
     "fx_orders": f"""
-        SELECT o_orderkey AS order_id, o_custkey AS user_id,
+        SELECT {_order_id('o_orderkey')} AS order_id, o_custkey AS user_id,
                CASE WHEN lead(o_orderkey) OVER w IS NULL THEN 'train' ELSE 'prior' END AS eval_set,
                CAST(row_number() OVER w AS INTEGER) AS order_number,
                o_orderkey % 7 AS order_dow, o_orderkey % 24 AS order_hour_of_day,
@@ -71,8 +92,8 @@ CTES: dict[str, str] = {
         FROM orders
         WINDOW w AS (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey)""",
     "fx_lines0": f"""
-        SELECT l_orderkey AS order_id,
-               ((l_partkey % {M}) * (l_partkey % {M}) * (l_partkey % {M})) // {D} AS product_id,
+        SELECT {_order_id('l_orderkey')} AS order_id,
+               {_product('l_partkey')} AS product_id,
                CAST(row_number() OVER (PARTITION BY l_orderkey
                     ORDER BY l_linenumber, l_partkey, l_suppkey, l_shipdate, l_extendedprice) AS INTEGER)
                  AS add_to_cart_order
@@ -85,7 +106,7 @@ CTES: dict[str, str] = {
         FROM fx_lines0 l JOIN fx_orders o USING (order_id)""",
     "fx_op_prior": "SELECT order_id, product_id, add_to_cart_order, reordered FROM fx_lines WHERE eval_set = 'prior'",
     "fx_op_train": "SELECT order_id, product_id, add_to_cart_order, reordered FROM fx_lines WHERE eval_set = 'train'",
-    "fx_pid": f"SELECT DISTINCT ((p_partkey % {M}) * (p_partkey % {M}) * (p_partkey % {M})) // {D} AS pid FROM part",
+    "fx_pid": f"SELECT DISTINCT {_product('p_partkey')} AS pid FROM part",
     "fx_products": f"""
         SELECT CAST(pid AS VARCHAR) AS product_id,
                {_list(C.FIXTURE_PRODUCT_NAMES)}[pid % {len(C.FIXTURE_PRODUCT_NAMES)} + 1] || ' ' || CAST(pid AS VARCHAR)
@@ -104,16 +125,16 @@ CTES: dict[str, str] = {
     "dim_aisle": f"""
         SELECT aisle_id, aisle FROM (
           SELECT {_lenient('aisle_id')} AS aisle_id, trim(lower(aisle)) AS aisle,
-                 row_number() OVER (PARTITION BY {_lenient('aisle_id')} ORDER BY trim(lower(aisle)) NULLS FIRST) AS rn
+                 row_number() OVER (PARTITION BY {_lenient('aisle_id')} ORDER BY trim(lower(aisle)) NULLS LAST) AS rn
           FROM fx_aisles) WHERE aisle_id IS NOT NULL AND rn = 1""",
     "dim_department": f"""
         SELECT department_id, department FROM (
           SELECT {_lenient('department_id')} AS department_id, trim(lower(department)) AS department,
                  row_number() OVER (PARTITION BY {_lenient('department_id')}
-                                    ORDER BY trim(lower(department)) NULLS FIRST) AS rn
+                                    ORDER BY trim(lower(department)) NULLS LAST) AS rn
           FROM fx_departments) WHERE department_id IS NOT NULL AND rn = 1""",
     "products_clean": f"""
-        SELECT {_lenient('product_id')} AS product_id, trim(product_name) AS product_name,
+        SELECT {_lenient('product_id', 'BIGINT')} AS product_id, trim(product_name) AS product_name,
                {_lenient('aisle_id')} AS aisle_id, {_lenient('department_id')} AS department_id,
                product_id AS raw_product_id, aisle_id AS raw_aisle_id, department_id AS raw_department_id
         FROM fx_products""",
@@ -130,8 +151,8 @@ CTES: dict[str, str] = {
         LEFT JOIN dim_department d ON p.department_id = d.department_id""",
     "dim_product": """
         SELECT product_id, product_name, aisle_id, aisle, department_id, department, TRUE AS is_current FROM (
-          SELECT *, row_number() OVER (PARTITION BY product_id ORDER BY product_name NULLS FIRST,
-                 aisle_id NULLS FIRST, department_id NULLS FIRST, aisle NULLS FIRST, department NULLS FIRST) AS rn
+          SELECT *, row_number() OVER (PARTITION BY product_id ORDER BY product_name NULLS LAST,
+                 aisle_id NULLS LAST, department_id NULLS LAST, aisle NULLS LAST, department NULLS LAST) AS rn
           FROM product_lookup) WHERE rn = 1""",
     "ruled": f"""
         SELECT *, {_theme_rule('department')} AS fallback_product_theme,
@@ -139,7 +160,7 @@ CTES: dict[str, str] = {
         FROM dim_product""",
     "sample": f"""
         SELECT product_id, product_name, aisle, department FROM dim_product
-        WHERE product_name IS NOT NULL ORDER BY product_id LIMIT {C.MODEL_SAMPLE_SIZE}""",
+        WHERE product_name IS NOT NULL ORDER BY product_id LIMIT {C.QUERY_SAMPLE_SIZE}""",
     "kw": f"""
         SELECT * FROM (VALUES
         {_keyword_rows()}) AS t(task, label, pos, keyword)""",
@@ -193,8 +214,8 @@ CTES: dict[str, str] = {
                o.user_id, o.eval_set, o.order_number, o.order_dow, o.order_hour_of_day, o.days_since_prior_order
         FROM op_all op JOIN fx_orders o ON op.order_id = o.order_id""",
     "typed_lines": """
-        SELECT TRY_CAST(order_id AS INTEGER) AS order_id, TRY_CAST(user_id AS INTEGER) AS user_id,
-               TRY_CAST(product_id AS INTEGER) AS product_id,
+        SELECT TRY_CAST(order_id AS BIGINT) AS order_id, TRY_CAST(user_id AS BIGINT) AS user_id,
+               TRY_CAST(product_id AS BIGINT) AS product_id,
                TRY_CAST(add_to_cart_order AS INTEGER) AS add_to_cart_order,
                TRY_CAST(reordered AS INTEGER) AS reordered, eval_set, eval_set_source,
                TRY_CAST(order_number AS INTEGER) AS order_number, TRY_CAST(order_dow AS INTEGER) AS order_dow,
@@ -204,10 +225,20 @@ CTES: dict[str, str] = {
     "deduped": """
         SELECT * EXCLUDE (rn) FROM (
           SELECT *, row_number() OVER (PARTITION BY order_id, product_id ORDER BY
-                 eval_set_source NULLS FIRST, add_to_cart_order NULLS FIRST, reordered NULLS FIRST,
-                 user_id NULLS FIRST, order_number NULLS FIRST, eval_set NULLS FIRST, order_dow NULLS FIRST,
-                 order_hour_of_day NULLS FIRST, days_since_prior_order NULLS FIRST) AS rn
+                 eval_set_source NULLS LAST, add_to_cart_order NULLS LAST, reordered NULLS LAST,
+                 user_id NULLS LAST, order_number NULLS LAST, eval_set NULLS LAST, order_dow NULLS LAST,
+                 order_hour_of_day NULLS LAST, days_since_prior_order NULLS LAST) AS rn
           FROM typed_lines) WHERE rn = 1""",
+    "raw_text_lines": f"""
+        SELECT CASE WHEN order_id % {C.FIXTURE_BAD_LINE_MOD} = 1 THEN 'order ' || CAST(order_id AS VARCHAR)
+                    ELSE CAST(order_id AS VARCHAR) END AS order_id,
+               CASE WHEN order_id % {C.FIXTURE_BAD_LINE_MOD} = 2 THEN CAST(product_id AS VARCHAR) || '.5'
+                    WHEN order_id % {C.FIXTURE_BAD_LINE_MOD} = 3 THEN NULL
+                    ELSE CAST(product_id AS VARCHAR) END AS product_id,
+               add_to_cart_order, reordered, eval_set_source FROM op_all""",
+    "typed_text_lines": f"""
+        SELECT {_lenient('order_id', 'BIGINT')} AS order_key, {_lenient('product_id', 'BIGINT')} AS product_key, *
+        FROM raw_text_lines""",
     "fact": """
         SELECT l.order_id, l.user_id, l.product_id, p.product_name, p.aisle_id, p.aisle, p.department_id,
                p.department, p.ai_product_theme, p.ai_demand_type, p.classification_method,
@@ -275,8 +306,7 @@ CTES: dict[str, str] = {
     "demand_summary": f"""
         SELECT product_id, max(product_name) AS product_name, max(aisle) AS aisle, max(department) AS department,
                max(ai_product_theme) AS ai_product_theme, max(ai_demand_type) AS ai_demand_type,
-               CAST(sum(units_sold_30_orders) AS BIGINT) / (count(units_sold_30_orders) * {C.LONG_WINDOW})
-                 AS avg_units_per_order_window_30,
+               {_mean_of_shares('units_sold_30_orders', C.LONG_WINDOW)} AS avg_units_per_order_window_30,
                avg(reorder_rate) AS avg_reorder_rate
         FROM demand GROUP BY product_id""",
     "stock_joined": """
@@ -364,6 +394,12 @@ FINAL: dict[str, str] = {
     "dedup_order_product": """
         SELECT order_id, product_id, user_id, add_to_cart_order, reordered, eval_set_source FROM deduped""",
     "fact_order_products": _FACT_ALL,
+    "quarantine_order_lines": f"""
+        SELECT order_id AS raw_order_id, product_id AS raw_product_id, add_to_cart_order, reordered, eval_set_source,
+               '{REJECTED_LINE}' AS quarantine_reason FROM typed_text_lines
+        WHERE order_key IS NULL OR (product_key IS NULL AND product_id IS NOT NULL)""",
+    "count_fact_by_classification_method": """
+        SELECT classification_method, count(*) AS line_count FROM fact GROUP BY classification_method""",
     "filter_not_null": """
         SELECT order_id, product_id, order_number FROM fact
         WHERE product_id IS NOT NULL AND order_number IS NOT NULL""",
@@ -458,10 +494,15 @@ FINAL: dict[str, str] = {
 }
 
 FINAL["landing_report"] = f"""
-    SELECT entity, file_name, 'uploaded' AS status, row_count FROM (
+    SELECT entity, file_name, CASE WHEN entity = '{C.QUERY_MISSING_ENTITY}' THEN 'skipped' ELSE 'uploaded' END AS status,
+           CASE WHEN entity <> '{C.QUERY_MISSING_ENTITY}' THEN row_count END AS row_count FROM (
       SELECT c.entity, f.file_name, c.row_count FROM ({FINAL['raw_row_counts']}) c
       JOIN (VALUES {", ".join(f"('{e}', '{C.RAW_FILE_NAMES[e]}')" for e in C.RAW_ENTITIES)}) AS f(entity, file_name)
         ON c.entity = f.entity)"""
+FINAL["landing_totals"] = f"SELECT {len(C.RAW_ENTITIES) - 1} AS uploaded, 1 AS skipped"
+FINAL["raw_file_inventory"] = f"""
+    SELECT entity, '{LANDING_DATE}' AS ingestion_date, {C.QUERY_LANDING_FILES} AS n_files, row_count
+    FROM ({FINAL['raw_row_counts']})"""
 FINAL["stream_bronze_counts"] = FINAL["raw_row_counts"]
 FINAL["bronze_counts"] = f"""
     SELECT 'bronze_' || entity AS table_name, row_count FROM ({FINAL['raw_row_counts']})"""
@@ -488,7 +529,9 @@ _VALIDATION_SOURCES = [
 FINAL["final_validation"] = "\nUNION ALL ".join(
     f"SELECT '{table}' AS table_name, count(*) AS row_count, 'OK' AS status FROM {cte}"
     for table, cte in _VALIDATION_SOURCES
-)
+) + f"""
+UNION ALL SELECT '{C.QUERY_ABSENT_TABLE}', NULL, 'ERROR: missing'
+UNION ALL SELECT '{C.QUERY_UNREADABLE_TABLE}', NULL, 'ERROR: unreadable'"""
 
 
 def _deps(sql: str) -> list[str]:

@@ -18,16 +18,25 @@ from larder.operators import gold, maintenance, silver, validate
 from larder.operators.classify import classify_rules
 from larder.plans import dashboard, layers, medallion
 from larder.plans.lineage import Lineage, comparable
+from larder.plans.oracle import LANDING_DATE
 from larder.session import scratch_dir
 from larder.sources import bronze, landing
+from larder.sources.fixture import text_lines
 
 Query = Callable[[SparkSession, str], DataFrame]
-LANDING_DATE = "2024-01-01"
 RELANDING_DATE = "2024-01-02"
 
 
+# One lineage per application and input: queries share the layers that are
+# already written.
+_LINEAGES: dict[tuple[str, str], Lineage] = {}
+
+
 def _lin(spark: SparkSession, sf_dir: str) -> Lineage:
-    return Lineage(spark, sf_dir)
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _LINEAGES:
+        _LINEAGES[key] = Lineage(spark, sf_dir, sample_size=C.QUERY_SAMPLE_SIZE)
+    return _LINEAGES[key]
 
 
 def _from(attr: str, *cols: str) -> Query:
@@ -41,12 +50,11 @@ def _from(attr: str, *cols: str) -> Query:
 # ------------------------------------------------------------------ landing
 
 
-def _landed(spark: SparkSession, sf_dir: str, dates: tuple[str, ...] = (LANDING_DATE,)) -> str:
-    """Land the six raw entities (derived from the test tables) as CSV."""
+def _landed(spark: SparkSession, sf_dir: str, without: str | None = None, files: int | None = None) -> str:
+    """Land the raw entities (derived from the test tables) as CSV."""
     root = scratch_dir(spark, "landing")
     tables = _lin(spark, sf_dir).raw.as_dict()  # derived once, written, then landed
-    for d in dates:
-        landing.land_all(tables, root, d)
+    landing.land_all(tables, root, LANDING_DATE, [e for e in C.RAW_ENTITIES if e != without], files)
     return root
 
 
@@ -60,11 +68,16 @@ def q_raw_row_counts(spark, sf_dir):
 
 
 def q_raw_file_inventory(spark, sf_dir):
-    return landing.file_inventory(spark, _landed(spark, sf_dir)).drop("file_path", "file_size")
+    files = landing.file_inventory(spark, _landed(spark, sf_dir, files=C.QUERY_LANDING_FILES))
+    return files.groupBy("entity", "ingestion_date").agg(F.count(F.lit(1)).alias("n_files"), F.sum("row_count").alias("row_count"))
 
 
 def q_landing_report(spark, sf_dir):
-    return landing.landing_report(spark, _landed(spark, sf_dir))
+    return landing.landing_report(spark, _landed(spark, sf_dir, without=C.QUERY_MISSING_ENTITY))
+
+
+def q_landing_totals(spark, sf_dir):
+    return landing.landing_totals(q_landing_report(spark, sf_dir))
 
 
 def q_landing_latest_partition(spark, sf_dir):
@@ -72,7 +85,7 @@ def q_landing_latest_partition(spark, sf_dir):
     products = _lin(spark, sf_dir).raw.products
     for d in (LANDING_DATE, RELANDING_DATE):  # the same file landed twice
         landing.land_entity(products, root, "products", d)
-    return landing.read_landing(spark, root, "products").drop("ingestion_date")
+    return landing.read_landing(spark, root, "products").select(*landing.RAW_SCHEMAS["products"])
 
 
 def q_bronze_counts(spark, sf_dir):
@@ -110,8 +123,15 @@ def q_stream_bronze_counts(spark, sf_dir):
 
 def q_final_validation(spark, sf_dir):
     out = scratch_dir(spark, "layers")
-    medallion.run_layers(spark, _landed(spark, sf_dir), out)
-    return validate.validate_tables(spark)
+    medallion.run_layers(spark, _landed(spark, sf_dir), out, sample_size=C.QUERY_SAMPLE_SIZE)
+    # A table over files that are no Parquet, and one that was never written.
+    text = f"{out}/unreadable"
+    _lin(spark, sf_dir).dim_aisle.selectExpr("aisle AS value").write.text(text)
+    spark.sql(f"DROP TABLE IF EXISTS {C.QUERY_UNREADABLE_TABLE}")
+    spark.sql(f"CREATE TABLE {C.QUERY_UNREADABLE_TABLE} (x INT) USING parquet LOCATION '{text}'")
+    report = validate.validate_tables(spark, [*C.VALIDATION_TABLES, C.QUERY_ABSENT_TABLE, C.QUERY_UNREADABLE_TABLE])
+    spark.sql(f"DROP TABLE {C.QUERY_UNREADABLE_TABLE}")
+    return report.drop("reason")
 
 
 def q_catalog_listing(spark, sf_dir):
@@ -190,6 +210,15 @@ def q_count_by_classification_method(spark, sf_dir):
     return _lin(spark, sf_dir).dim_product_ai.groupBy("classification_method").count()
 
 
+def q_count_fact_by_classification_method(spark, sf_dir):
+    return _lin(spark, sf_dir).fact.groupBy("classification_method").agg(F.count(F.lit(1)).alias("line_count"))
+
+
+def q_quarantine_order_lines(spark, sf_dir):
+    r = _lin(spark, sf_dir).raw
+    return silver.quarantine_order_lines(text_lines(r.order_products_prior), text_lines(r.order_products_train))
+
+
 def q_filter_not_null(spark, sf_dir):
     return _lin(spark, sf_dir).fact.filter(F.col("product_id").isNotNull() & F.col("order_number").isNotNull()) \
         .select("order_id", "product_id", "order_number")
@@ -248,8 +277,7 @@ def q_project_basket_sides(spark, sf_dir):
 def q_join_self_pairs(spark, sf_dir):
     L = _lin(spark, sf_dir)
     counts = L.reorder.select("product_id", F.col("total_units_ordered").alias("n"))
-    bound = L.fact.agg(F.max("add_to_cart_order")).first()[0]
-    return gold.co_purchase_counts(gold.basket_lines(L.fact), product_counts=counts, basket_bound=bound)
+    return gold.co_purchase_counts(gold.basket_lines(L.fact), product_counts=counts)
 
 
 # ----------------------------------------------------------------------- dashboard
@@ -258,8 +286,7 @@ def q_join_self_pairs(spark, sf_dir):
 def _dash(name: str) -> Query:
     def q(spark: SparkSession, sf_dir: str) -> DataFrame:
         L = _lin(spark, sf_dir)
-        tables = {param: L.table(t) for param, t in dashboard.DASHBOARD_INPUTS[name].items()}
-        return dashboard.dashboard_query(spark, name, **tables)
+        return dashboard.dashboard_query(name, L.table)
 
     return q
 
@@ -271,6 +298,7 @@ QUERIES: dict[str, Query] = {
     "raw_row_counts": q_raw_row_counts,
     "landing_latest_partition": q_landing_latest_partition,
     "landing_report": q_landing_report,
+    "landing_totals": q_landing_totals,
     "bronze_counts": q_bronze_counts,
     "stream_bronze_counts": q_stream_bronze_counts,
     # 2.2 sinks, catalog, maintenance
@@ -298,6 +326,8 @@ QUERIES: dict[str, Query] = {
     "join_inner_orders": q_join_inner_orders,
     "dedup_order_product": q_dedup_order_product,
     "fact_order_products": _from("fact"),
+    "quarantine_order_lines": q_quarantine_order_lines,
+    "count_fact_by_classification_method": q_count_fact_by_classification_method,
     "filter_not_null": q_filter_not_null,
     "agg_count_by_department": q_agg_count_by_department,
     "agg_sum_reordered": q_agg_sum_reordered,
@@ -326,8 +356,8 @@ QUERIES: dict[str, Query] = {
     "join_self_pairs": q_join_self_pairs,
     "basket_affinity": _from("pairs"),
     # 2.12 dashboard
-    **{name: _dash(name) for name in dashboard.DASHBOARD_SQL},
+    **{name: _dash(name) for name in dashboard.DASHBOARDS},
 }
 
-# Rows-only checks: file names and catalog contents have no SQL counterpart.
-ROWS_ONLY = {"raw_file_inventory", "catalog_listing"}
+# Rows-only check: catalog contents have no SQL counterpart.
+ROWS_ONLY = {"catalog_listing"}

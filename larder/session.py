@@ -35,11 +35,15 @@ def scratch_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh folder under the cluster's shared checkpoint location.
 
     ``spark.checkpoint.dir`` names storage every executor can reach; it is
-    read from the session.  Only when it is unset (local tests) is one made
-    here.  Each call returns a new sub-folder, so runs never collide.
+    read from the session.  Only in local mode is one made here where it is
+    unset; a cluster without one is an error, as its executors do not share
+    local folders.  Each call returns a new sub-folder, so runs never collide.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        master = spark.conf.get("spark.master", "")
+        if master.split("[")[0] != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="larder-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
         spark.sparkContext.setCheckpointDir(root)

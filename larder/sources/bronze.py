@@ -9,22 +9,26 @@ from pyspark.sql import functions as F
 
 from larder import constants as C
 from larder.sources.fixture import RawTables
-from larder.sources.landing import RAW_SCHEMAS, read_landing
+from larder.sources.landing import RAW_SCHEMAS, landing_dates, read_landing
 
 
 def read_bronze(
     spark: SparkSession,
     root: str,
     entity: str,
-    ingestion_date: str | None = "latest",
+    ingestion_date: str | None = None,
     escape: str | None = None,
 ) -> DataFrame:
     """Landed rows plus ``source_file`` (the file each row came from) and
     ``bronze_ingestion_ts``."""
     df = read_landing(spark, root, entity, ingestion_date, escape)
+    if not landing_dates(spark, root, entity):
+        source = F.lit(None).cast("string")
+    else:
+        source = F.col("_file_path" if "_file_path" in df.columns else "_metadata.file_path")
     return df.select(
         *RAW_SCHEMAS[entity],
-        F.col("_metadata.file_path").alias("source_file"),
+        source.alias("source_file"),
         F.current_timestamp().alias("bronze_ingestion_ts"),
     )
 
@@ -33,7 +37,7 @@ def ingest_bronze(
     spark: SparkSession,
     root: str,
     entities: Iterable[str] = C.RAW_ENTITIES,
-    ingestion_date: str | None = "latest",
+    ingestion_date: str | None = None,
     escape: str | None = None,
 ) -> dict[str, DataFrame]:
     return {e: read_bronze(spark, root, e, ingestion_date, escape) for e in entities}

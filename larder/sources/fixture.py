@@ -18,8 +18,9 @@ from larder import constants as C
 from larder.operators.sequence import sequence_within
 
 
-def product_of_part(partkey: str | Column, modulus: int, divisor: int) -> Column:
-    """``floor(k^3 / divisor)`` with ``k = partkey % modulus`` (skews demand)."""
+def product_of_part(partkey: str | Column, modulus: int) -> Column:
+    """``floor(k^3 / modulus^2)`` with ``k = partkey % modulus`` (skews demand)."""
+    divisor = modulus * modulus
     k = (F.col(partkey) if isinstance(partkey, str) else partkey) % F.lit(modulus)
     return ((k * k * k) - (k * k * k) % F.lit(divisor)) / F.lit(divisor)
 
@@ -39,6 +40,27 @@ class RawTables:
         return {name: getattr(self, name) for name in C.RAW_ENTITIES}
 
 
+def product_modulus(spark: SparkSession, sf_dir: str) -> int:
+    """Grows with the number of parts, so that the catalogue does."""
+    return max(C.FIXTURE_PRODUCT_MODULUS, _read(spark, sf_dir, "part").count() // C.FIXTURE_PARTS_PER_MODULUS)
+
+
+def order_id_of(orderkey: str) -> Column:
+    """The order key; every few orders get an id beyond 32 bits."""
+    k = F.col(orderkey)
+    return F.when(k % C.FIXTURE_LARGE_ID_MOD == 0, k + C.FIXTURE_LARGE_ID_ADD).otherwise(k)
+
+
+def text_lines(lines: DataFrame) -> DataFrame:
+    """Order lines as text, as a CSV has them, some with keys that are no numbers."""
+    bad = F.col("order_id") % C.FIXTURE_BAD_LINE_MOD
+    order, product = F.col("order_id").cast("string"), F.col("product_id").cast("string")
+    return lines.withColumns({
+        "order_id": F.when(bad == 1, F.concat(F.lit("order "), order)).otherwise(order),
+        "product_id": F.when(bad == 2, F.concat(product, F.lit(".5"))).when(bad != 3, product),
+    })
+
+
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
@@ -53,7 +75,7 @@ def fixture_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = _read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     seq = sequence_within(o, ["o_custkey"], ["o_orderdate", "o_orderkey"], lag=["o_orderdate"])
     return seq.select(
-        F.col("o_orderkey").alias("order_id"),
+        order_id_of("o_orderkey").alias("order_id"),
         F.col("o_custkey").alias("user_id"),
         F.when(F.col("_is_last"), F.lit("train")).otherwise(F.lit("prior")).alias("eval_set"),
         F.col("_seq").alias("order_number"),
@@ -67,8 +89,7 @@ def fixture_order_lines(
     spark: SparkSession,
     sf_dir: str,
     orders: DataFrame,
-    modulus: int = C.FIXTURE_PRODUCT_MODULUS,
-    divisor: int = C.FIXTURE_PRODUCT_DIVISOR,
+    modulus: int | None = None,
 ) -> DataFrame:
     """All order lines with cart position, reorder flag and their order's eval_set.
 
@@ -84,8 +105,8 @@ def fixture_order_lines(
         li, ["l_orderkey"], ["l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_extendedprice"]
     )
     lines = carted.select(
-        F.col("l_orderkey").alias("order_id"),
-        product_of_part("l_partkey", modulus, divisor).cast("long").alias("product_id"),
+        order_id_of("l_orderkey").alias("order_id"),
+        product_of_part("l_partkey", modulus or product_modulus(spark, sf_dir)).cast("long").alias("product_id"),
         F.col("_seq").alias("add_to_cart_order"),
     )
     with_orders = lines.join(orders.select("order_id", "user_id", "order_number", "eval_set"), "order_id")
@@ -104,12 +125,11 @@ def fixture_order_lines(
 def fixture_product_ids(
     spark: SparkSession,
     sf_dir: str,
-    modulus: int = C.FIXTURE_PRODUCT_MODULUS,
-    divisor: int = C.FIXTURE_PRODUCT_DIVISOR,
+    modulus: int | None = None,
 ) -> DataFrame:
     return (
         _read(spark, sf_dir, "part")
-        .select(product_of_part("p_partkey", modulus, divisor).cast("long").alias("pid"))
+        .select(product_of_part("p_partkey", modulus or product_modulus(spark, sf_dir)).cast("long").alias("pid"))
         .distinct()
     )
 
@@ -151,15 +171,14 @@ def fixture_departments(pids: DataFrame) -> DataFrame:
 def fixture_frames(
     spark: SparkSession,
     sf_dir: str,
-    modulus: int = C.FIXTURE_PRODUCT_MODULUS,
-    divisor: int = C.FIXTURE_PRODUCT_DIVISOR,
+    modulus: int | None = None,
 ) -> dict[str, DataFrame]:
     """orders, all order lines (with ``eval_set``), products, aisles, departments."""
     orders = fixture_orders(spark, sf_dir)
-    pids = fixture_product_ids(spark, sf_dir, modulus, divisor)
+    pids = fixture_product_ids(spark, sf_dir, modulus)
     return {
         "orders": orders,
-        "order_lines": fixture_order_lines(spark, sf_dir, orders, modulus, divisor),
+        "order_lines": fixture_order_lines(spark, sf_dir, orders, modulus),
         "products": fixture_products(pids),
         "aisles": fixture_aisles(pids),
         "departments": fixture_departments(pids),
@@ -185,8 +204,7 @@ def split_lines(frames: dict[str, DataFrame]) -> RawTables:
 def raw_tables(
     spark: SparkSession,
     sf_dir: str,
-    modulus: int = C.FIXTURE_PRODUCT_MODULUS,
-    divisor: int = C.FIXTURE_PRODUCT_DIVISOR,
+    modulus: int | None = None,
 ) -> RawTables:
     """All six raw entities derived from the test tables at ``sf_dir``."""
-    return split_lines(fixture_frames(spark, sf_dir, modulus, divisor))
+    return split_lines(fixture_frames(spark, sf_dir, modulus))

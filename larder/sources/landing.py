@@ -32,16 +32,29 @@ def raw_schema(entity: str) -> T.StructType:
     return T.StructType([T.StructField(c, T.StringType(), True) for c in RAW_SCHEMAS[entity]])
 
 
-def land_entity(df: DataFrame, root: str, entity: str, ingestion_date: str) -> str:
-    """Write one entity as header CSV into its dated landing folder."""
+# What tells the rows of an entity apart when it lands more than once.
+RAW_KEYS = {
+    "orders": ["order_id"],
+    "order_products_prior": ["order_id", "product_id"],
+    "order_products_train": ["order_id", "product_id"],
+    "products": ["product_id"],
+    "aisles": ["aisle_id"],
+    "departments": ["department_id"],
+}
+
+
+def land_entity(df: DataFrame, root: str, entity: str, ingestion_date: str, files: int | None = None) -> str:
+    """Write one entity as header CSV into its dated landing folder, as
+    ``files`` files if that is given."""
     path = f"{root}/{entity}/ingestion_date={ingestion_date}"
-    df.select(*RAW_SCHEMAS[entity]).write.mode("overwrite").option("header", True).csv(path)
+    df = df.select(*RAW_SCHEMAS[entity])
+    (df.repartition(files) if files else df).write.mode("overwrite").option("header", True).csv(path)
     return path
 
 
 def land_all(tables: dict[str, DataFrame], root: str, ingestion_date: str,
-             entities: Iterable[str] = C.RAW_ENTITIES) -> dict[str, str]:
-    return {e: land_entity(tables[e], root, e, ingestion_date) for e in entities if e in tables}
+             entities: Iterable[str] = C.RAW_ENTITIES, files: int | None = None) -> dict[str, str]:
+    return {e: land_entity(tables[e], root, e, ingestion_date, files) for e in entities if e in tables}
 
 
 def landing_dates(spark: SparkSession, root: str, entity: str) -> list[str]:
@@ -55,72 +68,85 @@ def landing_dates(spark: SparkSession, root: str, entity: str) -> list[str]:
     return sorted(n.split("=", 1)[1] for n in names if n.startswith("ingestion_date="))
 
 
+def newest_of_each(df: DataFrame, keys: list[str]) -> DataFrame:
+    """Of the landings that hold a key, its rows of the newest one.  Rows
+    without a whole key are never replaced."""
+    newest = df.groupBy(*keys).agg(F.max("ingestion_date").alias("_newest"))
+    kept = df.join(newest, keys, "left")
+    return kept.filter(F.col("_newest").isNull() | (F.col("ingestion_date") == F.col("_newest"))).drop("_newest")
+
+
 def read_landing(
     spark: SparkSession,
     root: str,
     entity: str,
-    ingestion_date: str | None = "latest",
+    ingestion_date: str | None = None,
     escape: str | None = None,
+    every_version: bool = False,
 ) -> DataFrame:
     """Header CSV of one entity with a text schema plus ``ingestion_date``.
 
-    ``ingestion_date='latest'`` keeps only the newest landing (a partition
-    filter, so older folders are never opened); ``None`` reads every landing,
-    which doubles rows when the same file landed twice.  ``escape`` is the
-    CSV quote-escape character; the reader default is a backslash, with which
-    a doubled quote followed by a comma shifts the columns of that row.
+    All landings are read, and of a key that landed several times only the
+    newest rows are kept (``every_version=True`` keeps all), so landings may be
+    increments or whole copies.  A given ``ingestion_date`` reads that landing
+    alone (a partition filter).  ``escape`` is the CSV quote-escape character;
+    the reader default is a backslash, with which a doubled quote followed by
+    a comma shifts the columns of that row.  An entity that never landed has
+    no rows.
     """
+    dates = landing_dates(spark, root, entity)
+    if not dates:
+        schema = T.StructType([*raw_schema(entity).fields, T.StructField("ingestion_date", T.DateType(), True)])
+        return spark.createDataFrame([], schema)
     reader = spark.read.schema(raw_schema(entity)).option("header", True)
     if escape is not None:
         reader = reader.option("escape", escape)
     df = reader.csv(f"{root}/{entity}")
-    if ingestion_date == "latest":
-        dates = landing_dates(spark, root, entity)
-        ingestion_date = dates[-1] if dates else None
-        if ingestion_date is None:
-            return df
     if ingestion_date is not None:
-        df = df.filter(F.col("ingestion_date") == F.lit(ingestion_date).cast(df.schema["ingestion_date"].dataType))
-    return df
+        return df.filter(F.col("ingestion_date") == F.lit(ingestion_date).cast(df.schema["ingestion_date"].dataType))
+    if every_version or len(dates) == 1:
+        return df
+    # the join would hide the files' metadata column
+    named = df.withColumn("_file_path", F.col("_metadata.file_path"))
+    return newest_of_each(named, RAW_KEYS[entity])
 
 
-def file_inventory(spark: SparkSession, root: str, entities: Iterable[str] = C.RAW_ENTITIES) -> DataFrame:
-    """Per landed file: entity, ingestion date, path, size, rows.  A distributed
-    scan of the hidden ``_metadata`` column, grouped by file."""
-    frames = []
-    for e in entities:
-        if not landing_dates(spark, root, e):
-            continue
-        df = read_landing(spark, root, e, ingestion_date=None)
-        frames.append(
-            df.select(
-                F.lit(e).alias("entity"),
-                F.col("ingestion_date").cast("string").alias("ingestion_date"),
-                F.col("_metadata.file_path").alias("file_path"),
-                F.col("_metadata.file_size").alias("file_size"),
-            )
-            .groupBy("entity", "ingestion_date", "file_path", "file_size")
-            .agg(F.count(F.lit(1)).alias("row_count"))
-        )
+def _union(frames: list[DataFrame]) -> DataFrame:
     out = frames[0]
     for f in frames[1:]:
         out = out.unionByName(f)
     return out
 
 
+def file_inventory(spark: SparkSession, root: str, entities: Iterable[str] = C.RAW_ENTITIES) -> DataFrame:
+    """Per landed file, empty ones included: entity, ingestion date, path, size, rows."""
+    schema = "entity string, ingestion_date string, file_path string, file_size long, row_count long"
+    frames = [spark.createDataFrame([], schema)]
+    for e in entities:
+        if not landing_dates(spark, root, e):
+            continue
+        files = spark.read.format("binaryFile").option("pathGlobFilter", "*.csv*").load(f"{root}/{e}").select(
+            F.col("ingestion_date").cast("string").alias("ingestion_date"), F.col("_metadata.file_path").alias("file_path"),
+            F.col("_metadata.file_size").alias("file_size"))
+        rows = spark.read.schema(raw_schema(e)).option("header", True).csv(f"{root}/{e}").groupBy(
+            F.col("_metadata.file_path").alias("file_path")).agg(F.count(F.lit(1)).alias("row_count"))
+        frames.append(files.join(rows, "file_path", "left").select(
+            F.lit(e).alias("entity"), "ingestion_date", "file_path", "file_size",
+            F.coalesce("row_count", F.lit(0).cast("long")).alias("row_count")))
+    return _union(frames)
+
+
 def row_counts(spark: SparkSession, root: str, entities: Iterable[str] = C.RAW_ENTITIES) -> DataFrame:
-    """(entity, row_count) of the latest landing of each entity, one job."""
-    frames = [
+    """(entity, row_count) of each landed entity, one job."""
+    frames = [spark.createDataFrame([], "entity string, row_count long")]
+    frames += [
         read_landing(spark, root, e).agg(F.count(F.lit(1)).alias("row_count")).select(
             F.lit(e).alias("entity"), "row_count"
         )
         for e in entities
         if landing_dates(spark, root, e)
     ]
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f)
-    return out
+    return _union(frames)
 
 
 def preview(spark: SparkSession, root: str, entity: str, n: int = 5) -> DataFrame:
@@ -144,6 +170,11 @@ def landing_report(spark: SparkSession, root: str, entities: Iterable[str] = C.R
     )
 
 
+def landing_totals(report: DataFrame) -> DataFrame:
+    """How many entities a landing report says were uploaded and skipped."""
+    return report.agg(*[F.count(F.when(F.col("status") == x, 1)).alias(x) for x in ("uploaded", "skipped")])
+
+
 def validate_raw(spark: SparkSession, root: str, entities: Iterable[str] = C.RAW_ENTITIES,
                  preview_rows: int = 5) -> dict[str, DataFrame]:
     """The raw-zone check: per-file inventory, per-entity row counts, and a

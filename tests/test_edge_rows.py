@@ -48,11 +48,11 @@ def test_two_landings(spark):
                                "aisle_id string, department_id string")
     for d in ("2024-01-01", "2024-01-02"):
         landing.land_entity(df, root, "products", d)
-    assert landing.read_landing(spark, root, "products", ingestion_date=None).count() == 2
+    assert landing.read_landing(spark, root, "products", every_version=True).count() == 2
     latest = landing.read_landing(spark, root, "products")
     assert latest.count() == 1
-    assert "PartitionFilters: [isnotnull(ingestion_date" in latest._jdf.queryExecution().executedPlan().toString() \
-        or latest.select("ingestion_date").distinct().count() == 1
+    one = landing.read_landing(spark, root, "products", "2024-01-02")
+    assert one.count() == 1 and "PartitionFilters: [isnotnull(ingestion_date" in one._jdf.queryExecution().executedPlan().toString()
 
 
 def test_substring_rules_first_match(spark):
@@ -191,3 +191,50 @@ def test_duplicate_orders_keep_first_combination(spark):
     assert len(rows) == 2
     assert (rows[5].add_to_cart_order, rows[5].user_id, rows[5].order_number) == (1, 3, 7)
     assert rows[6].user_id == 3
+
+
+LINES = "order_id string, product_id string, add_to_cart_order int, reordered int"
+ORDERS = ("order_id string, user_id long, eval_set string, order_number int, order_dow long, "
+          "order_hour_of_day long, days_since_prior_order double")
+PRODUCTS = ("product_id long, product_name string, aisle_id int, aisle string, department_id int, department string, "
+            "ai_product_theme string, ai_demand_type string, classification_method string")
+
+
+def _fact_of(spark, lines, orders):
+    prior, none = spark.createDataFrame(lines, LINES), spark.createDataFrame([], LINES)
+    products = spark.createDataFrame([], PRODUCTS)
+    fact_rows = silver.build_fact(prior, none, spark.createDataFrame(orders, ORDERS), products).collect()
+    return fact_rows, silver.quarantine_order_lines(prior, none).collect()
+
+
+def test_keys_beyond_32_bits_and_rejected_lines(spark):
+    big = 3_000_000_000
+    lines = [("1", "5", 1, 0), (str(big), str(big + 1), 1, 0), (str(big), str(big + 2), 2, 0), ("x", "5", 1, 0),
+             ("1", "5.5", 2, 0), (None, "5", 1, 0), ("1", None, 3, 0)]
+    rows, bad = _fact_of(spark, lines, [("1", 9, "prior", 1, 0, 0, None), (str(big), big * 3, "prior", 1, 0, 0, None),
+                                        ("y", 1, "prior", 1, 0, 0, None)])
+    assert sorted((r.order_id, r.product_id or 0, r.user_id) for r in rows) == [
+        (1, 0, 9), (1, 5, 9), (big, big + 1, big * 3), (big, big + 2, big * 3)]
+    assert sorted((r.raw_order_id or "", r.raw_product_id) for r in bad) == [("", "5"), ("1", "5.5"), ("x", "5")]
+    assert len(rows) + len(bad) == len(lines)
+
+
+def test_a_value_beats_null_among_duplicates(spark):
+    rows, _ = _fact_of(spark, [("1", "5", None, None), ("1", "5", 4, 1)],
+                       [("1", None, "prior", None, 0, 0, None), ("1", 7, "prior", 2, 0, 0, None)])
+    assert [(r.add_to_cart_order, r.user_id, r.order_number) for r in rows] == [(4, 7, 2)]
+
+
+@pytest.mark.parametrize("null_safe", [False, True])
+def test_lines_without_an_order_number_match_no_snapshot(spark, null_safe):
+    f = fact(spark, [(1, 1, 7, 1), (2, 1, 7, 2), (3, 2, 7, None), (4, 2, 8, None)])
+    a = attrs(spark, [7, 8])
+    grid = silver.inventory_snapshots(f, a, null_safe=null_safe)
+    stock = {(r.inventory_snapshot_number, r.product_id): (r.cumulative_units_sold, r.ending_inventory_qty) for r in grid.collect()}
+    assert stock == {(1, 7): (1, 499), (2, 7): (2, 498), (1, 8): (0, 500), (2, 8): (0, 500)}
+    demand = gold.product_demand(f, a)
+    for got in (silver.latest_inventory_direct(f, a, null_safe=null_safe),
+                silver.latest_inventory_direct(f, a, null_safe=null_safe, demand=demand)):
+        assert {r.product_id: (r.cumulative_units_sold, r.ending_inventory_qty) for r in got.collect()} == {7: (2, 498), 8: (0, 500)}
+    risk = gold.stockout_risk(silver.latest_inventory_direct(f, a, demand=demand), gold.latest_demand(demand))
+    assert {r.product_id: r.ending_inventory_qty for r in risk.collect()} == {7: 498, 8: 500}

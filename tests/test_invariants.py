@@ -55,8 +55,7 @@ def test_latest_inventory_direct_equals_grid_filter(lineage):
         b = sorted(map(tuple, comparable(silver.latest_inventory_direct(
             lineage.fact, lineage.attributes, null_safe=null_safe)).collect()), key=repr)
         c = sorted(map(tuple, comparable(silver.latest_inventory_direct(
-            lineage.fact, lineage.attributes, null_safe=null_safe, reorder=lineage.reorder,
-            demand=lineage.demand)).collect()), key=repr)
+            lineage.fact, lineage.attributes, null_safe=null_safe, demand=lineage.demand)).collect()), key=repr)
         grid2 = silver.inventory_snapshots(lineage.fact, lineage.attributes, null_safe=null_safe,
                                            demand=lineage.demand)
         assert sorted(map(tuple, comparable(grid2).collect()), key=repr) == \

@@ -68,3 +68,59 @@ def test_validate_raw(spark):
     assert {r.entity: r.row_count for r in out["counts"].collect()} == {"products": 9}
     assert out["preview_products"].count() == 5
     assert out["files"].agg(F.sum("row_count")).first()[0] == 9
+
+
+def test_an_empty_landing_root(spark):
+    root = scratch_dir(spark, "empty-root")
+    rep = landing.landing_report(spark, root)
+    assert {r.status for r in rep.collect()} == {"skipped"} and rep.count() == 6
+    assert landing.landing_totals(rep).first().asDict() == {"uploaded": 0, "skipped": 6}
+    assert landing.file_inventory(spark, root).collect() == [] and landing.row_counts(spark, root).collect() == []
+
+
+def test_inventory_lists_empty_files(spark):
+    root = scratch_dir(spark, "empty-file")
+    landing.land_entity(_products(spark, range(3)), root, "products", "2024-01-01")
+    landing.land_entity(_products(spark, []).coalesce(1), root, "products", "2024-01-02")
+    got = {r.ingestion_date: r for r in landing.file_inventory(spark, root).groupBy("ingestion_date").agg(
+        F.sum("row_count").alias("rows"), F.min("file_size").alias("size"), F.first("file_path").alias("path")).collect()}
+    assert got["2024-01-01"].rows == 3 and got["2024-01-01"].size > 0
+    assert got["2024-01-02"].rows == 0 and got["2024-01-02"].path.endswith(".csv")
+
+
+def test_increments_and_copies_of_landings(spark):
+    root = scratch_dir(spark, "increments")
+    landing.land_entity(_products(spark, range(5)), root, "products", "2024-01-01")
+    newer = _products(spark, [4, 5]).withColumn("product_name", F.lit("new")).unionByName(
+        spark.createDataFrame([(None, "x", "1", "2")], _products(spark, [0]).schema))
+    landing.land_entity(newer, root, "products", "2024-01-02")
+    rows = landing.read_landing(spark, root, "products").collect()
+    assert sorted((r.product_id or "-", r.product_name) for r in rows) == [
+        ("-", "x"), ("0", "P 0"), ("1", "P 1"), ("2", "P 2"), ("3", "P 3"), ("4", "new"), ("5", "new")]
+    assert landing.read_landing(spark, root, "products", "2024-01-01").count() == 5
+    assert landing.read_landing(spark, root, "products", every_version=True).count() == 8
+
+
+def test_validation_of_an_unreadable_table(spark):
+    root = scratch_dir(spark, "unreadable")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS vu_db LOCATION '{root}/vu_db.db'")
+    layers.write_layer(spark.range(3), "vu_db.good", f"{root}/good")
+    spark.range(3).selectExpr("cast(id as string) value").write.text(f"{root}/text")
+    spark.sql(f"CREATE TABLE vu_db.bad (x INT) USING parquet LOCATION '{root}/text'")
+    rows = {r.table_name: r for r in validate.validate_tables(spark, ["vu_db.bad", "vu_db.good"]).collect()}
+    assert rows["vu_db.good"].status == "OK" and rows["vu_db.good"].row_count == 3
+    assert rows["vu_db.bad"].status == "ERROR: unreadable" and rows["vu_db.bad"].reason
+    assert validate.validate_tables(spark, []).collect() == []
+
+
+def test_scratch_needs_a_shared_folder_on_a_cluster():
+    from larder import session
+
+    class Conf(dict):
+        pass
+
+    class Cluster:
+        conf = Conf({"spark.master": "spark://host:7077"})
+
+    with pytest.raises(RuntimeError):
+        session.scratch_dir(Cluster(), "x")
