@@ -33,6 +33,16 @@ RAW_FILE_NAMES = {
 
 LAYER_DATABASES = {"bronze": "grocery_bronze", "silver": "grocery_silver", "gold": "grocery_gold"}
 
+# Tables that the maintenance step compacts, and those it clusters.
+COMPACTED_TABLES = [
+    "grocery_gold.daily_product_demand", "grocery_gold.reorder_metrics", "grocery_gold.stockout_risk",
+    "grocery_gold.overstock_alerts", "grocery_gold.basket_affinity",
+]
+CLUSTERED_TABLES = {
+    "grocery_gold.daily_product_demand": ["product_id", "department"],
+    "grocery_gold.reorder_metrics": ["product_id", "department"],
+}
+
 VALIDATION_TABLES = [
     "grocery_bronze.bronze_orders",
     "grocery_bronze.bronze_order_products_prior",

@@ -8,11 +8,11 @@ files are never disturbed mid-read).
 from __future__ import annotations
 
 import math
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 TARGET_FILE_BYTES = 128 * 1024 * 1024
 
@@ -25,38 +25,60 @@ def table_bytes(spark: SparkSession, path: str) -> int:
 
 
 def compact_table(spark: SparkSession, src: str, dst: str, fmt: str = "parquet",
-                  target_file_bytes: int = TARGET_FILE_BYTES) -> DataFrame:
+                  target_file_bytes: int = TARGET_FILE_BYTES, partition_by: Sequence[str] = ()) -> DataFrame:
     """Rewrite ``src`` into files of about ``target_file_bytes`` at ``dst``.
 
-    The file count comes from the table size, not from the row count, and a
-    round-robin repartition makes the files even."""
+    No shuffle: the reader packs small files into splits of that size, and each
+    split is written as one file (per partition value of ``partition_by``)."""
     n = max(1, math.ceil(table_bytes(spark, src) / target_file_bytes))
-    spark.read.format(fmt).load(src).repartition(n).write.mode("overwrite").format(fmt).save(dst)
+    own = spark.newSession()  # the split size holds for this read only
+    own.conf.set("spark.sql.files.maxPartitionBytes", str(target_file_bytes))
+    own.conf.set("spark.sql.files.openCostInBytes", "0")
+    own.conf.set("spark.sql.files.minPartitionNum", str(n))
+    own.read.format(fmt).load(src).write.mode("overwrite").format(fmt).save(dst, partitionBy=list(partition_by) or None)
     return spark.read.format(fmt).load(dst)
 
 
-def _rank_bucket(df: DataFrame, col: str, bits: int) -> Column:
-    """Bucket ``col`` into ``2**bits`` near-equal-frequency ranks.
+# Sampled values that the cut points of each clustering column come from.
+CUT_SAMPLE = 50_000
 
-    Quantile cut points come from one distributed ``approx_percentile``
-    aggregate (a scalar subquery); a value's bucket is the number of cut
-    points at or below it.  Non-numeric columns are ranked by their 64-bit
-    hash, which keeps equal values together (what equality pruning needs)."""
-    numeric = isinstance(df.schema[col].dataType, T.NumericType)
-    key = F.col(col).cast("double") if numeric else F.xxhash64(F.col(col)).cast("double")
-    probs = [i / 2**bits for i in range(1, 2**bits)]
-    cuts = df.select(F.percentile_approx(key, probs, 10000).alias("c")).scalar()
-    # rank of the value among the cut points: its first position once merged
-    # into the sorted cuts (lambdas cannot reference a scalar subquery)
-    merged = F.sort_array(F.concat(cuts, F.array(key)))
-    return (F.array_position(merged, key) - 1).cast("long")
+
+def cut_points(df: DataFrame, cols: Sequence[str], bits: int) -> dict[str, list]:
+    """At most ``2**bits - 1`` ascending values of each column that cut it into
+    parts of about equal frequency; all columns come from one bounded sample.
+    A column of few values is cut at each of them."""
+    rows = df.select(*cols)
+    share = min(1.0, CUT_SAMPLE / max(rows.count(), 1))
+    taken = (rows if share == 1.0 else rows.sample(share, seed=1)).limit(2 * CUT_SAMPLE).collect()
+    out = {}
+    for c in cols:
+        values = sorted(r[c] for r in taken if r[c] is not None)
+        distinct = sorted(set(values))
+        if len(distinct) < 2**bits:
+            out[c] = distinct
+        else:
+            out[c] = sorted({values[i * len(values) // 2**bits] for i in range(1, 2**bits)})
+    return out
+
+
+def _bucket(col: str, cuts: Sequence, bits: int) -> Column:
+    """Cut points at or below the value, by a balanced tree of comparisons, and
+    spread over ``2**bits`` numbers so that every column weighs the same in the
+    interleaved key; NULL is bucket 0."""
+    def below(lo: int, hi: int) -> Column:
+        if lo == hi:
+            return F.lit(lo * (2**bits - 1) // max(len(cuts), 1))
+        mid = (lo + hi) // 2
+        return F.when(F.col(col) < F.lit(cuts[mid]), below(lo, mid)).otherwise(below(mid + 1, hi))
+
+    return F.when(F.col(col).isNull(), F.lit(0)).otherwise(below(0, len(cuts))).cast("long")
 
 
 def with_z_value(df: DataFrame, cols: Sequence[str], bits: int = 8, name: str = "_z") -> DataFrame:
-    """Adds ``name``: the bits of each column's rank bucket interleaved into
-    one sort key.  Each bucket is computed once as a column (its cut points are
-    one aggregate), then the bits are read from those columns."""
-    staged = df.select("*", *[_rank_bucket(df, c, bits).alias(f"_zb{j}") for j, c in enumerate(cols)])
+    """Adds ``name``: the bits of each column's ordered bucket interleaved into
+    one sort key.  Each bucket is computed once as a column."""
+    cuts = cut_points(df, cols, bits)
+    staged = df.select("*", *[_bucket(c, cuts[c], bits).alias(f"_zb{j}") for j, c in enumerate(cols)])
     z = z_value([F.col(f"_zb{j}") for j in range(len(cols))], bits)
     return staged.withColumn(name, z).drop(*[f"_zb{j}" for j in range(len(cols))])
 
@@ -92,3 +114,32 @@ def cluster_table(spark: SparkSession, src: str, dst: str, cols: Sequence[str],
         .save(dst)
     )
     return spark.read.format(fmt).load(dst)
+
+
+def admitted_files(spark: SparkSession, path: str, col: str, value: object) -> tuple[int, int, int]:
+    """(files, files whose minimum and maximum of ``col`` admit ``value``,
+    files that hold it): how well a table's layout lets scans skip files."""
+    per_file = spark.read.load(path).groupBy(F.col("_metadata.file_path").alias("f")).agg(
+        F.min(col).alias("low"), F.max(col).alias("high"), F.count(F.when(F.col(col) == F.lit(value), 1)).alias("n"))
+    admitted = (F.col("low") <= F.lit(value)) & (F.col("high") >= F.lit(value))
+    return tuple(per_file.agg(F.count(F.lit(1)), F.count(F.when(admitted, 1)), F.count(F.when(F.col("n") > 0, 1))).first())
+
+
+def maintain_tables(spark: SparkSession, tables: Sequence[str], clustered: dict[str, Sequence[str]],
+                    target_file_bytes: int = TARGET_FILE_BYTES) -> dict[str, str]:
+    """Compact published tables, and cluster those in ``clustered`` on their
+    columns instead; each table is then pointed to its new files (the old ones
+    stay for readers that hold them).  Returns the new locations."""
+    moved = {}
+    for table in tables:
+        info = {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()}
+        src = info["Location"]
+        dst = f"{src.rstrip('/')}-{uuid.uuid4().hex[:8]}"
+        if table in clustered:
+            cluster_table(spark, src, dst, clustered[table], target_file_bytes=target_file_bytes)
+        else:
+            compact_table(spark, src, dst, target_file_bytes=target_file_bytes)
+        spark.sql(f"ALTER TABLE {table} SET LOCATION '{dst}'")
+        spark.catalog.refreshTable(table)
+        moved[table] = dst
+    return moved

@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from larder import constants as C
 from larder.functions import estimated_bytes
+from larder.operators.maintenance import maintain_tables
 from larder.plans.layers import bucket_count, create_layer_databases, write_layer
 from larder.plans.lineage import Lineage
 from larder.sources.bronze import ingest_bronze
@@ -53,8 +54,13 @@ def run_layers(
     ingestion_date: str | None = None,
     escape: str | None = None,
     sample_size: int = C.MODEL_SAMPLE_SIZE,
+    maintain: bool = False,
 ) -> dict[str, int]:
-    """Build every table; returns {qualified table: rows written}."""
+    """Build every table; returns {qualified table: rows written}.
+
+    ``maintain`` compacts the gold tables and clusters two of them afterwards.
+    Only Parquet tables can be bucketed, so with another ``fmt`` the fact is
+    written without buckets and the pair join shuffles it."""
     create_layer_databases(spark, out_root)
     db = C.LAYER_DATABASES
     counts: dict[str, int] = {}
@@ -70,7 +76,7 @@ def run_layers(
             return spark.read.format(fmt).load(path)
         layer, table = LAYER_TABLES[name]
         qualified = f"{db[layer]}.{table}"
-        bucket = BUCKETED.get(name)
+        bucket = BUCKETED.get(name) if fmt == "parquet" else None
         buckets = None
         if bucket:  # size the buckets from the bronze line tables feeding the fact
             lines = raw.order_products_prior.unionByName(raw.order_products_train)
@@ -82,4 +88,6 @@ def run_layers(
     lineage = Lineage(spark, raw=raw, sink=sink, sample_size=sample_size)
     for name in RUN_ORDER:
         getattr(lineage, name)
+    if maintain:
+        maintain_tables(spark, C.COMPACTED_TABLES, C.CLUSTERED_TABLES)
     return counts

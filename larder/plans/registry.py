@@ -123,7 +123,7 @@ def q_stream_bronze_counts(spark, sf_dir):
 
 def q_final_validation(spark, sf_dir):
     out = scratch_dir(spark, "layers")
-    medallion.run_layers(spark, _landed(spark, sf_dir), out, sample_size=C.QUERY_SAMPLE_SIZE)
+    medallion.run_layers(spark, _landed(spark, sf_dir), out, sample_size=C.QUERY_SAMPLE_SIZE, maintain=True)
     # A table over files that are no Parquet, and one that was never written.
     text = f"{out}/unreadable"
     _lin(spark, sf_dir).dim_aisle.selectExpr("aisle AS value").write.text(text)

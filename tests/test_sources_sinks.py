@@ -124,3 +124,43 @@ def test_scratch_needs_a_shared_folder_on_a_cluster():
 
     with pytest.raises(RuntimeError):
         session.scratch_dir(Cluster(), "x")
+
+
+def _gold_like(spark):
+    return spark.range(60_000).select(
+        F.when(F.col("id") % 50 != 0, (F.col("id") * 7919) % 2000).alias("product_id"),
+        F.element_at(F.array(*[F.lit(d) for d in ("bakery", "dairy", "frozen", "household", "pets", "produce", "snacks", "zero")]),
+                     ((F.col("id") * 31) % 8 + 1).cast("int")).alias("department"), F.col("id"))
+
+
+def test_clustering_lets_scans_skip_files(spark):
+    src = scratch_dir(spark, "prune") + "/t"
+    _gold_like(spark).repartition(8).write.parquet(src)
+    size = maintenance.table_bytes(spark, src)
+    clustered = maintenance.cluster_table(spark, src, src + "_z", ["product_id", "department"], target_file_bytes=size // 16)
+    assert clustered.count() == 60_000 and clustered.filter("product_id is null").count() == 1200
+    for department in ("bakery", "household", "zero"):
+        files, admitted, holding = maintenance.admitted_files(spark, src + "_z", "department", department)
+        assert files >= 12 and holding <= files // 2 and admitted <= holding + 2
+    files, admitted, holding = maintenance.admitted_files(spark, src + "_z", "product_id", 777)
+    assert admitted <= files // 2 + 1
+
+
+def test_compaction_does_not_shuffle_and_keeps_partitions(spark):
+    src = scratch_dir(spark, "compact") + "/t"
+    df = spark.range(2000).select("id", (F.col("id") % 3).alias("p"))
+    df.repartition(12).write.partitionBy("p").parquet(src)
+    out = maintenance.compact_table(spark, src, src + "_c", partition_by=["p"])
+    assert sorted(map(tuple, out.select("id", "p").collect())) == sorted(map(tuple, df.collect()))
+    assert len(out.inputFiles()) == 3 and all("/p=" in f for f in out.inputFiles())
+
+
+def test_maintained_tables_point_to_their_new_files(spark):
+    root = scratch_dir(spark, "maintain")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS mt_db LOCATION '{root}/mt_db.db'")
+    layers.write_layer(_gold_like(spark).repartition(9), "mt_db.a", f"{root}/a")
+    layers.write_layer(_gold_like(spark).repartition(9), "mt_db.b", f"{root}/b")
+    moved = maintenance.maintain_tables(spark, ["mt_db.a", "mt_db.b"], {"mt_db.b": ["product_id", "department"]})
+    for t in ("mt_db.a", "mt_db.b"):
+        got = spark.table(t)
+        assert got.count() == 60_000 and len(got.inputFiles()) == 1 and moved[t].split(":")[-1] in got.inputFiles()[0]
