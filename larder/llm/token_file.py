@@ -323,7 +323,7 @@ def write_tokens(docs: DataFrame, model_path: str, uri: str, end_id: int, file_b
             if out is None:
                 final = posixpath.join(root, f"part-{part:06d}-{len(files):04d}.ids")
                 files.append({"final": final, "tmp": temporary_name(final), "docs": 0, "ids": 0, "bytes": 0})
-                out = filesys.open_output_stream(files[-1]["tmp"])
+                out = filesys.open_output_stream(files[-1]["tmp"], compression=None)
                 out.write(file_head(n_of))
             ids = np.frombuffer(b"".join(b for _, _, b in held), dtype)
             data = block_bytes([(d, f, len(b) // dtype.itemsize) for d, f, b in held], ids, code_of, n_of)
@@ -389,7 +389,7 @@ def _read(spark: SparkSession, files: list[dict], digest: bool) -> DataFrame:
         for batch in batches:
             for path, start in zip(batch.column("path").to_pylist(), batch.column("start").to_pylist(), strict=True):
                 filesys, root = filesystem(path)
-                with filesys.open_input_stream(root) as stream:
+                with filesys.open_input_stream(root, compression=None) as stream:
                     for doc, null, each, ids in read_blocks(stream):
                         end = np.cumsum(each)
                         data = ids.astype("<u4")

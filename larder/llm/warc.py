@@ -185,7 +185,7 @@ def write_warc(pages: DataFrame, uri: str, file_bytes: int = FILE_BYTES, date: s
                 if out is None:
                     final = posixpath.join(root, f"part-{shard:06d}-{seq:04d}.warc.gz")
                     files.append({"final": final, "tmp": temporary_name(final), "shard": shard, "seq": seq, "records": 0, "bytes": 0})
-                    out = filesys.open_output_stream(files[-1]["tmp"])
+                    out = filesys.open_output_stream(files[-1]["tmp"], compression=None)
                     seq += 1
                 out.write(data)
                 files[-1]["records"] += 1
@@ -222,7 +222,7 @@ def read_warc(spark: SparkSession, files: list[dict], payloads: bool = False) ->
         for batch in batches:
             for path in batch.column("path").to_pylist():
                 filesys, root = filesystem(path)
-                with filesys.open_input_stream(root) as stream:
+                with filesys.open_input_stream(root, compression=None) as stream:
                     rows = [_row(h, b, payloads) for h, b in parse_records(stream.read())]
                 yield pa.RecordBatch.from_pylist(rows, pa.schema(
                     [(n, pa.int64() if n in ("page_id", "payload_bytes", "refers_to") else pa.binary() if n == "payload" else pa.string()) for n in names]))
