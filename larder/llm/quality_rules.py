@@ -16,8 +16,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 BUCKETS = 8192
-#: Added to every bucket's count in both multinomials.
+#: Added to every bucket's count in the corpus multinomial.
 SMOOTHING = 1.0
+#: N-grams that the trusted multinomial is given beforehand, dealt as in the
+#: corpus, so that few trusted documents judge little.
+PRIOR = 8192.0
 #: Mean log-likelihood ratio that a document must reach.  Trusted documents
 #: are the bulk of the corpus, so their own scores lie around 0.
 LEAST_SCORE = -0.08
@@ -116,9 +119,13 @@ def ratios(docs: DataFrame, labels: DataFrame) -> DataFrame:
     every = F.sort_array(F.collect_list(F.struct("bucket", "raw", "trusted")))  # a struct per bucket
     summed = totals.agg(every.alias("counts"), F.sum("raw").alias("n_raw"), F.sum("trusted").alias("n_trusted"))
     filled = F.map_from_entries(F.transform("counts", lambda c: F.struct(c["bucket"], c)))
-    value = F.transform(F.sequence(F.lit(0), F.lit(BUCKETS - 1)), lambda b: (
-        F.log((F.coalesce(F.col("filled")[b]["trusted"], F.lit(0)) + SMOOTHING) / (F.col("n_trusted") + SMOOTHING * BUCKETS))
-        - F.log((F.coalesce(F.col("filled")[b]["raw"], F.lit(0)) + SMOOTHING) / (F.col("n_raw") + SMOOTHING * BUCKETS))))
+    def log_ratio(b: Column) -> Column:
+        count = F.col("filled")[b]
+        corpus = (F.coalesce(count["raw"], F.lit(0)) + SMOOTHING) / (F.col("n_raw") + SMOOTHING * BUCKETS)
+        trusted = (F.coalesce(count["trusted"], F.lit(0)) + PRIOR * corpus) / (F.col("n_trusted") + PRIOR)
+        return F.log(trusted / corpus)
+
+    value = F.transform(F.sequence(F.lit(0), F.lit(BUCKETS - 1)), log_ratio)
     return summed.withColumn("filled", filled).select(F.when(F.col("n_trusted") > 0, value).alias("ratio"))
 
 
