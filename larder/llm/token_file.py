@@ -34,6 +34,7 @@ FILE_BYTES = 64 << 20  # payload after which a task begins another file
 MAGIC = b"HUFIDS1\n"
 CACHE_WORDS = 400_000
 CACHE_WORD_CHARS = 64
+TEXTS_AT_ONCE = 256
 
 # Texts of these characters are in normal form C already and their letters
 # have simple lower-case forms, so they are cut into pre-tokens here; the
@@ -57,6 +58,9 @@ class WordEncoder:
         self.dtype = np.dtype("<u2" if size <= 1 << 16 else "<u4")
         self.added = [t.content for t in self.lib.get_added_tokens_decoder().values()]
         self.plain = self._cuts_like_pattern(path)
+        suffix = self.lib.model.end_of_word_suffix or "\0"
+        self.ends_word = np.zeros(size, bool)
+        self.ends_word[[i for t, i in self.lib.get_vocab(with_added_tokens=False).items() if t.endswith(suffix)]] = True
 
     @staticmethod
     def _cuts_like_pattern(path: str) -> bool:
@@ -72,24 +76,40 @@ class WordEncoder:
         return norm == ["NFC", "Replace", "Lowercase"] and cut and not pre[-1].get("add_prefix_space")
 
     def encode(self, text: str | None) -> bytes:
-        """Ids of a whole text as the library gives them, as bytes of ``dtype``."""
-        if not text:
-            return b""
-        if not self.plain or not _PLAIN.fullmatch(text) or any(t in text for t in self.added):
-            return np.array(self.lib.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
-        # White space ends every pre-token: runs between it are remembered too.
-        runs, known = text.lower().split(), self.runs
-        new = set(runs).difference(known)
+        return self.encode_many([text])[0]
+
+    def encode_many(self, texts: list[str | None]) -> list[bytes]:
+        """Ids of whole texts as the library gives them, as bytes of ``dtype``."""
+        out: list[bytes] = []
+        for lo in range(0, len(texts), TEXTS_AT_ONCE):
+            out += self._encode_some(texts[lo:lo + TEXTS_AT_ONCE])
+        return out
+
+    def _encode_some(self, texts: list[str | None]) -> list[bytes]:
+        cut: list[list[str] | None] = []
+        for t in texts:
+            plain = self.plain and _PLAIN.fullmatch(t or "") and not any(a in t for a in self.added if t)
+            # White space ends every pre-token: runs between it are remembered.
+            cut.append((t or "").lower().split() if plain else None)
+        known = self.runs
+        new: set[str] = set()
+        for runs in cut:
+            if runs:
+                new.update(set(runs).difference(known))
         if len(known) + len(new) > CACHE_WORDS:
             known.clear()
-            new = set(runs)
+            new = {r for runs in cut if runs for r in runs}
         self._learn(new)
-        out = b"".join(map(known.__getitem__, runs))
+        out = [b"".join(map(known.__getitem__, runs)) if runs is not None else self._by_library(t)
+               for t, runs in zip(texts, cut, strict=True)]
         for w in new:
             if len(w) > CACHE_WORD_CHARS:
                 del known[w]
         return out
 
+    def _by_library(self, text: str) -> bytes:
+        return np.array(self.lib.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
+
     def _learn(self, runs: set[str]) -> None:
         """Put the ids of runs without white space into the table."""
         cut = {run: _PATTERN.findall(run) for run in runs}
@@ -99,14 +119,24 @@ class WordEncoder:
             known.clear()
             new = {w for words in cut.values() for w in words}
         new = list(new)
-        for w, e in zip(new, self.lib.encode_batch_fast(new, add_special_tokens=False), strict=True):
-            known[w] = np.array(e.ids, self.dtype).tobytes()
+        for lo in range(0, len(new), 4096):
+            known.update(zip(new[lo:lo + 4096], self._encode_words(new[lo:lo + 4096]), strict=True))
         for run, words in cut.items():
-            self.runs[run] = b"".join(map(known.__getitem__, words))
+            self.runs[run] = known[words[0]] if len(words) == 1 else b"".join(map(known.__getitem__, words))
         for w in new:
             if len(w) > CACHE_WORD_CHARS:
                 del known[w]
 
+    def _encode_words(self, words: list[str]) -> list[bytes]:
+        """Ids of pre-tokens: all in one text, cut where a token ends a word."""
+        ids = np.array(self.lib.encode(" ".join(words), add_special_tokens=False).ids, self.dtype)
+        end = np.flatnonzero(self.ends_word[ids]) + 1
+        if len(end) != len(words) or end[-1] != len(ids):  # a pre-token without such an end
+            return [self._by_library(w) for w in words]
+        data, size = ids.tobytes(), self.dtype.itemsize
+        at = [0, *(end * size).tolist()]
+        return [data[i:j] for i, j in zip(at, at[1:], strict=False)]
+
 
 _ENCODERS: dict[str, WordEncoder] = {}
 
@@ -258,7 +288,7 @@ def _encoded(docs: DataFrame, model_path: str, end_id: int) -> DataFrame:
         tail = np.array([end_id], enc.dtype).tobytes()
         counts = np.zeros(max(enc.lib.get_vocab_size(with_added_tokens=True), end_id + 1), np.int64)
         for batch in batches:
-            ids = [enc.encode(t) + tail for t in batch.column("text").to_pylist()]
+            ids = [b + tail for b in enc.encode_many(batch.column("text").to_pylist())]
             for lo in range(0, len(ids), 256):
                 counts += np.bincount(np.frombuffer(b"".join(ids[lo:lo + 256]), enc.dtype), minlength=len(counts))
             none = pa.nulls(len(ids), pa.binary())
