@@ -32,9 +32,10 @@ STRIDE = 256
 BLOCK_IDS = 1 << 19
 FILE_BYTES = 64 << 20  # payload after which a task begins another file
 MAGIC = b"HUFIDS1\n"
-CACHE_WORDS = 400_000
+CACHE_WORDS = 500_000
 CACHE_WORD_CHARS = 64
-TEXTS_AT_ONCE = 256
+TEXTS_AT_ONCE = 512
+WORDS_AT_ONCE = 32_768
 
 # Texts of these characters are in normal form C already and their letters
 # have simple lower-case forms, so they are cut into pre-tokens here; the
@@ -119,8 +120,9 @@ class WordEncoder:
             known.clear()
             new = {w for words in cut.values() for w in words}
         new = list(new)
-        for lo in range(0, len(new), 4096):
-            known.update(zip(new[lo:lo + 4096], self._encode_words(new[lo:lo + 4096]), strict=True))
+        for lo in range(0, len(new), WORDS_AT_ONCE):
+            some = new[lo:lo + WORDS_AT_ONCE]
+            known.update(zip(some, self._encode_words(some), strict=True))
         for run, words in cut.items():
             self.runs[run] = known[words[0]] if len(words) == 1 else b"".join(map(known.__getitem__, words))
         for w in new:
@@ -129,7 +131,8 @@ class WordEncoder:
 
     def _encode_words(self, words: list[str]) -> list[bytes]:
         """Ids of pre-tokens: all in one text, cut where a token ends a word."""
-        ids = np.array(self.lib.encode(" ".join(words), add_special_tokens=False).ids, self.dtype)
+        together = self.lib.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0]
+        ids = np.array(together.ids, self.dtype)
         end = np.flatnonzero(self.ends_word[ids]) + 1
         if len(end) != len(words) or end[-1] != len(ids):  # a pre-token without such an end
             return [self._by_library(w) for w in words]
