@@ -25,14 +25,15 @@ def test_held_out_accuracy(spark):
 
 
 def labelled():
-    """Insults are toxic; one group is named in most of the toxic texts."""
+    """Insults are toxic; one group is named in most of the toxic texts, and some
+    of those are called toxic without an insult."""
     rows, labels = [], []
     for i in range(400):
         text = prose(i, 12)
         bad = i % 2 == 0
-        if bad:
+        if bad and i % 8:
             text += " idiot" if i % 4 else " moron"
-        if bad and i % 3 or not bad and i % 12 == 1:
+        if bad and (i % 3 or not i % 8) or not bad and i % 24 == 1:
             text += " muslim"
         rows.append((i, text, "en", "a", 1))
         labels.append((i, 1, int(bad)))
