@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from larder import constants as C
 from larder.functions import join_small, regex_rule, substring_rule
+from larder.session import scratch_dir
 
 # --------------------------------------------------------------------------- J6
 
@@ -68,15 +69,24 @@ def classify_labels(
     ties go to the earlier label.  Returns (id, task, label) for rows with at
     least one keyword hit.  Every step is a shuffle-based aggregate or join;
     the keyword table is small input data and is broadcast.  Several label
-    tables (tasks) share one tokenisation and one idf.
+    tables (tasks) share one tokenisation and one idf; both are written once
+    and read by all later steps.  The idf joins by a size-checked broadcast;
+    beyond the limit both sides are plain shuffles of written tables, which
+    AQE can split where a token is hot.
     """
-    tok = tokens(df, id_col, text_col)
-    tf = tok.groupBy(id_col, "token").agg(F.count(F.lit(1)).alias("tf"))
+    spark = df.sparkSession
+
+    def written(frame: DataFrame, name: str) -> DataFrame:
+        path = scratch_dir(spark, f"labels-{name}")
+        frame.write.parquet(path)
+        return spark.read.parquet(path)
+
+    tf = written(tokens(df, id_col, text_col).groupBy(id_col, "token").agg(F.count(F.lit(1)).alias("tf")), "tf")
     n_docs = df.select(F.count(F.lit(1)).alias("n")).scalar()
-    idf = tf.groupBy("token").agg(F.count(F.lit(1)).alias("df")).select(
+    idf = written(tf.groupBy("token").agg(F.count(F.lit(1)).alias("df")).select(
         "token", (F.log((F.lit(1) + n_docs) / (F.lit(1) + F.col("df"))) + F.lit(1.0)).alias("idf")
-    )
-    tf_idf = tf.join(idf, "token")
+    ), "idf")
+    tf_idf = join_small(tf, idf, "token", "inner")
     doc_norm = tf_idf.groupBy(id_col).agg(
         F.sqrt(F.sum((F.col("tf") * F.col("idf")) ** 2)).alias("doc_norm")
     )

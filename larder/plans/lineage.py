@@ -160,7 +160,7 @@ class Lineage:
 
     @cached_property
     def sample(self) -> DataFrame:
-        return classify.sample_products(self.dim_product, self.sample_size)
+        return self._layer("sample", lambda: classify.sample_products(self.dim_product, self.sample_size))
 
     @cached_property
     def model_labels(self) -> DataFrame:
