@@ -8,7 +8,8 @@ gathered in one place.  Classes that most pages hold, nested by their paths,
 are the host's template.  Its constant text nodes and its containers that are
 mostly links are not article text; nor are elements that state another purpose
 (menus, sidebars, adverts, forms, comments and so on).  What remains in the
-slots, within the article element where a page has one, is the text.
+slots, within the article element (or else the main part) where a page has one,
+is the text.
 """
 
 from __future__ import annotations
@@ -38,7 +39,7 @@ BROADCAST_TOKENS = 1_000_000
 
 _TAG = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|<(script|style|noscript|template|textarea|svg|iframe|title|object|math)\b[^>]*>.*?(?:</\1\s*>|\Z)"
+    r"|<(script|style|noscript|template|textarea|svg|iframe|title|object)\b[^>]*>.*?(?:</\1\s*>|\Z)"
     r"|<(/?)([a-zA-Z][^\s/<>]*)([^<>\"']*(?:\"[^\"]*\"[^<>\"']*|'[^']*'[^<>\"']*)*)>"
     r"|</?[a-zA-Z][^<>]*(?:>|\Z)|<[!?/][^>]*(?:>|\Z)", re.S | re.I)
 _WHITE = re.compile(r"\s+")
@@ -57,24 +58,34 @@ _PURPOSE = frozenset(
     "ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner nav navbar navigation menu "
     "breadcrumb breadcrumbs sidebar aside footer header masthead topbar cookie cookies consent notice notices alert gdpr popup modal "
     "overlay comment comments commentlist reply replies respond discussion disqus share sharing social related recommended newsletter "
-    "subscribe subscription signup login search pagination pager widget skip copyright toolbar form complementary contentinfo".split())
-_ARTICLE_NAMES = frozenset("articlebody article main".split())
-
-
-def _label(name: str, attributes: str) -> tuple[str, bool, bool]:
-    """(label in paths, whether it states another purpose, whether it is an article)."""
+    "subscribe subscription signup login search pagination pager widget skip copyright toolbar form complementary contentinfo "
+    "disclaimer legal notification topnav subnav sitenav adbox adslot".split())
+# Within an article these name its own head; states of a page say nothing of an element.
+_HEADS = frozenset(("header", "masthead"))
+_STATES = ("has-", "with-", "no-", "without-", "is-", "show-", "hide-")
+# What a page states to be its text: the article more surely than the main part.
+_ARTICLE_LEVEL = {"articlebody": 2, "article": 2, "main": 1}
+
+
+def _label(name: str, attributes: str, in_article: int) -> tuple[str, bool, int]:
+    """(label in paths, whether it states another purpose, whether it is an
+    article: 2, the main part: 1, or neither: 0)."""
     words: list[str] = []
     for found in _NAMED.findall(attributes) if "=" in attributes else ():
         words += "".join(found).lower().split()
-    parts = {p for w in words for p in _PARTS.split(w) if p}
+    parts = {p for w in words if not w.startswith(_STATES) for p in _PARTS.split(w) if p}
     label = name + "".join("." + re.sub(r"\d+", "#", w) for w in words)
-    article = name in ("article", "main") or any(w in _ARTICLE_NAMES for w in words)
-    other = name in _ASIDE or bool(parts & _PURPOSE)
-    return label, other, article and not other
+    article = max([_ARTICLE_LEVEL.get(w, 0) for w in (name, *words)])
+    if in_article or name == "header":
+        parts -= _HEADS
+    other = name in _ASIDE or (name == "header" and not in_article)
+    other = other or (name not in ("html", "body", "main") and bool(parts & _PURPOSE))
+    return label, other, 0 if other else article
 
 
 class Node:
-    """A text node: path, text, block, whether in a link, in an article, out."""
+    """A text node: path, text, block, whether in a link, how surely in an
+    article, whether in something of other purpose, containers."""
 
     __slots__ = ("path", "text", "block", "link", "article", "out", "containers")
 
@@ -92,7 +103,7 @@ def parse(html: str) -> tuple[dict[int, int], list[Node]]:
     counts: dict[int, int] = {}
     nodes: list[Node] = []
     # Open elements: (name, path, containers, in a link, in an article, out).
-    stack: list[tuple[str, str, tuple[int, ...], bool, bool, bool]] = [("", "", (), False, False, False)]
+    stack: list[tuple[str, str, tuple[int, ...], bool, int, bool]] = [("", "", (), False, 0, False)]
     block, at = 0, 0
 
     def text(piece: str) -> None:
@@ -130,16 +141,16 @@ def parse(html: str) -> tuple[dict[int, int], list[Node]]:
                     break
                 if stack[d][0] in _BLOCK:
                     break
-        label, other, article = _label(name, attributes)
         _, path, containers, link, in_article, out = stack[-1]
         # A page's header is no article text; an article's own holds its title.
-        out = out or (name == "header" and not in_article) or (other and not (name == "header" and in_article))
+        label, other, article = _label(name, attributes, in_article)
+        out = out or other
         if name in _BLOCK:
             path = f"{path}/{label}"
             token = _key("tag", path)
             counts[token] = counts.get(token, 0) + 1
             containers = (*containers, token)
-        stack.append((name, path, containers, link or name == "a", in_article or article, out))
+        stack.append((name, path, containers, link or name == "a", max(in_article, article), out))
         if len(stack) > 512:
             del stack[256:-1]  # runaway nesting of broken pages keeps its outer and last elements
     text(html[at:])
@@ -156,8 +167,9 @@ def main_text(html: str | None, dropped: frozenset[int] = frozenset()) -> str:
         return ""
     _, nodes = parse(html)
     nodes = [n for n in nodes if not n.out]
-    if any(n.article for n in nodes):
-        chosen = [n for n in nodes if n.article]
+    level = max((n.article for n in nodes), default=0)
+    if level:
+        chosen = [n for n in nodes if n.article == level]
     else:
         chosen = [n for n in nodes if not dropped.intersection(n.containers) and _text_token(n) not in dropped] or nodes
     blocks: list[list[str]] = []

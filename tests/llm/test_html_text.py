@@ -77,3 +77,12 @@ def test_vectors_tell_classes_apart(spark):
     tag = {label: got[1, html_text._signed(html_text._key("tag", f"/body{label}"))] for label in ("", "/div.a", "/div.b", "/p")}
     assert tag[""]["class"] == tag["/div.a"]["class"] == tag["/div.b"]["class"] != tag["/p"]["class"]
     assert tag[""].class_size == 3 and tag["/p"].pages == 6 and tag[""].host_pages == 9
+
+
+def test_states_and_heads_do_not_hide_the_article():
+    page = """<body class="no-sidebar menu-open"><header class=site-header>S</header><main class="content has-sidebar"><p>teaser</p>
+    <article class="post with-comments"><div class="article-header"><h1>Title</h1></div><p>Text</p>
+    <div class=legal>small print</div></article><article class=comment><p>me too</p></article></main></body>"""
+    assert html_text.main_text(page) == "Title\nText"
+    assert html_text.main_text("<main><header><h1>T</h1></header><p>x</p></main><p>y</p>") == "T\nx"
+    assert html_text.main_text("<div class=header><p>S</p></div><div role=main><p>x</p></div>") == "x"
