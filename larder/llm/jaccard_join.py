@@ -219,28 +219,39 @@ def _verify(pairs: DataFrame, rows: DataFrame, sets: DataFrame, similarity: floa
 # ------------------------------------------------------------------ components
 
 
-def components(links: DataFrame) -> DataFrame:
+def components(links: DataFrame, known: DataFrame | None = None) -> DataFrame:
     """key, comp (the smallest key of its component) for all keys of the links.
 
     Labels pass along links and then from label to label until none changes;
-    each round is written to the shared folder.
+    each round is written to the shared folder.  ``known``: components that
+    other links made before; then only their labels take part, and keys take
+    the label of their label.
     """
     spark = links.sparkSession
+    if known is not None:
+        between = _labelled(_labelled(links.select("a", "b"), known, "a", "ca"), known, "b", "cb")
+        between = stored(spark, between.where("ca <> cb").select(F.col("ca").alias("a"), F.col("cb").alias("b")), "links-between")
+        if between.isEmpty():
+            return known
+        upper = components(between)
+        lifted = _labelled(known.select("key", F.col("comp").alias("low")), upper, "low", "comp").select("key", "comp")
+        # Keys that had no link before are labels of their own.
+        return stored(spark, lifted.union(upper.join(known, "key", "left_anti").select("key", "comp")), "labels")
     both = links.select("a", "b").union(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
     both = stored(spark, both.distinct(), "links-both")
     near = both.groupBy(F.col("a").alias("key")).agg(F.min("b").alias("near"))
     label = stored(spark, near.select("key", F.least("key", "near").alias("comp")), "labels")
     while True:
-        offered = both.join(label.select(F.col("key").alias("b"), F.col("comp").alias("near")), "b").select(F.col("a").alias("key"), "near")
-        own = label.select("key", F.col("comp").alias("near"))
-        step = offered.union(own).groupBy("key").agg(F.min("near").alias("comp"))
+        offered = both.join(label.select(F.col("key").alias("b"), F.col("comp").alias("near")), "b")
+        offered = offered.select(F.col("a").alias("key"), "near", F.lit(None).cast("long").alias("old"))
+        own = label.select("key", F.col("comp").alias("near"), F.col("comp").alias("old"))
+        step = offered.union(own).groupBy("key").agg(F.min("near").alias("comp"), F.max("old").alias("old"))
         step = stored(spark, step, "labels-step")
+        if step.where("comp <> old").isEmpty():
+            return step.select("key", "comp")
         # The label's own label: long chains shorten by half in each round.
-        new = step.join(step.select(F.col("key").alias("comp"), F.col("comp").alias("root")), "comp", "left")
-        new = stored(spark, new.select("key", F.least("comp", F.coalesce("root", "comp")).alias("comp")), "labels")
-        if new.join(label, ["key", "comp"], "left_anti").isEmpty():
-            return new
-        label = new
+        new = step.select("key", "comp").join(step.select(F.col("key").alias("comp"), F.col("comp").alias("root")), "comp", "left")
+        label = stored(spark, new.select("key", F.least("comp", F.coalesce("root", "comp")).alias("comp")), "labels")
 
 
 def _labelled(df: DataFrame, comps: DataFrame, key: str, name: str) -> DataFrame:
@@ -338,15 +349,15 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, recall: flo
     nearest = F.slice(F.array_sort(F.collect_list(F.struct("differ", "other"))), 1, NEXT)  # of at most LEADERS * leaves
     second = apart.groupBy("key").agg(nearest.alias("near")).select("key", F.explode("near.other").alias("other"))
     second = stored(spark, _ordered(second).join(tested, ["a", "b"], "left_anti"), "tested")
-    links = stored(spark, links.union(_verify(second, rows, sets, similarity)), "links")
-    comps = components(links)
+    more = _verify(second, rows, sets, similarity)
+    comps, links = components(more, comps), links.union(more)
     # All that is left between components.
     marked = _labelled(_labelled(buckets.select("path", "key", "lead0"), comps, "key", "comp"), comps, "lead0", "lead_comp")
     marked = stored(spark, marked.select("path", "key", "comp", "lead_comp"), "buckets-marked")
     third = _outside_against_members(marked, sets, similarity)
     third = stored(spark, third.join(tested.union(second), ["a", "b"], "left_anti"), "tested")
-    links = stored(spark, links.union(_verify(third, rows, sets, similarity)).distinct(), "links")
-    comps = components(links)
+    more = _verify(third, rows, sets, similarity)
+    comps, links = components(more, comps), links.union(more)
 
     degree = links.select(F.col("a").alias("key")).union(links.select(F.col("b").alias("key"))).groupBy("key").agg(F.count(F.lit(1)).alias("n_links"))
     classed = _labelled(sets.select("key", "rid", "n"), comps, "key", "comp")

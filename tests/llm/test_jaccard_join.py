@@ -113,6 +113,20 @@ def test_components_of_chains_and_stars(spark):
     assert {got[i] for i in range(100, 161)} == {100} and {got[k] for k in [*range(1, 40), 500]} == {1} and got[702] == 700
 
 
+def test_components_grow_from_known_ones(spark):
+    first = [(1, 2), (3, 4), (5, 6), (20, 21)]
+    more = [(2, 4), (6, 30), (31, 32), (4, 1)]
+
+    def of(links, known=None):
+        return j.components(spark.createDataFrame(links, "a long, b long"), known)
+
+    known = of(first)
+    got = {r.key: r.comp for r in of(more, known).collect()}
+    want = {r.key: r.comp for r in of(first + more).collect()}
+    assert got == want and got[30] == 5 and got[4] == 1 and got[32] == 31
+    assert {r.key: r.comp for r in of([(1, 2)], known).collect()} == {r.key: r.comp for r in known.collect()}
+
+
 def test_runs_reach_the_recall():
     assert j.runs_for(0.9) < j.runs_for(0.99) < j.runs_for(0.9999)
     tokens = np.unique(j.mix64(np.arange(400, dtype=np.uint64)))
