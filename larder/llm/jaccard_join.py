@@ -15,9 +15,11 @@ A bucket never emits its pairs.  Every bucket has a few leaders, and each set is
 first paired with the one of all its leaders that its sketch is closest to, then
 with the next few from other components; verified links join sets into
 components.  Then only members outside their leader's component are compared
-with all members of the bucket, in blocks of bounded size, and only pairs from
-different components are verified.  So no link between components is lost, and a
-large group costs as much as it has rows beside what it leaves unlinked.
+with all members of the bucket, in tiles of bounded size and by the smallest
+hashes of their sets, which decide exactly for sets of at most ``LOWEST``
+shingles; only pairs from different components are verified.  So no link
+between components is lost, and a large group costs as much as it has rows
+beside what it leaves unlinked.
 Candidates are sifted by size and by a 128-bit sketch; every link is verified on
 the full sets.  Components grow by label propagation over tables in the shared
 folder; links never reach the driver.
@@ -51,6 +53,10 @@ BLOCK = 512
 #: bins; others differ in 64.  Very small sets are not sifted.
 SKETCH_BITS, SKETCH_BITS_SMALL = 26, 36
 SKETCH_SMALL, SKETCH_NONE = 128, 32
+#: Smallest hashes of a set that compare it with others of its bucket: a set of
+#: at most so many is compared exactly, a larger one within SURE standard errors.
+LOWEST = 256
+SURE = 3.5
 #: Ids of texts to verify that are broadcast (16 bytes each) at most; beyond
 #: that the join shuffles.
 BROADCAST_IDS = 2_000_000
@@ -117,6 +123,12 @@ def sketch(tokens: np.ndarray) -> tuple[int, int]:
     return tuple(words.astype(np.int64).tolist())
 
 
+def lowest(tokens: np.ndarray) -> bytes:
+    """The ``LOWEST`` smallest 32-bit hashes of a set, ascending."""
+    h = np.unique((mix64(tokens * _STEP) >> np.uint64(32)).astype(np.uint32))
+    return h[:LOWEST].astype("<u4").tobytes()
+
+
 def leaves(tokens: np.ndarray, runs: int, similarity: float, depth: int = DEPTH, branching: float = BRANCHING) -> np.ndarray:
     """Distinct leaves (64-bit path hashes) that a set reaches in all runs."""
     limit = min(1.0, branching / (similarity * len(tokens)))
@@ -145,20 +157,21 @@ def _signatures(rows: DataFrame, similarity: float, runs: int) -> DataFrame:
     """rid and, of its set: fingerprint, size, sketch and leaves."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            prints, sketches, size, paths = [], [], [], []
+            prints, sketches, size, low, paths = [], [], [], [], []
             texts = [t.lower() if t else t for t in batch.column("text").to_pylist()]
             for _, chunk in text_chunks(texts):
                 for tokens in shingle_sets(chunk):
                     prints.append(fingerprint(tokens))
                     size.append(len(tokens))
                     sketches.append(sketch(tokens) if len(tokens) else (0, 0))
+                    low.append(lowest(tokens))
                     paths.append(leaves(tokens, runs, similarity).astype(np.int64) if len(tokens) else np.zeros(0, np.int64))
             halves = [pa.array([x[i] for x in of], pa.int64()) for of in (prints, sketches) for i in (0, 1)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("rid"), *halves[:2], pa.array(size, pa.int32()), *halves[2:], pa.array(paths, pa.list_(pa.int64()))],
-                ["rid", "fa", "fb", "size", "s1", "s2", "paths"])
+                [batch.column("rid"), *halves[:2], pa.array(size, pa.int32()), *halves[2:], pa.array(low, pa.binary()),
+                 pa.array(paths, pa.list_(pa.int64()))], ["rid", "fa", "fb", "size", "s1", "s2", "low", "paths"])
 
-    return rows.mapInArrow(run, "rid long, fa long, fb long, size int, s1 long, s2 long, paths array<long>")
+    return rows.mapInArrow(run, "rid long, fa long, fb long, size int, s1 long, s2 long, low binary, paths array<long>")
 
 
 def _sift(similarity: float):
@@ -270,41 +283,158 @@ def _described(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return pairs.join(of, "key").join(other, "other").withColumn("differ", _differ())
 
 
-def _outside_against_members(buckets: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+def _similar(low_m: list[np.ndarray], low_r: list[np.ndarray], size_m: np.ndarray, size_r: np.ndarray, ok: np.ndarray,
+             similarity: float) -> np.ndarray:
+    """Which of the pairs in ``ok`` may be similar by their smallest hashes.
+
+    Up to the smaller of both largest hashes, both samples are whole; they are
+    compared there, exactly if both sets are whole.
+    """
+    out = np.zeros_like(ok)
+    rows, cols = np.flatnonzero(ok.any(axis=1)), np.flatnonzero(ok.any(axis=0))
+    if not len(rows):
+        return out
+    m, r = [low_m[i] for i in rows], [low_r[j] for j in cols]
+    tokens, place = np.unique(np.concatenate(m + r), return_inverse=True)
+    owner = np.repeat(np.arange(len(m) + len(r)), [len(x) for x in m + r])
+    in_m = np.zeros(len(tokens), bool)
+    in_m[place[owner < len(m)]] = True
+    in_r = np.zeros(len(tokens), bool)
+    in_r[place[owner >= len(m)]] = True
+    column = np.cumsum(in_m & in_r) - 1
+    use = (in_m & in_r)[place]
+    owner, column = owner[use], column[place[use]]
+    shared = np.zeros((len(m), len(r)), np.float32)
+    order = np.argsort(column, kind="stable")
+    owner, column = owner[order], column[order]
+    for lo in range(0, int(column[-1]) + 1 if len(column) else 0, 4096):  # bounded memory
+        a, b = np.searchsorted(column, [lo, lo + 4096])
+        hold = np.zeros((len(m) + len(r), 4096), np.float32)
+        hold[owner[a:b], column[a:b] - lo] = 1
+        shared += hold[:len(m)] @ hold[len(m):].T
+    whole_m, whole_r = size_m[rows] <= LOWEST, size_r[cols] <= LOWEST
+    last = np.uint32(0xFFFFFFFF)
+    end_m = np.where(whole_m, last, [x[-1] for x in m]).astype(np.uint32)
+    end_r = np.where(whole_r, last, [x[-1] for x in r]).astype(np.uint32)
+    n_m = np.array([np.searchsorted(x, np.minimum(end_r, e), "right") for x, e in zip(m, end_m, strict=True)])
+    n_r = np.array([np.searchsorted(x, np.minimum(end_m, e), "right") for x, e in zip(r, end_r, strict=True)]).T
+    union = np.maximum(n_m + n_r - shared, 1)
+    exact = whole_m[:, None] & whole_r[None, :]
+    least = similarity - np.where(exact, 1e-6, SURE * np.sqrt(similarity * (1 - similarity) / union))
+    out[np.ix_(rows, cols)] = (shared >= least * union) & ok[np.ix_(rows, cols)]
+    return out
+
+
+def _tile_links(t: dict[str, np.ndarray], low: list[np.ndarray], similarity: float) -> tuple[np.ndarray, np.ndarray]:
+    """Candidate pairs of a tile: members against outside members."""
+    m, r = np.flatnonzero(t["as_m"]), np.flatnonzero(t["as_r"])
+    size_m, size_r = t["size"][m], t["size"][r]
+    small = np.minimum(size_m[:, None], size_r[None, :])
+    ok = (t["comp"][m][:, None] != t["comp"][r][None, :]) & (small >= np.ceil(np.maximum(size_m[:, None], size_r[None, :]) * similarity))
+    differ = np.bitwise_count(t["s1"][m][:, None] ^ t["s1"][r][None, :]).astype(np.int16)
+    differ += np.bitwise_count(t["s2"][m][:, None] ^ t["s2"][r][None, :])
+    ok &= differ <= np.where(small < SKETCH_NONE, 128, np.where(small < SKETCH_SMALL, SKETCH_BITS_SMALL, SKETCH_BITS))
+    if not ok.any():
+        return m[:0], m[:0]
+    a, b = np.nonzero(_similar([low[i] for i in m], [low[j] for j in r], size_m, size_r, ok, similarity))
+    # Pairs that are exactly known to be linked make one component: further ones add nothing.
+    a, b = m[a], r[b]
+    sure = (t["size"][a] <= LOWEST) & (t["size"][b] <= LOWEST)
+    root: dict[int, int] = {}
+
+    def find(c: int) -> int:
+        while c in root:
+            c = root[c]
+        return c
+
+    keep = np.ones(len(a), bool)
+    for k in np.flatnonzero(sure).tolist():
+        x, y = find(int(t["comp"][a[k]])), find(int(t["comp"][b[k]]))
+        keep[k] = x != y
+        if x != y:
+            root[x] = y
+    for k in np.flatnonzero(~sure).tolist():
+        keep[k] = find(int(t["comp"][a[k]])) != find(int(t["comp"][b[k]]))
+    return a[keep], b[keep]
+
+
+_TILE = ("path", "mb", "rb")
+
+
+def _outside_against_members(buckets: DataFrame, sets: DataFrame, signed: DataFrame, similarity: float) -> DataFrame:
     """Candidate pairs (a, b) from different components of a bucket.
 
-    ``buckets``: path, key, comp, lead_comp.  Members outside the leader's
-    component are gathered in blocks, and each block meets all members.
+    ``buckets``: path, key, comp, lead_comp.  A bucket's members and those of
+    them outside the leader's component are cut into blocks of about ``BLOCK``;
+    each tile of one block of either is compared in one place, so no task holds
+    more than two blocks at once.
     """
     spark = sets.sparkSession
-    rest = stored(spark, buckets.where("comp <> lead_comp").select("path", "key", "comp"), "outside")
-    many = stored(spark, rest.groupBy("path").agg(F.count(F.lit(1)).alias("n")), "outside-count")
-    of = sets.select("key", "size", "s1", "s2")
-    columns = ("key", "size", "s1", "s2", "comp")
-    block = F.pmod(F.xxhash64("key"), F.ceil(F.col("n") / BLOCK)).cast("int")
-    blocks = rest.join(of, "key").join(many, "path").groupBy("path", block.alias("block")).agg(
-        *[F.collect_list(c).alias(f"{c}_b") for c in columns])
-    blocks = stored(spark, blocks, "blocks")
-    members = buckets.join(many.select("path"), "path", "left_semi").select("path", "key", "comp").join(of, "key")
-    met = stored(spark, members.select("path", *columns), "members").join(blocks, "path")
+    counts = buckets.groupBy("path").agg(F.count(F.lit(1)).alias("n"), F.count(F.when(F.col("comp") != F.col("lead_comp"), 1)).alias("n_out"))
+    counts = stored(spark, counts.where("n_out > 0"), "outside-count")
+    rows = stored(spark, buckets.join(counts, "path"), "outside")
+    keys = rows.select("key").distinct()
+    lows = signed.where("size > 0").select("key", "low")
+    lows = lows.join(F.broadcast(keys) if keys.count() <= BROADCAST_IDS else keys, "key", "left_semi")
+    lows = lows.groupBy("key").agg(F.first("low").alias("low"))
+    lows = stored(spark, lows.join(sets.select("key", "size", "s1", "s2"), "key"), "lowest")
+    own = F.xxhash64("key")
+    rows = rows.withColumns({
+        "nm": F.ceil(F.col("n") / BLOCK), "nr": F.ceil(F.col("n_out") / BLOCK), "out": F.col("comp") != F.col("lead_comp")})
+    rows = rows.withColumns({"own_m": F.pmod(own, F.col("nm")), "own_r": F.pmod(F.shiftright(own, 20), F.col("nr"))})
+    base = ["path", "key", "comp"]
+    as_member = rows.select(*base, F.col("own_m").alias("mb"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("nr") - 1)).alias("rb"),
+                            "out", "own_r").select(*base, "mb", "rb", F.lit(True).alias("as_m"), (F.col("out") & (F.col("rb") == F.col("own_r"))).alias("as_r"))
+    # An outside member stands in its own tile already.
+    as_outside = rows.where("out and nm > 1").select(
+        *base, F.explode(F.sequence(F.lit(0).cast("long"), F.col("nm") - 1)).alias("mb"), F.col("own_r").alias("rb"), "own_m").where(
+        "mb <> own_m").select(*base, "mb", "rb", F.lit(False).alias("as_m"), F.lit(True).alias("as_r"))
+    tiles = as_member.unionByName(as_outside).join(lows, "key")
+    tiles = tiles.select(*_TILE, "key", "comp", "size", "s1", "s2", "low", "as_m", "as_r")
+    tiles = tiles.repartition(*_TILE).sortWithinPartitions(*_TILE)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+
+        def links(table: pa.Table) -> pa.RecordBatch:
+            c = {n: table.column(n).to_numpy() for n in (*_TILE, "key", "comp", "size", "s1", "s2", "as_m", "as_r")}
+            low = [np.frombuffer(x, "<u4") for x in table.column("low").to_pylist()]
+            new = np.ones(len(low) + 1, bool)
+            new[1:-1] = False
+            for n in _TILE:
+                new[1:-1] |= c[n][1:] != c[n][:-1]
+            cuts = np.flatnonzero(new)
+            found = []
+            for lo, hi in zip(cuts, cuts[1:], strict=False):
+                t = {n: v[lo:hi] for n, v in c.items()}
+                if hi - lo > 1 and t["as_r"].any():
+                    a, b = _tile_links(t, low[lo:hi], similarity)
+                    if len(a):
+                        x, y = t["key"][a], t["key"][b]
+                        found.append(np.stack([np.minimum(x, y), np.maximum(x, y)]))
+            pairs = np.unique(np.concatenate(found, axis=1), axis=1) if found else np.zeros((2, 0), np.int64)
+            return pa.RecordBatch.from_arrays([pa.array(pairs[0], pa.int64()), pa.array(pairs[1], pa.int64())], ["a", "b"])
+
         for batch in batches:
-            key, size, s1, s2, comp = (batch.column(c).to_numpy() for c in columns)
-            lists = [batch.column(f"{c}_b") for c in columns]
-            out: list[np.ndarray] = []
-            for i in range(batch.num_rows):
-                keys, sizes, w1, w2, comps = (x[i].values.to_numpy() for x in lists)
-                small, large = np.minimum(sizes, size[i]), np.maximum(sizes, size[i])
-                differ = np.bitwise_count(w1 ^ s1[i]).astype(np.int64) + np.bitwise_count(w2 ^ s2[i])
-                limit = np.where(small < SKETCH_NONE, 128, np.where(small < SKETCH_SMALL, SKETCH_BITS_SMALL, SKETCH_BITS))
-                ok = (comps != comp[i]) & (small >= np.ceil(large * similarity)) & (differ <= limit)
-                if ok.any():
-                    out.append(np.stack([np.minimum(keys[ok], key[i]), np.maximum(keys[ok], key[i])]))
-            found = np.unique(np.concatenate(out, axis=1), axis=1) if out else np.zeros((2, 0), np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(found[0], pa.int64()), pa.array(found[1], pa.int64())], ["a", "b"])
-
-    return met.mapInArrow(run, "a long, b long").distinct()
+            if not batch.num_rows:
+                continue
+            # The last tile of a batch may go on in the next one.
+            last = [batch.column(n)[batch.num_rows - 1].as_py() for n in _TILE]
+            same = np.ones(batch.num_rows, bool)
+            for n, v in zip(_TILE, last, strict=True):
+                same &= batch.column(n).to_numpy() == v
+            start = int(np.flatnonzero(same)[0])
+            if start:
+                yield links(pa.Table.from_batches([*held, batch.slice(0, start)]))
+                held = []
+            elif held and [held[-1].column(n)[0].as_py() for n in _TILE] != last:
+                yield links(pa.Table.from_batches(held))
+                held = []
+            held.append(batch.slice(start))
+        if held:
+            yield links(pa.Table.from_batches(held))
+
+    return tiles.mapInArrow(run, "a long, b long").distinct()
 
 
 def _ordered(pairs: DataFrame) -> DataFrame:
@@ -354,7 +484,7 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, recall: flo
     # All that is left between components.
     marked = _labelled(_labelled(buckets.select("path", "key", "lead0"), comps, "key", "comp"), comps, "lead0", "lead_comp")
     marked = stored(spark, marked.select("path", "key", "comp", "lead_comp"), "buckets-marked")
-    third = _outside_against_members(marked, sets, similarity)
+    third = _outside_against_members(marked, sets, signed, similarity)
     third = stored(spark, third.join(tested.union(second), ["a", "b"], "left_anti"), "tested")
     more = _verify(third, rows, sets, similarity)
     comps, links = components(more, comps), links.union(more)
