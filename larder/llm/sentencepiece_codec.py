@@ -24,9 +24,10 @@ from pyspark.sql import DataFrame
 
 from larder.llm.token_counts import SPACE, _model_proto, pretokens, splits_at_spaces
 
-CACHE_WORDS = 500_000
+CACHE_WORDS = 300_000
+CACHE_PARTS = 150_000
 CACHE_WORD_CHARS = 64
-CACHE_PAIRS = 400_000
+CACHE_PAIRS = 300_000
 
 
 class PieceCodec:
@@ -153,7 +154,7 @@ class PieceCodec:
         if ids is None:
             ids = self._known(part)
             if len(part) <= CACHE_WORD_CHARS:
-                if len(self.memo) >= CACHE_WORDS:
+                if len(self.memo) >= CACHE_PARTS:
                     self.memo.clear()
                 self.memo[part] = ids
         return ids

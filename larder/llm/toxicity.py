@@ -31,7 +31,7 @@ MAX_FEATURES = 40_000
 L1 = 0.002
 COUNTERFACTUAL = 1.0
 STEPS = 250
-CACHE_WORDS = 500_000
+CACHE_WORDS = 200_000
 
 #: Groups of terms that may be swapped for one another (a parameter).
 IDENTITY_TERMS = (
