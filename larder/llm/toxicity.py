@@ -24,7 +24,7 @@ from larder.llm.common import id_fold
 
 BITS = 22
 #: Labelled documents of each label that the weights are fitted on, at most.
-SAMPLE_PER_LABEL = 4000
+SAMPLE_PER_LABEL = 3000
 #: Features that occur in fewer sampled documents get no weight.
 LEAST_DOCS = 4
 MAX_FEATURES = 40_000
@@ -67,11 +67,9 @@ def swaps(words: set[str], groups: tuple[tuple[str, ...], ...]) -> list[tuple[st
 class _Rows:
     """Sparse rows for products with a vector and its transpose."""
 
-    def __init__(self, rows: list[dict[int, float]], columns: int):
-        self.n, self.columns = len(rows), columns
-        self.row = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
-        self.col = np.array([c for r in rows for c in r], np.int64)
-        self.val = np.array([v for r in rows for v in r.values()], np.float64)
+    def __init__(self, n: int, columns: int, row: np.ndarray, col: np.ndarray, val: np.ndarray):
+        self.n, self.columns = n, columns
+        self.row, self.col, self.val = row.astype(np.int32), col.astype(np.int32), val.astype(np.float64)
 
     def dot(self, w: np.ndarray) -> np.ndarray:
         return np.bincount(self.row, self.val * w[self.col], minlength=self.n)
@@ -80,34 +78,52 @@ class _Rows:
         return np.bincount(self.col, self.val * r[self.row], minlength=self.columns)
 
 
-def fit_weights(texts: list[Counter], toxic: np.ndarray, differences: list[Counter], penalty: float = COUNTERFACTUAL,
-                l1: float = L1) -> tuple[dict[int, float], float]:
+def _joined(parts: list[np.ndarray], kind: str) -> np.ndarray:
+    return np.concatenate(parts).astype(kind) if parts else np.zeros(0, kind)
+
+
+def fit_weights(ids: list[np.ndarray], counts: list[np.ndarray], toxic: np.ndarray, differences: list[Counter],
+                penalty: float = COUNTERFACTUAL, l1: float = L1) -> tuple[dict[int, float], float]:
     """(weights by feature, intercept) by accelerated proximal gradient steps.
 
-    ``differences``: features of a text less those of its swapped version.
+    ``ids``, ``counts``: the distinct features of each text and how many of its
+    words have them; ``differences``: features of a text less those of its
+    swapped version.
     """
     if not len(toxic) or toxic.min() == toxic.max():
         return {}, -20.0 if not len(toxic) or not toxic[0] else 20.0
-    docs = Counter(f for t in texts for f in t)
-    hits = Counter(f for t, y in zip(texts, toxic, strict=True) if y for f in t)
+    row = np.repeat(np.arange(len(ids), dtype=np.int32), [len(i) for i in ids])
+    feature, value = _joined(ids, "<u4"), _joined(counts, "<u2")
     one, zero = toxic.sum(), (1 - toxic).sum()
-    kept = [f for f, n in docs.items() if n >= LEAST_DOCS]
-    p = np.array([hits[f] for f in kept], float)
-    q = np.array([docs[f] for f in kept], float) - p
+    docs = np.bincount(feature, minlength=1 << BITS)
+    p = np.bincount(feature[toxic[row] == 1], minlength=1 << BITS)
+    kept = np.flatnonzero(docs >= LEAST_DOCS)
+    p, q = p[kept].astype(float), (docs - p)[kept].astype(float)
     gap = np.abs(p / one - q / zero) / np.sqrt((p + q + 1) / (one + zero))
-    order = np.lexsort((kept, -gap))[:MAX_FEATURES]
-    place = {kept[i]: j for j, i in enumerate(order.tolist())}
-    m = len(place)
-    bias = m
-    x = _Rows([{**{place[f]: float(v) for f, v in t.items() if f in place}, bias: 1.0} for t in texts], m + 1)
+    chosen = np.sort(kept[np.lexsort((kept, -gap))[:MAX_FEATURES]])
+    m = bias = len(chosen)
+
+    def place(f: np.ndarray) -> np.ndarray:
+        """Column of each feature, -1 for those without one."""
+        at = np.minimum(np.searchsorted(chosen, f), max(m - 1, 0))
+        return np.where(chosen[at] == f, at, -1) if m else np.full(len(f), -1)
+
+    col = place(feature)
+    use = col >= 0
+    n = len(ids)
+    x = _Rows(n, m + 1, np.concatenate([row[use], np.arange(n)]), np.concatenate([col[use], np.full(n, bias)]),
+              np.concatenate([value[use], np.ones(n)]))
     # Columns are scaled by their size so that one step length suits all.
     size = np.sqrt(np.bincount(x.col, x.val ** 2, minlength=m + 1) / x.n)
     scale = 1 / np.maximum(size, 0.05)
     scale[bias] = 1.0
     x.val *= scale[x.col]
-    d = _Rows([{place[f]: float(v) for f, v in t.items() if f in place and v} for t in differences], m + 1)
-    if d.n:
-        d.val *= scale[d.col]
+    changed = [(k, f, v) for k, t in enumerate(differences) for f, v in t.items() if v]
+    at = place(np.array([f for _, f, _ in changed], np.int64))
+    has = at >= 0
+    d = _Rows(len(differences), m + 1, np.array([k for k, _, _ in changed], np.int32)[has], at[has],
+              np.array([v for _, _, v in changed], float)[has])
+    d.val *= scale[d.col]
     weight = np.where(toxic == 1, 0.5 / one, 0.5 / zero)  # both labels count alike
 
     def spread(rows: _Rows, by: np.ndarray | float) -> float:
@@ -132,7 +148,7 @@ def fit_weights(texts: list[Counter], toxic: np.ndarray, differences: list[Count
         z = new + (t - 1) / t_new * (new - w)
         w, t = new, t_new
     w = w * scale
-    return {f: float(w[j]) for f, j in place.items() if w[j]}, float(w[bias])
+    return {int(chosen[j]): float(w[j]) for j in np.flatnonzero(w[:m])}, float(w[bias])
 
 
 class ToxicityModel:
@@ -199,7 +215,8 @@ def fit(docs: DataFrame, labels: DataFrame, folds: int = 5, held_out: int = 0, s
     shape = "doc_id long, toxic int, ids binary, counts binary, less array<int>, more array<int>"
     found = rows.mapInArrow(run, shape).collect()
     found.sort(key=lambda r: (r.doc_id, r.ids, r.counts))
-    texts = [Counter(dict(zip(np.frombuffer(r.ids, "<u4").tolist(), np.frombuffer(r.counts, "<u2").tolist(), strict=True))) for r in found]
+    ids = [np.frombuffer(r.ids, "<u4") for r in found]
+    counts = [np.frombuffer(r.counts, "<u2") for r in found]
     differences = []
     for r in found:
         if r.less:
@@ -207,7 +224,7 @@ def fit(docs: DataFrame, labels: DataFrame, folds: int = 5, held_out: int = 0, s
             change.subtract(Counter(r.more))
             differences.append(change)
     toxic = np.array([r.toxic for r in found], np.float64)
-    return ToxicityModel(*fit_weights(texts, toxic, differences, penalty))
+    return ToxicityModel(*fit_weights(ids, counts, toxic, differences, penalty))
 
 
 def score(docs: DataFrame, model: ToxicityModel, folds: int = 5, held_out: int = 0) -> DataFrame:

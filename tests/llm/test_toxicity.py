@@ -79,5 +79,7 @@ def test_without_labels_or_rows(spark):
 
 def test_weights_are_sparse():
     texts = [Counter({i: 1, 1000 + i % 7: 1, **({5: 1} if i % 2 else {6: 1})}) for i in range(100)]
-    weights, _ = toxicity.fit_weights(texts, np.array([i % 2 for i in range(100)], float), [])
+    ids = [np.array(sorted(t), "<u4") for t in texts]
+    counts = [np.array([t[f] for f in sorted(t)], "<u2") for t in texts]
+    weights, _ = toxicity.fit_weights(ids, counts, np.array([i % 2 for i in range(100)], float), [])
     assert weights[5] > 0 > weights[6] and len(weights) < 15
