@@ -15,7 +15,9 @@ from pyspark.sql import functions as F
 from larder.session import scratch_dir
 
 # Bytes of text that vectorised kernels handle at once inside a task.
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 19
+# Rows of an Arrow batch that an operator turns into Python objects at once.
+SLICE_ROWS = 512
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -36,6 +38,14 @@ def id_fold(doc_id: str | Column, k: int) -> Column:
     return F.crc32(col.cast("string")) % k
 
 
+def slices(batches: Iterator[pa.RecordBatch], rows: int = SLICE_ROWS) -> Iterator[pa.RecordBatch]:
+    """The batches in parts of at most ``rows`` rows, so that a worker's memory
+    does not follow the size of a batch."""
+    for batch in batches:
+        for lo in range(0, batch.num_rows, rows):
+            yield batch.slice(lo, rows)
+
+
 def text_chunks(texts: list[str | None], limit: int = CHUNK_BYTES, rows: int = 4096) -> Iterator[tuple[int, list[bytes]]]:
     """(index of the first, UTF-8 texts) in runs of about ``limit`` bytes and at
     most ``rows`` texts; a longer text is a run of its own.  Null counts as empty."""

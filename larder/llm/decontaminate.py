@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from larder.llm.common import joined, text_chunks, word_hashes
+from larder.llm.common import joined, slices, text_chunks, word_hashes
 
 WINDOW = 10
 BLOCK_WINDOWS = 400_000
@@ -107,7 +107,7 @@ def item_windows(benchmark: DataFrame) -> DataFrame:
     rows = benchmark.select(benchmark["item_id"].alias("item"), benchmark["text"].alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             ids = batch.column("item").to_pylist()
             k_of, h_of, words_of, item_of = [], [], [], []
             for start, texts in text_chunks(batch.column("text").to_pylist()):
@@ -175,7 +175,7 @@ def find_hits(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 def _scan(windows):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = WindowSet(windows.value)
-        for batch in batches:
+        for batch in slices(batches):
             n_words, n_hit, items = [], [], []
             for _, texts in text_chunks(batch.column("text").to_pylist()):
                 n, hit, found, _, _ = known.hits(texts)
@@ -200,7 +200,7 @@ def _merged(rows: DataFrame, blocks: list, kind: str) -> DataFrame:
     def step(df: DataFrame, windows) -> DataFrame:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             known = WindowSet(windows.value)
-            for batch in batches:
+            for batch in slices(batches):
                 old = batch.column("items").to_pylist(), batch.column("spans").to_pylist()
                 spans, items, n_words = [], [], []
                 for start, texts in text_chunks(batch.column("text").to_pylist()):
@@ -246,7 +246,7 @@ def _filtered(docs: DataFrame, benchmark: DataFrame, spans: bool) -> DataFrame:
 
         def run(batches: Iterator[pa.RecordBatch], windows=windows) -> Iterator[pa.RecordBatch]:
             known = WindowSet(windows.value)
-            for batch in batches:
+            for batch in slices(batches):
                 texts = batch.column("text").to_pylist()
                 keep, new = [], []
                 for start, run_ in text_chunks(texts):

@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from larder.llm.common import stored
+from larder.llm.common import slices, stored
 
 #: Share of a host's pages that hold a token of the template.
 SUPPORT = 0.5
@@ -203,7 +203,7 @@ def token_statistics(pages: DataFrame) -> DataFrame:
     rows = pages.select("page_id", _host("url").alias("host"), "html")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             total: dict[tuple[str, int, int], list[int]] = {}
 
             def add(host: str, token: int, kind: int, print_: int, chars: int, links: int, total=total) -> None:
@@ -276,7 +276,7 @@ def extract(pages: DataFrame) -> DataFrame:
     rows = rows.select("page_id", "url", "html", "dropped")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             sets: dict[tuple[int, ...], frozenset[int]] = {}
             texts = []
             for html, dropped in zip(batch.column("html").to_pylist(), batch.column("dropped").to_pylist(), strict=True):

@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from larder.llm.common import joined, mix64, stored, text_chunks, word_hashes
+from larder.llm.common import joined, mix64, slices, stored, text_chunks, word_hashes
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -138,7 +138,7 @@ def leaves(tokens: np.ndarray, runs: int, similarity: float, depth: int = DEPTH,
         for _ in range(depth):
             kept = []
             # Few nodes at a time, so that memory stays bounded for very long texts.
-            width = max(1, (1 << 20) // len(tokens))
+            width = max(1, (1 << 18) // len(tokens))
             for lo in range(0, len(nodes), width):
                 mixed = mix64(nodes[lo:lo + width, None] + tokens[None, :])
                 kept.append(mixed[mixed <= bound])
@@ -156,7 +156,7 @@ def _with_rid(docs: DataFrame) -> DataFrame:
 def _signatures(rows: DataFrame, similarity: float, runs: int) -> DataFrame:
     """rid and, of its set: fingerprint, size, sketch and leaves."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             prints, sketches, size, low, paths = [], [], [], [], []
             texts = [t.lower() if t else t for t in batch.column("text").to_pylist()]
             for _, chunk in text_chunks(texts):
@@ -194,7 +194,7 @@ def _texts_of(keys: DataFrame, rows: DataFrame, sets: DataFrame) -> DataFrame:
         ids = F.broadcast(ids)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             texts = [t.lower() if t else t for t in batch.column("text").to_pylist()]
             prints = [fingerprint(tokens) for _, chunk in text_chunks(texts) for tokens in shingle_sets(chunk)]
             yield pa.RecordBatch.from_arrays(
@@ -215,7 +215,7 @@ def _verify(pairs: DataFrame, rows: DataFrame, sets: DataFrame, similarity: floa
     both = both.join(texts.select(F.col("key").alias("b"), F.col("text").alias("tb")), "b").select("a", "b", "ta", "tb")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             for lo in range(0, batch.num_rows, 64):
                 part = batch.slice(lo, 64)
                 sides = [part.column(c).to_pylist() for c in ("ta", "tb")]

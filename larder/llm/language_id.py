@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from larder.llm.common import id_fold, joined, text_chunks
+from larder.llm.common import id_fold, joined, slices, text_chunks
 
 DIMS = 4096
 #: Documents of each language that the centroids are fitted on, at most.
@@ -74,7 +74,7 @@ def _document_frequencies(learn: DataFrame) -> tuple[int, np.ndarray]:
     number per dimension on the driver."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(DIMS + 1, np.int64)
-        for batch in batches:
+        for batch in slices(batches):
             total[DIMS] += batch.num_rows
             for _, texts in _lowered(batch.column("text").to_pylist()):
                 total[:DIMS] += (term_counts(texts) > 0).sum(axis=0)
@@ -176,7 +176,7 @@ def _judged(rows: DataFrame, model: Centroids, id_col: str) -> DataFrame:
     shared = rows.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             lang, score, rejected = shared.value.predict(batch.column("text").to_pylist())
             yield pa.RecordBatch.from_arrays(
                 [batch.column(id_col), pa.array(lang, pa.string()), pa.array(score, pa.float64()), pa.array(rejected, pa.bool_())],
@@ -191,7 +191,7 @@ def keep_identified(docs: DataFrame, model: Centroids) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             _, _, rejected = shared.value.predict(batch.column("text").to_pylist())
             yield batch.filter(pa.array([not r for r in rejected], pa.bool_()))
 

@@ -22,6 +22,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from larder.llm.common import slices
 from larder.llm.token_counts import SPACE, _model_proto, pretokens, splits_at_spaces
 
 CACHE_WORDS = 300_000
@@ -243,7 +244,7 @@ def encode_texts(df: DataFrame, model_path: str, id_col: str = "doc_id", text_co
     rows = df.select(df[id_col].alias("id"), df[text_col].alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             c = codec(model_path)
             tail = [c.end] if add_end else []
             ids = [c.encode(t) + tail for t in batch.column("text").to_pylist()]
@@ -258,7 +259,7 @@ def decode_ids(df: DataFrame, model_path: str, id_col: str = "doc_id", ids_col:
     rows = df.select(df[id_col].alias("id"), df[ids_col].alias("ids"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             c = codec(model_path)
             text = [c.decode(ids or []) for ids in batch.column("ids").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(text, pa.string())], ["id", "text"])
@@ -278,7 +279,7 @@ def round_trip_digests(df: DataFrame, model_path: str, id_col: str = "doc_id", t
     sha = hashlib.sha256
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             c = codec(model_path)
             words = _WORDS.setdefault(model_path, _Words(c))
             n, of_ids, of_text = [], [], []

@@ -18,6 +18,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
+from larder.llm.common import slices
+
 SPACE = "▁"
 _RUNS = re.compile(r" +[^ ]*")
 
@@ -118,7 +120,7 @@ def count_tokens(df: DataFrame, model_path: str, limit: int = 4096, id_col: str
     id_type = rows.schema["id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             counter = _COUNTERS.get(model_path)
             if counter is None:
                 counter = _COUNTERS[model_path] = TokenCounter(model_path, whole.value)

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from larder.llm.common import id_fold
+from larder.llm.common import id_fold, slices
 
 BITS = 22
 #: Labelled documents of each label that the weights are fitted on, at most.
@@ -197,7 +197,7 @@ def fit(docs: DataFrame, labels: DataFrame, folds: int = 5, held_out: int = 0, s
     rows = docs.select("doc_id", "text").join(F.broadcast(some), "doc_id").select("doc_id", "toxic", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             ids, counts, less, more = [], [], [], []
             for text in batch.column("text").to_pylist():
                 words = distinct_words(text)
@@ -237,7 +237,7 @@ def score(docs: DataFrame, model: ToxicityModel, folds: int = 5, held_out: int =
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             values = [shared.value.score(t) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(values, pa.float64())], ["doc_id", "score"])
 
@@ -253,7 +253,7 @@ def keep_clean(docs: DataFrame, model: ToxicityModel) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             keep = [shared.value.score(t) < 0.5 for t in batch.column("text").to_pylist()]
             yield batch.filter(pa.array(keep, pa.bool_()))
 

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larder.llm.common import commit_file, filesystem, stored, temporary_name, write_manifest
+from larder.llm.common import commit_file, filesystem, slices, stored, temporary_name, write_manifest
 from larder.session import scratch_dir
 
 REVISIT_BYTES = 1000
@@ -167,7 +167,7 @@ def write_warc(pages: DataFrame, uri: str, file_bytes: int = FILE_BYTES, date: s
                 commit_file(filesys, files[-1]["tmp"], files[-1]["final"])
                 out = None
 
-        for batch in batches:
+        for batch in slices(batches):
             for row in batch.to_pylist():
                 if shard != row["shard"]:
                     close()
@@ -219,7 +219,7 @@ def read_warc(spark: SparkSession, files: list[dict], payloads: bool = False) ->
     names = ["page_id", "url", "record_type", "payload_bytes", "payload_digest", "refers_to", "record_id"] + ["payload"] * payloads
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             for path in batch.column("path").to_pylist():
                 filesys, root = filesystem(path)
                 with filesys.open_input_stream(root, compression=None) as stream:
