@@ -18,11 +18,15 @@ components.  Then only members outside their leader's component are compared
 with all members of the bucket, in tiles of bounded size and by the smallest
 hashes of their sets, which decide exactly for sets of at most ``LOWEST``
 shingles; only pairs from different components are verified.  So no link
-between components is lost, and a large group costs as much as it has rows
-beside what it leaves unlinked.
+between components is lost.
 Candidates are sifted by size and by a 128-bit sketch; every link is verified on
 the full sets.  Components grow by label propagation over tables in the shared
 folder; links never reach the driver.
+
+Links are counted last: all sets of a component meet once each, in tiles of two
+bounded blocks, by their full sets.  A tile emits one count for each set and no
+pairs, so rows grow with the blocks of a component and only the products inside
+a tile with the square of its sets.
 """
 
 from __future__ import annotations
@@ -48,6 +52,8 @@ LEADERS = 3
 NEXT = 3
 #: Members of a block that is compared with a bucket.
 BLOCK = 512
+#: Shingles of a block whose sets are compared in full, on average.
+BLOCK_SHINGLES = 1 << 19
 #: Sketch bits of 128 that may differ.  Sets at the threshold differ in 12.8 on
 #: average with a standard deviation of 3.4 to 5.6, as small sets fill fewer
 #: bins; others differ in 64.  Very small sets are not sifted.
@@ -283,18 +289,8 @@ def _described(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return pairs.join(of, "key").join(other, "other").withColumn("differ", _differ())
 
 
-def _similar(low_m: list[np.ndarray], low_r: list[np.ndarray], size_m: np.ndarray, size_r: np.ndarray, ok: np.ndarray,
-             similarity: float) -> np.ndarray:
-    """Which of the pairs in ``ok`` may be similar by their smallest hashes.
-
-    Up to the smaller of both largest hashes, both samples are whole; they are
-    compared there, exactly if both sets are whole.
-    """
-    out = np.zeros_like(ok)
-    rows, cols = np.flatnonzero(ok.any(axis=1)), np.flatnonzero(ok.any(axis=0))
-    if not len(rows):
-        return out
-    m, r = [low_m[i] for i in rows], [low_r[j] for j in cols]
+def _shared(m: list[np.ndarray], r: list[np.ndarray]) -> np.ndarray:
+    """How many tokens each of the sets ``m`` shares with each of ``r``."""
     tokens, place = np.unique(np.concatenate(m + r), return_inverse=True)
     owner = np.repeat(np.arange(len(m) + len(r)), [len(x) for x in m + r])
     in_m = np.zeros(len(tokens), bool)
@@ -312,6 +308,22 @@ def _similar(low_m: list[np.ndarray], low_r: list[np.ndarray], size_m: np.ndarra
         hold = np.zeros((len(m) + len(r), 4096), np.float32)
         hold[owner[a:b], column[a:b] - lo] = 1
         shared += hold[:len(m)] @ hold[len(m):].T
+    return shared
+
+
+def _similar(low_m: list[np.ndarray], low_r: list[np.ndarray], size_m: np.ndarray, size_r: np.ndarray, ok: np.ndarray,
+             similarity: float) -> np.ndarray:
+    """Which of the pairs in ``ok`` may be similar by their smallest hashes.
+
+    Up to the smaller of both largest hashes, both samples are whole; they are
+    compared there, exactly if both sets are whole.
+    """
+    out = np.zeros_like(ok)
+    rows, cols = np.flatnonzero(ok.any(axis=1)), np.flatnonzero(ok.any(axis=0))
+    if not len(rows):
+        return out
+    m, r = [low_m[i] for i in rows], [low_r[j] for j in cols]
+    shared = _shared(m, r)
     whole_m, whole_r = size_m[rows] <= LOWEST, size_r[cols] <= LOWEST
     last = np.uint32(0xFFFFFFFF)
     end_m = np.where(whole_m, last, [x[-1] for x in m]).astype(np.uint32)
@@ -361,6 +373,38 @@ def _tile_links(t: dict[str, np.ndarray], low: list[np.ndarray], similarity: flo
 _TILE = ("path", "mb", "rb")
 
 
+def _cuts(c: dict[str, np.ndarray]) -> np.ndarray:
+    """Where the tiles of sorted rows begin, and the end."""
+    new = np.ones(len(c[_TILE[0]]) + 1, bool)
+    new[1:-1] = False
+    for n in _TILE:
+        new[1:-1] |= c[n][1:] != c[n][:-1]
+    return np.flatnonzero(new)
+
+
+def _whole_tiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Rows sorted by tile, in tables that hold whole tiles."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        # The last tile of a batch may go on in the next one.
+        last = [batch.column(n)[batch.num_rows - 1].as_py() for n in _TILE]
+        same = np.ones(batch.num_rows, bool)
+        for n, v in zip(_TILE, last, strict=True):
+            same &= batch.column(n).to_numpy() == v
+        start = int(np.flatnonzero(same)[0])
+        if start:
+            yield pa.Table.from_batches([*held, batch.slice(0, start)])
+            held = []
+        elif held and [held[-1].column(n)[0].as_py() for n in _TILE] != last:
+            yield pa.Table.from_batches(held)
+            held = []
+        held.append(batch.slice(start))
+    if held:
+        yield pa.Table.from_batches(held)
+
+
 def _outside_against_members(buckets: DataFrame, sets: DataFrame, signed: DataFrame, similarity: float) -> DataFrame:
     """Candidate pairs (a, b) from different components of a bucket.
 
@@ -394,16 +438,10 @@ def _outside_against_members(buckets: DataFrame, sets: DataFrame, signed: DataFr
     tiles = tiles.repartition(*_TILE).sortWithinPartitions(*_TILE)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
-
         def links(table: pa.Table) -> pa.RecordBatch:
             c = {n: table.column(n).to_numpy() for n in (*_TILE, "key", "comp", "size", "s1", "s2", "as_m", "as_r")}
             low = [np.frombuffer(x, "<u4") for x in table.column("low").to_pylist()]
-            new = np.ones(len(low) + 1, bool)
-            new[1:-1] = False
-            for n in _TILE:
-                new[1:-1] |= c[n][1:] != c[n][:-1]
-            cuts = np.flatnonzero(new)
+            cuts = _cuts(c)
             found = []
             for lo, hi in zip(cuts, cuts[1:], strict=False):
                 t = {n: v[lo:hi] for n, v in c.items()}
@@ -415,39 +453,85 @@ def _outside_against_members(buckets: DataFrame, sets: DataFrame, signed: DataFr
             pairs = np.unique(np.concatenate(found, axis=1), axis=1) if found else np.zeros((2, 0), np.int64)
             return pa.RecordBatch.from_arrays([pa.array(pairs[0], pa.int64()), pa.array(pairs[1], pa.int64())], ["a", "b"])
 
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            # The last tile of a batch may go on in the next one.
-            last = [batch.column(n)[batch.num_rows - 1].as_py() for n in _TILE]
-            same = np.ones(batch.num_rows, bool)
-            for n, v in zip(_TILE, last, strict=True):
-                same &= batch.column(n).to_numpy() == v
-            start = int(np.flatnonzero(same)[0])
-            if start:
-                yield links(pa.Table.from_batches([*held, batch.slice(0, start)]))
-                held = []
-            elif held and [held[-1].column(n)[0].as_py() for n in _TILE] != last:
-                yield links(pa.Table.from_batches(held))
-                held = []
-            held.append(batch.slice(start))
-        if held:
-            yield links(pa.Table.from_batches(held))
+        for table in _whole_tiles(batches):
+            yield links(table)
 
     return tiles.mapInArrow(run, "a long, b long").distinct()
 
 
+def _tile_degrees(m: list[np.ndarray], r: list[np.ndarray] | None, similarity: float) -> tuple[np.ndarray, np.ndarray]:
+    """Links of each set of ``m`` with the sets of ``r``, and of each of ``r``
+    with those of ``m``; without ``r``, of ``m`` among themselves."""
+    other = m if r is None else r
+    size_m, size_r = np.array([len(x) for x in m]), np.array([len(x) for x in other])
+    shared = np.zeros((len(m), len(other)))
+    # Only sets of sizes that may be similar meet: in steps of size, those of two adjacent ones.
+    step_m, step_r = (np.floor(np.log(x) / -np.log(similarity) + 1e-9).astype(int) if similarity < 1 else x for x in (size_m, size_r))
+    for k in np.unique(step_m):
+        i, j = np.flatnonzero(step_m == k), np.flatnonzero(abs(step_r - k) <= 1)
+        if len(j):
+            shared[np.ix_(i, j)] = _shared([m[x] for x in i], [other[x] for x in j])
+    linked = shared >= similarity * (size_m[:, None] + size_r[None, :] - shared)
+    if r is None:
+        np.fill_diagonal(linked, False)
+        return linked.sum(axis=1), np.zeros(0, np.int64)
+    return linked.sum(axis=1), linked.sum(axis=0)
+
+
+def _degrees(sets: DataFrame, comps: DataFrame, rows: DataFrame, similarity: float) -> DataFrame:
+    """key and n_links, the sets of its component that have at least that
+    similarity, of all sets that share their component."""
+    spark = sets.sparkSession
+    members = sets.select("key", "size").join(comps, "key")
+    blocks = members.groupBy("comp").agg(F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK), F.ceil(F.sum("size") / BLOCK_SHINGLES)).alias("nb"))
+    placed = members.join(blocks, "comp").select("key", "comp", "nb", F.pmod(F.xxhash64("key"), F.col("nb")).alias("own"))
+    placed = stored(spark, placed, "placed")
+    texts = _texts_of(placed.select("key"), rows, sets).join(placed, "key").select("key", "comp", "nb", "own", "text")
+
+    def tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            full = [t.tobytes() for _, chunk in text_chunks(batch.column("text").to_pylist()) for t in shingle_sets(chunk)]
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(c) for c in ("key", "comp", "nb", "own")), pa.array(full, pa.binary())], ["key", "comp", "nb", "own", "tokens"])
+
+    full = texts.mapInArrow(tokens, "key long, comp long, nb long, own long, tokens binary")
+    tiles = full.withColumn("with", F.explode(F.sequence(F.lit(0).cast("long"), F.col("nb") - 1)))
+    tiles = tiles.select(F.col("comp").alias("path"), F.least("own", "with").alias("mb"), F.greatest("own", "with").alias("rb"), "key", "own", "tokens")
+    tiles = tiles.repartition(*_TILE).sortWithinPartitions(*_TILE)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in _whole_tiles(batches):
+            c = {n: table.column(n).to_numpy() for n in (*_TILE, "key", "own")}
+            cuts, held = _cuts(c), table.column("tokens")
+            keys, links = [], []
+            for lo, hi in zip(cuts, cuts[1:], strict=False):
+                own = [np.frombuffer(x, np.uint64) for x in held.slice(lo, hi - lo).to_pylist()]
+                as_m = c["own"][lo:hi] == c["mb"][lo]
+                m, r = np.flatnonzero(as_m), np.flatnonzero(~as_m)
+                same = c["mb"][lo] == c["rb"][lo]
+                if not same and not (len(m) and len(r)):
+                    continue
+                of_m, of_r = _tile_degrees([own[i] for i in m], None if same else [own[i] for i in r], similarity)
+                keys.append(c["key"][lo:hi][np.concatenate([m, r])])
+                links.append(np.concatenate([of_m, of_r]))
+            none = [np.zeros(0, np.int64)]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.concatenate(x or none), pa.int64()) for x in (keys, links)], ["key", "links"])
+
+    return stored(spark, tiles.mapInArrow(run, "key long, links long").groupBy("key").agg(F.sum("links").alias("n_links")), "degrees")
+
+
 def _ordered(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.least("key", "other").alias("a"), F.greatest("key", "other").alias("b")).distinct()
 
 
-def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, recall: float = RECALL) -> DataFrame:
+def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, recall: float = RECALL, counted: bool = True) -> DataFrame:
     """One row per document: doc_id, class_id, rep_id, n_links, class_size, n_shingles.
 
     ``class_id`` is the smallest doc_id of the class, ``rep_id`` that of the
-    documents with the same shingle set.  ``n_links`` counts the verified links
-    between the document's set and others: those that hold the class together,
-    not all pairs of a class.  Null texts and texts without a word are in no
+    documents with the same shingle set.  ``n_links`` counts all links of the
+    document's set: the other sets of its class that have at least the
+    similarity (null unless ``counted``).  Null texts and texts without a word are in no
     class but their own.  Repeated rows count each; an id with different texts
     has a row for each; a class or set whose smallest id is null has a null id.
     An empty table gives an empty result; other columns are not read.
@@ -480,20 +564,21 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, recall: flo
     second = apart.groupBy("key").agg(nearest.alias("near")).select("key", F.explode("near.other").alias("other"))
     second = stored(spark, _ordered(second).join(tested, ["a", "b"], "left_anti"), "tested")
     more = _verify(second, rows, sets, similarity)
-    comps, links = components(more, comps), links.union(more)
+    comps = components(more, comps)
     # All that is left between components.
     marked = _labelled(_labelled(buckets.select("path", "key", "lead0"), comps, "key", "comp"), comps, "lead0", "lead_comp")
     marked = stored(spark, marked.select("path", "key", "comp", "lead_comp"), "buckets-marked")
     third = _outside_against_members(marked, sets, signed, similarity)
     third = stored(spark, third.join(tested.union(second), ["a", "b"], "left_anti"), "tested")
     more = _verify(third, rows, sets, similarity)
-    comps, links = components(more, comps), links.union(more)
+    comps = components(more, comps)
 
-    degree = links.select(F.col("a").alias("key")).union(links.select(F.col("b").alias("key"))).groupBy("key").agg(F.count(F.lit(1)).alias("n_links"))
+    degree = _degrees(sets, comps, rows, similarity) if counted else sets.select("key", F.lit(None).cast("long").alias("n_links"))
+    none = F.lit(0 if counted else None).cast("long")
     classed = _labelled(sets.select("key", "rid", "n"), comps, "key", "comp")
     whole = classed.groupBy("comp").agg(F.min("rid").alias("class_rid"), F.sum("n").alias("class_size"))
     of_set = classed.join(whole, "comp").join(degree, "key", "left").select(
-        "key", F.col("rid").alias("rep_rid"), "class_rid", "class_size", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
+        "key", F.col("rid").alias("rep_rid"), "class_rid", "class_size", F.coalesce("n_links", none).alias("n_links"))
     of_set = stored(spark, of_set, "classes")
     out = signed.select("rid", "size", "key").join(of_set, (signed["key"] == of_set["key"]) & (signed["size"] > 0), "left")
 
@@ -503,7 +588,7 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, recall: flo
     return out.select(
         known("rid").alias("doc_id"), F.when(F.col("class_rid").isNull(), known("rid")).otherwise(known("class_rid")).alias("class_id"),
         F.when(F.col("rep_rid").isNull(), known("rid")).otherwise(known("rep_rid")).alias("rep_id"),
-        F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("class_size", F.lit(1)).cast("long").alias("class_size"),
+        F.coalesce("n_links", none).alias("n_links"), F.coalesce("class_size", F.lit(1)).cast("long").alias("class_size"),
         F.col("size").cast("long").alias("n_shingles"))
 
 
@@ -514,7 +599,7 @@ def keep_one_of_each(docs: DataFrame, similarity: float = SIMILARITY, recall: fl
     stay, and stand for their class.
     """
     spark = docs.sparkSession
-    classes = near_duplicates(docs, similarity, recall).where("class_size > 1 and doc_id is not null")
+    classes = near_duplicates(docs, similarity, recall, counted=False).where("class_size > 1 and doc_id is not null")
     classes = stored(spark, classes.select("doc_id", "class_id"), "duplicates")
 
     def small(ids: DataFrame) -> DataFrame:

@@ -39,6 +39,18 @@ def brute_classes(rows):
     return {i: least[find(shingles(t))] if shingles(t) else i for i, t in rows}
 
 
+def brute_degrees(rows):
+    """doc -> links of its set with other sets."""
+    sets = {shingles(t) for _, t in rows} - {frozenset()}
+
+    def linked(x, y):
+        shared = len(x & y)
+        return x != y and shared >= 0.8 * (len(x) + len(y) - shared)
+
+    of = {x: sum(linked(x, y) for y in sets) for x in sets}
+    return {i: of.get(shingles(t), 0) for i, t in rows}
+
+
 def edited(text, seed, share):
     rng = np.random.default_rng(seed)
     return " ".join(f"new{seed}x{k}" if rng.random() < share else w for k, w in enumerate(text.split()))
@@ -68,6 +80,22 @@ def test_a_large_group_of_edits_and_shared_passages(spark, monkeypatch):
     assert all((r.n_links > 0) == (r.rep_id != r.class_id or r.class_size > sum(x.rep_id == r.rep_id for x in got)) for r in got)
 
 
+def test_links_are_all_pairs_of_a_class(spark, monkeypatch):
+    """Small and large sets, chains and copies, over one block and over many."""
+    rows = [(i, edited(prose(1, 150), i, 0.001 + 0.02 * (i % 9) / 9)) for i in range(120)]
+    rows += [(1000 + i, edited(prose(2, 600), 1000 + i, 0.001 + 0.02 * (i % 9) / 9)) for i in range(40)]
+    chain = prose(3, 300).split()
+    rows += [(2000 + i, " ".join(chain[4 * i:4 * i + 150])) for i in range(30)]
+    rows += [(3000 + i, rows[0][1]) for i in range(20)]
+    want = brute_degrees(rows)
+    for block, shingles_of_block in ((512, 1 << 19), (16, 1 << 19), (512, 3000)):
+        monkeypatch.setattr(j, "BLOCK", block)
+        monkeypatch.setattr(j, "BLOCK_SHINGLES", shingles_of_block)
+        got = {r.doc_id: r.n_links for r in j.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+        assert got == want
+    assert max(want.values()) > 60
+
+
 def test_recall_at_the_threshold(spark):
     """Pairs just above 0.8, each in a class of its own."""
     rows, pairs = [], 0
