@@ -4,12 +4,14 @@ A page is a row of tokens: tags with the path of open elements they stand in,
 and whole text nodes with theirs.  Over the pages of one host, tokens that
 occur equally often on every page (equal occurrence vectors) form a class;
 vectors are compared by fingerprints that add up over pages, so no host is
-gathered in one place.  Classes that most pages hold, nested by their paths,
-are the host's template.  Its constant text nodes and its containers that are
-mostly links are not article text; nor are elements that state another purpose
-(menus, sidebars, adverts, forms, comments and so on).  What remains in the
-slots, within the article element (or else the main part) where a page has one,
-is the text.
+gathered in one place.  A class is valid if its tokens nest: all stand in tokens
+of the class itself or of one other class.  Valid classes that most pages hold
+are the host's template.  Text nodes of a valid class that holds elements too
+come with these, on each page the same; they, nodes that are constant by
+themselves, and containers that are mostly links are not article text, inside
+an article too; nor are elements that state another purpose (menus, sidebars,
+adverts, forms, comments and so on).  What remains in the slots is the text, on
+pages with an article element (or else a main part) what remains within it.
 """
 
 from __future__ import annotations
@@ -29,8 +31,8 @@ from larder.llm.common import slices, stored
 
 #: Share of a host's pages that hold a token of the template.
 SUPPORT = 0.5
-#: Share from which a text node outside the article is constant, and the
-#: pages that a host must have for that.
+#: Share from which a text node is constant by itself, and the pages that a
+#: host (or a class that drops text) must have for that.
 CONSTANT = 0.9
 LEAST_PAGES = 3
 LINK_SHARE = 0.6
@@ -168,10 +170,8 @@ def main_text(html: str | None, dropped: frozenset[int] = frozenset()) -> str:
     _, nodes = parse(html)
     nodes = [n for n in nodes if not n.out]
     level = max((n.article for n in nodes), default=0)
-    if level:
-        chosen = [n for n in nodes if n.article == level]
-    else:
-        chosen = [n for n in nodes if not dropped.intersection(n.containers) and _text_token(n) not in dropped] or nodes
+    nodes = [n for n in nodes if n.article == level]
+    chosen = [n for n in nodes if not dropped.intersection(n.containers) and _text_token(n) not in dropped] or nodes
     blocks: list[list[str]] = []
     last = None
     for n in chosen:
@@ -187,7 +187,7 @@ def _host(url: str) -> Column:
     return F.lower(F.coalesce(F.regexp_extract(F.col(url), r"^[a-zA-Z][a-zA-Z0-9+.\-]*://([^/?#]*)", 1), F.lit("")))
 
 
-_STATS = "host string, token long, kind int, pages long, low long, high long, chars long, links long"
+_STATS = "host string, token long, kind int, parent long, pages long, low long, high long, chars long, links long"
 
 
 def _signed(value: int) -> int:
@@ -195,8 +195,9 @@ def _signed(value: int) -> int:
 
 
 def token_statistics(pages: DataFrame) -> DataFrame:
-    """Per host and token: pages that hold it, the fingerprint of its
-    occurrence vector (two sums), and its characters in and out of links.
+    """Per host and token: the tag token it stands in (0: none), pages that hold
+    it, the fingerprint of its occurrence vector (two sums), and its characters
+    in and out of links.
 
     Sums are made per batch first, then by Spark.  Token 0 stands for the page.
     """
@@ -204,10 +205,10 @@ def token_statistics(pages: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            total: dict[tuple[str, int, int], list[int]] = {}
+            total: dict[tuple[str, int, int, int], list[int]] = {}
 
-            def add(host: str, token: int, kind: int, print_: int, chars: int, links: int, total=total) -> None:
-                t = total.setdefault((host, token, kind), [0, 0, 0, 0, 0])
+            def add(host: str, token: int, kind: int, parent: int, print_: int, chars: int, links: int, total=total) -> None:
+                t = total.setdefault((host, token, kind, parent), [0, 0, 0, 0, 0])
                 t[0] += 1
                 t[1] += print_ & 0x7FFFFFFF
                 t[2] += print_ >> 33
@@ -220,43 +221,60 @@ def token_statistics(pages: DataFrame) -> DataFrame:
                 page = xxhash.xxh3_64_intdigest(f"{page_id}\x00{len(html or '')}")
                 chars: dict[int, list[int]] = {}
                 texts: dict[int, int] = {}
+                inside: dict[int, int] = {}
                 for n in nodes:
                     size = len(n.text)
+                    for outer, inner in zip(n.containers, n.containers[1:], strict=False):
+                        inside[inner] = outer
                     for c in n.containers:
                         of = chars.setdefault(c, [0, 0])
                         of[0] += size
                         of[1] += size * n.link
-                    if not (n.article or n.out):
+                    if not n.out:
                         token = _text_token(n)
                         texts[token] = texts.get(token, 0) + 1
-                add(host, 0, 0, 0, 0, 0)
+                        inside[token] = n.containers[-1] if n.containers else 0
+                add(host, 0, 0, 0, 0, 0, 0)
                 for token, n in counts.items():
-                    add(host, token, 1, xxhash.xxh3_64_intdigest(struct.pack("<QQ", page, n)), *chars.get(token, (0, 0)))
+                    add(host, token, 1, inside.get(token, 0), xxhash.xxh3_64_intdigest(struct.pack("<QQ", page, n)), *chars.get(token, (0, 0)))
                 for token, n in texts.items():
-                    add(host, token, 2, xxhash.xxh3_64_intdigest(struct.pack("<QQ", page, n)), 0, 0)
+                    add(host, token, 2, inside[token], xxhash.xxh3_64_intdigest(struct.pack("<QQ", page, n)), 0, 0)
             keys, values = list(total), np.array(list(total.values()), np.int64).reshape(-1, 5)
             yield pa.RecordBatch.from_arrays(
                 [pa.array([k[0] for k in keys], pa.string()), pa.array([_signed(k[1]) for k in keys], pa.int64()),
-                 pa.array([k[2] for k in keys], pa.int32()), *(pa.array(values[:, j]) for j in range(5))],
-                ["host", "token", "kind", "pages", "low", "high", "chars", "links"])
+                 pa.array([k[2] for k in keys], pa.int32()), pa.array([_signed(k[3]) for k in keys], pa.int64()), *(pa.array(values[:, j]) for j in range(5))],
+                ["host", "token", "kind", "parent", "pages", "low", "high", "chars", "links"])
 
-    sums = [F.sum(c).alias(c) for c in ("pages", "low", "high", "chars", "links")]
+    # An element without text is not known to stand in anything on that page.
+    sums = [F.max_by("parent", F.when(F.col("parent") != 0, 1).otherwise(0)).alias("parent")]
+    sums += [F.sum(c).alias(c) for c in ("pages", "low", "high", "chars", "links")]
     return rows.mapInArrow(run, _STATS).groupBy("host", "token", "kind").agg(*sums)
 
 
 def deduce_templates(pages: DataFrame) -> DataFrame:
     """Template tokens: host, token, kind, class (fingerprint of its vector),
-    class_size, pages, host_pages, dropped (holds no article text)."""
+    class_size, outer (the class that it stands in; null: none), valid, pages,
+    host_pages, dropped (holds no article text)."""
     stats = stored(pages.sparkSession, token_statistics(pages), "page-tokens")
     hosts = stats.where("kind = 0").select("host", F.col("pages").alias("host_pages"))
     tokens = stats.where("kind <> 0 and pages >= 2").join(hosts, "host").where(F.col("pages") >= SUPPORT * F.col("host_pages"))
-    same = tokens.groupBy("host", "pages", "low", "high").agg(F.count(F.lit(1)).alias("class_size"))
-    tokens = tokens.join(same, ["host", "pages", "low", "high"])
+    tokens = tokens.withColumn("class", F.xxhash64("pages", "low", "high"))
+    around = tokens.where("kind = 1").select("host", F.col("token").alias("parent"), F.col("class").alias("around"))
+    tokens = tokens.join(around, ["host", "parent"], "left")
+    # The class around a class, where a token of it stands in another one; tokens
+    # at the top of the page stand in none, and elements without text do not tell.
+    tells = (F.col("kind") == 2) | (F.col("chars") > 0)
+    outside = F.when(tells & ~F.col("around").eqNullSafe(F.col("class")), F.coalesce(F.col("around"), F.lit(0)))
+    same = tokens.groupBy("host", "class").agg(
+        F.count(F.lit(1)).alias("class_size"), F.max((F.col("kind") == 1).cast("int")).alias("tags"),
+        (F.min(outside).eqNullSafe(F.max(outside))).alias("valid"), F.max(outside).alias("outer"))
+    tokens = tokens.join(same, ["host", "class"])
     often = (F.col("pages") >= CONSTANT * F.col("host_pages")) & (F.col("host_pages") >= LEAST_PAGES)
+    with_tags = F.col("valid") & (F.col("tags") == 1) & (F.col("pages") >= LEAST_PAGES)
     linked = (F.col("kind") == 1) & (F.col("class_size") >= 2) & (F.col("links") > LINK_SHARE * F.col("chars")) & (F.col("chars") > 0)
     return tokens.select(
-        "host", "token", "kind", F.xxhash64("low", "high").alias("class"), "class_size", "pages", "host_pages",
-        (((F.col("kind") == 2) & often) | linked).alias("dropped"))
+        "host", "token", "kind", "class", "class_size", F.nullif("outer", F.lit(0)).alias("outer"), "valid", "pages", "host_pages",
+        (((F.col("kind") == 2) & (often | with_tags)) | linked).alias("dropped"))
 
 
 def extract(pages: DataFrame) -> DataFrame:

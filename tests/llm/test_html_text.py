@@ -42,6 +42,27 @@ def test_template_of_a_host_without_article_elements(spark):
         assert got[i] == f"Story {i}\nBody of {i}, part one." + (f"\nMore on {i}." if i % 2 else "")
 
 
+def test_a_repeated_block_inside_articles_is_template(spark):
+    def page(i):
+        box = "<div class=x1><p>Read our other stories.</p></div>" if i % 5 else ""
+        return (f"<html><body><article><h1>Story {i}</h1><p>Body of {i}.</p><p>Was this clear?</p>{box}"
+                f"<p>End of {i}.</p></article></body></html>")
+
+    got = texts(spark, [(i, f"http://unmarked.example/{i}", page(i)) for i in range(10)])
+    assert got == {i: f"Story {i}\nBody of {i}.\nEnd of {i}." for i in range(10)}
+
+
+def test_classes_are_nested(spark):
+    """The optional box's tags and text are one class, inside that of all pages."""
+    pages = [(i, "http://n/", f"<body><div class=a>{i}</div>" + "<div class=b><p>x</p></div>" * (i % 3 > 0) + "</body>") for i in range(9)]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string")
+    got = {(r.kind, r.token): r for r in html_text.deduce_templates(df).collect()}
+    body, box, p = (got[1, html_text._signed(html_text._key("tag", x))] for x in ("/body", "/body/div.b", "/body/div.b/p"))
+    text = got[2, html_text._signed(html_text._key("text", "/body/div.b/p", "x"))]
+    assert box["class"] == p["class"] == text["class"] and box.valid and box.outer == body["class"] and body.outer is None
+    assert text.dropped
+
+
 def test_elements_of_other_purpose_and_markup():
     page = """<!doctype html><html><head><title>no</title><style>p{}</style></head><body>
     <header>Site name</header><nav>Menu</nav><div class="cookie-notice"><p>We use cookies</p></div>
