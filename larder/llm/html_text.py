@@ -171,7 +171,7 @@ def main_text(html: str | None, dropped: frozenset[int] = frozenset()) -> str:
     nodes = [n for n in nodes if not n.out]
     level = max((n.article for n in nodes), default=0)
     nodes = [n for n in nodes if n.article == level]
-    chosen = [n for n in nodes if not dropped.intersection(n.containers) and _text_token(n) not in dropped] or nodes
+    chosen = [n for n in nodes if not dropped.intersection(n.containers) and _text_token(n) not in dropped]
     blocks: list[list[str]] = []
     last = None
     for n in chosen:
@@ -257,6 +257,9 @@ def deduce_templates(pages: DataFrame) -> DataFrame:
     host_pages, dropped (holds no article text)."""
     stats = stored(pages.sparkSession, token_statistics(pages), "page-tokens")
     hosts = stats.where("kind = 0").select("host", F.col("pages").alias("host_pages"))
+    # Pages that all hold the same text nodes are copies: they tell no template.
+    alike = stats.where("kind = 2").groupBy("host").agg(F.min("pages").alias("least"))
+    hosts = hosts.join(alike, "host", "left").select("host", "host_pages", F.coalesce(F.col("least") == F.col("host_pages"), F.lit(False)).alias("copies"))
     tokens = stats.where("kind <> 0 and pages >= 2").join(hosts, "host").where(F.col("pages") >= SUPPORT * F.col("host_pages"))
     tokens = tokens.withColumn("class", F.xxhash64("pages", "low", "high"))
     around = tokens.where("kind = 1").select("host", F.col("token").alias("parent"), F.col("class").alias("around"))
@@ -274,13 +277,14 @@ def deduce_templates(pages: DataFrame) -> DataFrame:
     linked = (F.col("kind") == 1) & (F.col("class_size") >= 2) & (F.col("links") > LINK_SHARE * F.col("chars")) & (F.col("chars") > 0)
     return tokens.select(
         "host", "token", "kind", "class", "class_size", F.nullif("outer", F.lit(0)).alias("outer"), "valid", "pages", "host_pages",
-        (((F.col("kind") == 2) & (often | with_tags)) | linked).alias("dropped"))
+        (~F.col("copies") & (((F.col("kind") == 2) & (often | with_tags)) | linked)).alias("dropped"))
 
 
 def extract(pages: DataFrame) -> DataFrame:
     """One row per page: page_id, url, text, n_chars (code points).
 
-    Null or empty html gives an empty text; pages without a host form a group
+    Null or empty html, and a page of nothing but its host's template, give an
+    empty text; a host whose pages are copies of one another keeps theirs; pages without a host form a group
     of their own; repeated rows and null ids stay; an empty table gives an
     empty result; other columns are not read.
     """

@@ -91,6 +91,15 @@ def test_identical_pages_keep_their_text(spark):
     assert set(got.values()) == {"Only text"}
 
 
+def test_a_page_of_nothing_but_template_is_empty(spark):
+    def page(i):
+        body = f"<p>Body of {i}.</p>" if i else ""
+        return f"<body><div class=t><a href=/>Home</a> <a href=/a>About us</a></div><div class=u>Since 1901</div>{body}</body>"
+
+    got = texts(spark, [(i, f"http://front.example/{i}", page(i)) for i in range(10)])
+    assert got == {0: ""} | {i: f"Body of {i}." for i in range(1, 10)}
+
+
 def test_vectors_tell_classes_apart(spark):
     pages = [(i, "http://v/", "<body><div class=a></div><div class=b></div>" + "<p>x</p>" * (i % 3) + "</body>") for i in range(9)]
     df = spark.createDataFrame(pages, "page_id long, url string, html string")
