@@ -4,11 +4,11 @@ import tempfile
 
 import pytest
 
-sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+sys.path[:0] = [os.path.dirname(os.path.dirname(os.path.abspath(__file__))), os.path.dirname(os.path.abspath(__file__))]
 
-from larder.session import local_session  # noqa: E402
+from helpers import SF_SMALL  # noqa: E402
 
-SF_SMALL = "/root/testdata/sf0.001"
+from larder.session import local_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")

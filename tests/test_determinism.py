@@ -5,7 +5,7 @@ from collections import Counter
 
 from larder.operators import gold
 from larder.plans.lineage import Lineage, comparable
-from conftest import SF_SMALL
+from helpers import SF_SMALL
 
 
 def _rows(df):

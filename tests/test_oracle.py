@@ -6,7 +6,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
-from conftest import SF_SMALL
+from helpers import SF_SMALL
 
 KEYS = [
     "products_clean", "quarantine_products", "dim_product", "dim_product_ai", "fact_order_products",
