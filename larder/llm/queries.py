@@ -11,6 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from larder.llm import (
+    byte_bpe,
     decontaminate,
     html_text,
     jaccard_join,
@@ -28,6 +29,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
 WORDS = public_tokenizers.path("word_bpe_49k.json")
+BYTES = public_tokenizers.path("byte_bpe_50k.json")
 
 
 def op1_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -72,10 +74,15 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(docs, language_id.fit(docs))
 
 
+def op12_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return byte_bpe.round_trip_digests(table(spark, sf_dir, "documents"), BYTES)
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (op1_jaccard_join, op2_html_extraction, op3_token_counts, op4_sentencepiece, op5_warc,
-              op6_quality_rules, op7_toxicity, op8_decontamination, op9_token_binary, op10_language_id)
+              op6_quality_rules, op7_toxicity, op8_decontamination, op9_token_binary, op10_language_id,
+              op12_byte_bpe)
 }
 
 ORACLE_SQL: dict[str, str] = {
