@@ -9,7 +9,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from larder.session import scratch_dir
@@ -32,6 +32,20 @@ def stored(spark: SparkSession, df: DataFrame, purpose: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def numbered(df: DataFrame, number: str, purpose: str) -> DataFrame:
+    """The rows with consecutive numbers from 0, in no stated order.
+
+    They are written once with their place in their task, as a task that runs
+    again would number them anew; the starts of the tasks are a prefix sum over
+    one row for each task.  The plan reads the written rows."""
+    spark = df.sparkSession
+    dealt = df.withColumns({"_part": F.spark_partition_id(), "_k": F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)})
+    dealt = stored(spark, dealt, purpose)
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = dealt.groupBy("_part").count().select("_part", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_start"))
+    return dealt.join(F.broadcast(starts), "_part").withColumn(number, F.col("_start") + F.col("_k")).drop("_part", "_k", "_start")
+
+
 def id_fold(doc_id: str | Column, k: int) -> Column:
     """``crc32(doc_id as text) mod k`` (a null id falls in no fold: null)."""
     col = F.col(doc_id) if isinstance(doc_id, str) else doc_id

@@ -9,10 +9,12 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from larder.llm import (
     byte_bpe,
     decontaminate,
+    hard_negatives,
     html_text,
     jaccard_join,
     language_id,
@@ -22,6 +24,7 @@ from larder.llm import (
     token_file,
     toxicity,
     warc,
+    whitening,
 )
 from larder.llm.common import table
 
@@ -74,15 +77,25 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(docs, language_id.fit(docs))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
 def op12_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.round_trip_digests(table(spark, sf_dir, "documents"), BYTES)
 
 
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    other = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(rows.withColumn("label", other))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (op1_jaccard_join, op2_html_extraction, op3_token_counts, op4_sentencepiece, op5_warc,
               op6_quality_rules, op7_toxicity, op8_decontamination, op9_token_binary, op10_language_id,
-              op12_byte_bpe)
+              op11_whitening, op12_byte_bpe, op13_hard_negatives)
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -121,4 +134,26 @@ ORACLE_SQL: dict[str, str] = {
                sha256(coalesce(array_to_string(ids, ','), '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
         FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN items USING (doc_id)
     """,
+    "op13_hard_negatives": """
+        WITH r AS (
+            SELECT vec_id AS id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                   list_transform(embedding, lambda c: floor(256 * CAST(c AS DOUBLE))) AS x
+            FROM embeddings
+            WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+              AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0
+        ), a AS (
+            SELECT * FROM r WHERE id % 100 = 0
+        ), s AS (
+            SELECT a.id AS anchor_id, r.id AS id, a.label = r.label AS same, CAST(list_dot_product(a.x, r.x) AS BIGINT) AS score
+            FROM a, r WHERE a.id <> r.id
+        ), p AS (
+            SELECT anchor_id, id AS positive_id, score AS positive_score FROM s WHERE same
+            QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5
+        )
+        SELECT p.anchor_id, positive_id,
+               CAST(row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, id) AS INTEGER) AS rank,
+               id AS negative_id, positive_score, score AS negative_score
+        FROM p JOIN s ON p.anchor_id = s.anchor_id AND NOT same AND 80 * positive_score <= 100 * score AND score <= positive_score
+        QUALIFY row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, id) <= 5
+    """,
 }
