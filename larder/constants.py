@@ -170,6 +170,10 @@ FIXTURE_PRODUCT_MODULUS = 450      # at least; more where there are more parts
 FIXTURE_PARTS_PER_MODULUS = 10
 QUERY_SAMPLE_SIZE = 100          # of the registered queries, so that both labelling methods occur
 QUERY_LANDING_FILES = 4
+QUERY_PREVIEW_ROWS = 5
+QUERY_MALFORMED_MOD = 10         # product lines: 3 too many fields, 7 too few, 5 landed under another header
+QUERY_LONG_REM, QUERY_SHORT_REM, QUERY_OTHER_HEADER_REM = 3, 7, 5
+QUERY_OTHER_HEADER = "id,name,aisle,department"
 QUERY_MISSING_ENTITY = "aisles"  # the one that the landing report's input lacks
 QUERY_ABSENT_TABLE = "grocery_gold.absent"
 QUERY_UNREADABLE_TABLE = "grocery_bronze.unreadable"

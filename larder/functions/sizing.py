@@ -1,9 +1,11 @@
 """Size-checked broadcast joins.
 
-A side is broadcast only when Catalyst's plan statistics prove it small.
-Without CBO those statistics are upper bounds (a filter or aggregate keeps its
-child's size, a join multiplies), so a small estimate is a real bound.  Above
-the limit the join is left to the planner: sort-merge, which AQE may still turn
+A side is broadcast only when Catalyst's plan statistics, times ``DECODED``,
+are under a limit.  Without CBO a plan's statistic is at least that of its
+source (a filter or aggregate keeps its child's size, a join multiplies), but a
+Parquet source's is the size of its compressed files, so this is an estimate;
+``DECODED`` and a limit far below an executor's memory leave room for rows
+that decode larger.  Above the limit the join is left to the planner: sort-merge, which AQE may still turn
 into a broadcast once the actual shuffle size is known.
 """
 
@@ -17,6 +19,8 @@ from pyspark.sql import functions as F
 # 64 MiB: far below executor memory, above any dimension of the retail shape
 # (49k products, 134 aisles, 21 departments in the full public data set).
 DEFAULT_BROADCAST_LIMIT = 64 * 1024 * 1024
+# Times that rows in memory are larger than their compressed files.
+DECODED = 4
 
 
 def estimated_bytes(df: DataFrame) -> int:
@@ -40,6 +44,6 @@ def join_small(
     limit: int = DEFAULT_BROADCAST_LIMIT,
 ) -> DataFrame:
     """Join ``big`` with ``small``, broadcasting ``small`` only when its plan
-    size is proven under ``limit`` bytes."""
-    right = F.broadcast(small) if estimated_bytes(small) <= limit else small
+    size times ``DECODED`` is at most ``limit`` bytes."""
+    right = F.broadcast(small) if estimated_bytes(small) * DECODED <= limit else small
     return big.join(right, on, how)

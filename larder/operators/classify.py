@@ -126,9 +126,19 @@ def sample_products(dim_product: DataFrame, sample_size: int = C.MODEL_SAMPLE_SI
     )
 
 
-def model_labels(spark: SparkSession, sample: DataFrame, default: str = "other") -> DataFrame:
+def model_labels(spark: SparkSession, sample: DataFrame, default: str = "other", models: Mapping | None = None) -> DataFrame:
     """Theme and demand type for the sample by the keyword scorer (one pass
-    for both label tables); no keyword hit gives ``default``."""
+    for both label tables); no keyword hit gives ``default``.
+
+    ``models`` ({column: model}, see ``label_model``) labels the names instead;
+    the method recorded is then the models' name."""
+    if models is not None:
+        from larder.operators.label_model import model_table
+
+        return model_table(sample, models, default=default).select(
+            "product_id", "ai_product_theme", "ai_demand_type",
+            F.lit("+".join(dict.fromkeys(m.name for m in models.values()))).alias("classification_method"),
+            F.current_timestamp().alias("ai_classified_ts"))
     kw = keyword_table(
         spark,
         {
@@ -172,6 +182,8 @@ def classify_overlay(dim_product: DataFrame, labelled: DataFrame) -> DataFrame:
     )
 
 
-def classify_hybrid(spark: SparkSession, dim_product: DataFrame, sample_size: int = C.MODEL_SAMPLE_SIZE) -> DataFrame:
-    """dim_product_ai: scored sample of ``sample_size`` products, rules for the rest."""
-    return classify_overlay(dim_product, model_labels(spark, sample_products(dim_product, sample_size)))
+def classify_hybrid(spark: SparkSession, dim_product: DataFrame, sample_size: int = C.MODEL_SAMPLE_SIZE,
+                    models: Mapping | None = None) -> DataFrame:
+    """dim_product_ai: scored sample of ``sample_size`` products (by ``models``
+    if given), rules for the rest."""
+    return classify_overlay(dim_product, model_labels(spark, sample_products(dim_product, sample_size), models=models))

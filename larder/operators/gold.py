@@ -231,11 +231,13 @@ def co_purchase_counts(
         product_counts = lines.groupBy("product_id").agg(F.count(F.lit(1)).alias("n"))
     frequent = product_counts.filter(F.col("n") >= min_count).select("product_id")
     kept = join_small(lines, frequent, "product_id", "left_semi").distinct()
-    sizes = kept.groupBy("order_id").agg(F.count(F.lit(1)).alias("m"))  # rides the order_id buckets
-    giant = sizes.filter(F.col("m") > giant_basket)  # <= lines / giant_basket orders
-    if giant.isEmpty():  # the usual case
+    # An order's lines bound its products; counting them rides the order_id
+    # buckets and builds none of ``kept``.
+    if lines.groupBy("order_id").count().filter(F.col("count") > giant_basket).isEmpty():  # the usual case
         pairs = _self_pairs(kept)
     else:
+        sizes = kept.groupBy("order_id").agg(F.count(F.lit(1)).alias("m"))
+        giant = sizes.filter(F.col("m") > giant_basket)  # <= lines / giant_basket orders
         pairs = _self_pairs(kept.join(F.broadcast(giant.select("order_id")), "order_id", "left_anti")).unionByName(
             _salted_pairs(kept, giant, giant_basket)
         )

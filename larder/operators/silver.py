@@ -48,9 +48,6 @@ def dim_department(raw_departments: DataFrame) -> DataFrame:
 
 # --------------------------------------------------------------------------- J3
 
-KEY_COLUMNS = ["product_id", "aisle_id", "department_id"]
-
-
 def products_clean(raw_products: DataFrame) -> DataFrame:
     """Typed keys beside their raw text, lineage columns passed through."""
     lineage = [c for c in ("source_file", "bronze_ingestion_ts") if c in raw_products.columns]

@@ -21,6 +21,7 @@ from larder.plans.layers import bucket_count, create_layer_databases, write_laye
 from larder.plans.lineage import Lineage
 from larder.sources.bronze import ingest_bronze
 from larder.sources.fixture import RawTables
+from larder.sources.rejected import quarantine_csv
 
 # lineage dataset -> (layer, table name)
 LAYER_TABLES = {
@@ -40,6 +41,7 @@ LAYER_TABLES = {
 # The fact is bucketed on order_id: the basket self-join then reads bucket i
 # on both sides in one task, with no shuffle of the order lines.
 BUCKETED = {"fact": "order_id"}
+REJECTED = "rejected_csv_rows"
 RUN_ORDER = [
     "dim_aisle", "dim_department", "dim_product", "quarantine", "dim_product_ai", "fact",
     "demand", "reorder", "inventory", "pairs", "stockout", "overstock",
@@ -55,18 +57,26 @@ def run_layers(
     escape: str | None = None,
     sample_size: int = C.MODEL_SAMPLE_SIZE,
     maintain: bool = False,
+    reject_malformed: bool = False,
 ) -> dict[str, int]:
     """Build every table; returns {qualified table: rows written}.
 
+    Malformed lines of the landed files are written to a bronze quarantine
+    table; with ``reject_malformed`` the bronze tables leave them out, else
+    they hold what the CSV reader makes of them.
+
     ``maintain`` compacts the gold tables and clusters two of them afterwards.
     Only Parquet tables can be bucketed, so with another ``fmt`` the fact is
     written without buckets and the pair join shuffles it."""
     create_layer_databases(spark, out_root)
     db = C.LAYER_DATABASES
     counts: dict[str, int] = {}
-    for entity, df in ingest_bronze(spark, landing_root, ingestion_date=ingestion_date, escape=escape).items():
+    for entity, df in ingest_bronze(spark, landing_root, ingestion_date=ingestion_date, escape=escape,
+                                    reject_malformed=reject_malformed).items():
         table = f"{db['bronze']}.bronze_{entity}"
         counts[table] = write_layer(df, table, f"{out_root}/bronze/bronze_{entity}", fmt)
+    rejected = f"{db['bronze']}.bronze_{REJECTED}"
+    counts[rejected] = write_layer(quarantine_csv(spark, landing_root, escape=escape), rejected, f"{out_root}/bronze/bronze_{REJECTED}", fmt)
     raw = RawTables(**{e: spark.table(f"{db['bronze']}.bronze_{e}") for e in C.RAW_ENTITIES})
 
     def sink(name: str, build: Callable[[], DataFrame]) -> DataFrame:

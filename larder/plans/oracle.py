@@ -4,7 +4,7 @@ The SQL restates the *source* semantics — group-bys over all seven
 or twelve attribute columns, the seven-key NULL-never-matches inventory
 join, the cross-join grid, the 12-column pair group-by with a distinct
 count, the max snapshot as a subquery — so agreement with the Spark plans
-(which regroup by ids, fold the grid into an explode, prune pairs first)
+(which regroup by ids, add the demand to a grid of zeros, prune pairs first)
 checks those rewrites.  One formula is not literal: the mean of the 30-order
 average divides a sum of whole numbers once (``_mean_of_shares``).  It reads the raw test tables (``part``, ``orders``,
 ``lineitem``) and rebuilds the fixture mapping too.
@@ -21,8 +21,9 @@ import re
 
 from larder import constants as C
 from larder.operators.silver import REJECTED_LINE
+from larder.sources.landing import RAW_KEYS, RAW_SCHEMAS
 
-LANDING_DATE = "2024-01-01"
+LANDING_DATE, RELANDING_DATE = "2024-01-01", "2024-01-02"
 
 
 def _lenient(x: str, kind: str = "INTEGER") -> str:
@@ -79,6 +80,8 @@ def _product(key: str) -> str:
     return f"({k} * {k} * {k}) // ({M} * {M})"
 
 
+_MALFORMED = f"CAST(product_id AS BIGINT) % {C.QUERY_MALFORMED_MOD}"
+
 ATTRS = "product_name, aisle, department, ai_product_theme, ai_demand_type"
 
 CTES: dict[str, str] = {
@@ -198,6 +201,45 @@ CTES: dict[str, str] = {
                '{C.METHOD_MODEL}' AS classification_method
         FROM sample s LEFT JOIN best b ON s.product_id = b.product_id
         GROUP BY s.product_id""",
+    # fitted label model: counts of the rule-labelled names
+    "nb_named": f"""
+        SELECT product_id, product_name, 'ai_product_theme' AS task, fallback_product_theme AS label,
+               list_position({_list([*dict.fromkeys([*C.PRODUCT_THEMES, C.THEME_DEFAULT])])}, fallback_product_theme) AS pos
+        FROM ruled WHERE product_name IS NOT NULL
+        UNION ALL
+        SELECT product_id, product_name, 'ai_demand_type', fallback_demand_type,
+               list_position({_list([*dict.fromkeys([*C.DEMAND_TYPES, C.DEMAND_DEFAULT])])}, fallback_demand_type)
+        FROM ruled WHERE product_name IS NOT NULL""",
+    "nb_tok": """
+        SELECT product_id, t AS token, count(*) AS n
+        FROM (SELECT product_id, unnest(regexp_split_to_array(lower(product_name), '[^a-z]+')) AS t FROM dim_product)
+        WHERE length(t) > 2 GROUP BY product_id, t""",
+    "nb_words": """
+        SELECT task, label, token, sum(n) AS n FROM nb_named JOIN nb_tok USING (product_id) WHERE pos IS NOT NULL
+        GROUP BY task, label, token""",
+    "nb_labels": """
+        SELECT task, label, pos, count(*) AS texts, sum(count(*)) OVER (PARTITION BY task) AS all_texts
+        FROM nb_named WHERE pos IS NOT NULL GROUP BY task, label, pos""",
+    "nb_sizes": """
+        SELECT l.task, l.label, coalesce(w.held, 0) + v.words AS size
+        FROM nb_labels l JOIN (SELECT task, count(DISTINCT token) AS words FROM nb_words GROUP BY task) v ON l.task = v.task
+        LEFT JOIN (SELECT task, label, sum(n) AS held FROM nb_words GROUP BY task, label) w
+          ON l.task = w.task AND l.label = w.label""",
+    "nb_known": """
+        SELECT t.product_id, v.task, t.token, t.n FROM nb_tok t JOIN (SELECT DISTINCT task, token FROM nb_words) v USING (token)""",
+    "nb_scores": f"""
+        SELECT d.product_id, l.task, l.label, l.pos,
+               {_round("any_value(ln(l.texts / l.all_texts)) + coalesce(sum(k.n * ln((coalesce(w.n, 0) + 1) / z.size)), 0)",
+                       C.LABEL_SCORE_DIGITS)} AS score
+        FROM dim_product d CROSS JOIN nb_labels l JOIN nb_sizes z ON l.task = z.task AND l.label = z.label
+        LEFT JOIN nb_known k ON d.product_id = k.product_id AND k.task = l.task
+        LEFT JOIN nb_words w ON w.task = l.task AND w.label = l.label AND w.token = k.token
+        WHERE d.product_name IS NOT NULL
+        GROUP BY d.product_id, l.task, l.label, l.pos""",
+    "nb_best": """
+        SELECT product_id, task, label FROM (
+          SELECT *, row_number() OVER (PARTITION BY product_id, task ORDER BY score DESC, pos) AS rn FROM nb_scores)
+        WHERE rn = 1""",
     "dim_product_ai": f"""
         SELECT p.product_id, p.product_name, p.aisle_id, p.aisle, p.department_id, p.department,
                coalesce(m.ai_product_theme, p.fallback_product_theme) AS ai_product_theme,
@@ -383,6 +425,35 @@ FINAL: dict[str, str] = {
     "rule_demand_type": "SELECT product_id, product_name, fallback_demand_type FROM ruled",
     "topk_sample_products": "SELECT * FROM sample",
     "classify_labels": "SELECT * FROM model_labels",
+    "classify_labels_fitted": """
+        SELECT d.product_id,
+               coalesce(max(CASE WHEN b.task = 'ai_product_theme' THEN b.label END), 'other') AS ai_product_theme,
+               coalesce(max(CASE WHEN b.task = 'ai_demand_type' THEN b.label END), 'other') AS ai_demand_type
+        FROM dim_product d LEFT JOIN nb_best b ON d.product_id = b.product_id GROUP BY d.product_id""",
+    "quarantine_csv_rows": f"""
+        SELECT 'products' AS entity, '{LANDING_DATE}' AS ingestion_date, 'field_count' AS reason,
+               CASE WHEN {_MALFORMED} = {C.QUERY_LONG_REM}
+                    THEN concat_ws(',', product_id, product_name, aisle_id, department_id, 'more')
+                    ELSE concat_ws(',', product_id, product_name) END AS raw_line
+        FROM fx_products WHERE {_MALFORMED} IN ({C.QUERY_LONG_REM}, {C.QUERY_SHORT_REM})
+        UNION ALL
+        SELECT 'products', '{RELANDING_DATE}', 'header', concat_ws(',', product_id, product_name, aisle_id, department_id)
+        FROM fx_products WHERE {_MALFORMED} = {C.QUERY_OTHER_HEADER_REM}
+        UNION ALL
+        SELECT 'products', '{RELANDING_DATE}', 'header', '{C.QUERY_OTHER_HEADER}'
+        WHERE (SELECT count(*) FROM fx_products WHERE {_MALFORMED} = {C.QUERY_OTHER_HEADER_REM}) > 0""",
+    "csv_line_accounting": f"""
+        SELECT 'products' AS entity, '{LANDING_DATE}' AS ingestion_date, count(*) AS n_lines,
+               count(*) FILTER (WHERE {_MALFORMED} NOT IN ({C.QUERY_LONG_REM}, {C.QUERY_SHORT_REM})) AS n_valid,
+               count(*) FILTER (WHERE {_MALFORMED} IN ({C.QUERY_LONG_REM}, {C.QUERY_SHORT_REM})) AS n_rejected
+        FROM fx_products
+        UNION ALL
+        SELECT 'products', '{RELANDING_DATE}', count(*) + 1, 0, count(*) + 1
+        FROM fx_products WHERE {_MALFORMED} = {C.QUERY_OTHER_HEADER_REM}""",
+    "bronze_products_valid": f"""
+        SELECT * FROM fx_products WHERE {_MALFORMED} NOT IN ({C.QUERY_LONG_REM}, {C.QUERY_SHORT_REM})""",
+    "raw_preview": "",  # filled below
+    "safe_overwrite": "SELECT * FROM reorder",
     "classify_overlay": """
         SELECT product_id, ai_product_theme, ai_demand_type, classification_method FROM dim_product_ai""",
     "dim_product_ai": "SELECT * FROM dim_product_ai",
@@ -499,6 +570,16 @@ FINAL["landing_report"] = f"""
       SELECT c.entity, f.file_name, c.row_count FROM ({FINAL['raw_row_counts']}) c
       JOIN (VALUES {", ".join(f"('{e}', '{C.RAW_FILE_NAMES[e]}')" for e in C.RAW_ENTITIES)}) AS f(entity, file_name)
         ON c.entity = f.entity)"""
+def _preview(entity: str, cte: str) -> str:
+    order = ", ".join(f"CAST({k} AS BIGINT)" for k in RAW_KEYS[entity])
+    fields = " || '|' || ".join(f"'{c}=' || trim(coalesce(CAST({c} AS VARCHAR), ''))" for c in RAW_SCHEMAS[entity])
+    return f"""
+    SELECT '{entity}' AS entity, CAST(row_number() OVER (ORDER BY {order}) AS INTEGER) AS place, {fields} AS fields
+    FROM {cte} QUALIFY place <= {C.QUERY_PREVIEW_ROWS}"""
+
+
+FINAL["raw_preview"] = "\nUNION ALL ".join(_preview(e, cte) for e, cte in zip(C.RAW_ENTITIES, (
+    "fx_orders", "fx_op_prior", "fx_op_train", "fx_products", "fx_aisles", "fx_departments"), strict=True))
 FINAL["landing_totals"] = f"SELECT {len(C.RAW_ENTITIES) - 1} AS uploaded, 1 AS skipped"
 FINAL["raw_file_inventory"] = f"""
     SELECT entity, '{LANDING_DATE}' AS ingestion_date, {C.QUERY_LANDING_FILES} AS n_files, row_count

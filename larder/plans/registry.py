@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,15 +17,15 @@ from larder import constants as C
 from larder.functions import join_small
 from larder.operators import gold, maintenance, silver, validate
 from larder.operators.classify import classify_rules
+from larder.operators.label_model import fit_from_rules, model_table
 from larder.plans import dashboard, layers, medallion
 from larder.plans.lineage import Lineage, comparable
-from larder.plans.oracle import LANDING_DATE
+from larder.plans.oracle import LANDING_DATE, RELANDING_DATE
 from larder.session import scratch_dir
-from larder.sources import bronze, landing
+from larder.sources import bronze, landing, rejected
 from larder.sources.fixture import text_lines
 
 Query = Callable[[SparkSession, str], DataFrame]
-RELANDING_DATE = "2024-01-02"
 
 
 # One lineage per application and input: queries share the layers that are
@@ -88,6 +89,44 @@ def q_landing_latest_partition(spark, sf_dir):
     return landing.read_landing(spark, root, "products").select(*landing.RAW_SCHEMAS["products"])
 
 
+def _landed_with_malformed(spark, sf_dir) -> str:
+    """Products landed with lines of too many and too few fields, and a second
+    landing whose files have another header."""
+    root = scratch_dir(spark, "landing")
+    products = _lin(spark, sf_dir).raw.products
+    pid = F.col("product_id").cast("long") % C.QUERY_MALFORMED_MOD
+    fields = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in landing.RAW_SCHEMAS["products"]]
+    line = F.when(pid == C.QUERY_LONG_REM, F.concat_ws(",", *fields, F.lit("more"))).when(
+        pid == C.QUERY_SHORT_REM, F.concat_ws(",", *fields[:2])).otherwise(F.concat_ws(",", *fields))
+    rejected.land_lines(products.select(line), root, "products", LANDING_DATE)
+    other = products.where(pid == C.QUERY_OTHER_HEADER_REM).select(F.concat_ws(",", *fields))
+    rejected.land_lines(other, root, "products", RELANDING_DATE, header=C.QUERY_OTHER_HEADER)
+    return root
+
+
+def q_quarantine_csv_rows(spark, sf_dir):
+    found = rejected.quarantine_csv(spark, _landed_with_malformed(spark, sf_dir), ["products"])
+    return found.select("entity", "ingestion_date", "reason", "raw_line")
+
+
+def q_csv_line_accounting(spark, sf_dir):
+    return rejected.line_accounting(spark, _landed_with_malformed(spark, sf_dir))
+
+
+def q_bronze_products_valid(spark, sf_dir):
+    return comparable(bronze.read_bronze(spark, _landed_with_malformed(spark, sf_dir), "products", reject_malformed=True))
+
+
+def q_raw_preview(spark, sf_dir):
+    """The first rows by id of each landed entity, as one table."""
+    root = _landed(spark, sf_dir)
+    frames = [landing.preview_rows(spark, root, e) for e in C.RAW_ENTITIES]
+    res = frames[0]
+    for p in frames[1:]:
+        res = res.unionByName(p)
+    return res
+
+
 def q_bronze_counts(spark, sf_dir):
     root = _landed(spark, sf_dir)
     out = scratch_dir(spark, "bronze")
@@ -153,6 +192,24 @@ def q_write_read_roundtrip(spark, sf_dir):
     return comparable(spark.table(table))
 
 
+def q_safe_overwrite(spark, sf_dir):
+    """A table written in part, overwritten whole, then by a write that is lost
+    half way: its rows are those of the last whole write."""
+    out = scratch_dir(spark, "overwrite")
+    layers.create_layer_databases(spark, out)
+    table, path = f"{C.LAYER_DATABASES['gold']}.reorder_metrics_overwritten", f"{out}/gold/reorder_metrics"
+    rows = comparable(_lin(spark, sf_dir).reorder)
+    layers.write_layer(rows.where("product_id % 2 = 0"), table, path)
+    layers.write_layer(rows, table, path)
+    broken = F.when(F.col("product_id") % 5 == 0, F.raise_error(F.lit("lost"))).otherwise(F.col("product_id"))
+    try:
+        layers.write_layer(rows.withColumn("product_id", broken), table, path)
+    except PySparkException as lost:
+        if "lost" not in str(lost):
+            raise
+    return spark.table(table)
+
+
 def _scattered_demand(spark, sf_dir) -> str:
     """The demand table written as many small files (what compaction fixes)."""
     path = scratch_dir(spark, "maintenance") + "/daily_product_demand"
@@ -206,6 +263,11 @@ def q_rule_demand_type(spark, sf_dir):
     return classify_rules(_lin(spark, sf_dir).dim_product).select("product_id", "product_name", "fallback_demand_type")
 
 
+def q_classify_labels_fitted(spark, sf_dir):
+    products = _lin(spark, sf_dir).dim_product
+    return model_table(products, fit_from_rules(classify_rules(products)))
+
+
 def q_count_by_classification_method(spark, sf_dir):
     return _lin(spark, sf_dir).dim_product_ai.groupBy("classification_method").count()
 
@@ -299,10 +361,15 @@ QUERIES: dict[str, Query] = {
     "landing_latest_partition": q_landing_latest_partition,
     "landing_report": q_landing_report,
     "landing_totals": q_landing_totals,
+    "quarantine_csv_rows": q_quarantine_csv_rows,
+    "csv_line_accounting": q_csv_line_accounting,
+    "bronze_products_valid": q_bronze_products_valid,
+    "raw_preview": q_raw_preview,
     "bronze_counts": q_bronze_counts,
     "stream_bronze_counts": q_stream_bronze_counts,
     # 2.2 sinks, catalog, maintenance
     "write_read_roundtrip": q_write_read_roundtrip,
+    "safe_overwrite": q_safe_overwrite,
     "catalog_listing": q_catalog_listing,
     "compact_table": q_compact_table,
     "cluster_table": q_cluster_table,
@@ -318,6 +385,7 @@ QUERIES: dict[str, Query] = {
     "rule_demand_type": q_rule_demand_type,
     "topk_sample_products": _from("sample"),
     "classify_labels": _from("model_labels"),
+    "classify_labels_fitted": q_classify_labels_fitted,
     "classify_overlay": _from("dim_product_ai", "product_id", "ai_product_theme", "ai_demand_type",
                               "classification_method"),
     "dim_product_ai": _from("dim_product_ai"),

@@ -18,10 +18,11 @@ def read_bronze(
     entity: str,
     ingestion_date: str | None = None,
     escape: str | None = None,
+    reject_malformed: bool = False,
 ) -> DataFrame:
     """Landed rows plus ``source_file`` (the file each row came from) and
     ``bronze_ingestion_ts``."""
-    df = read_landing(spark, root, entity, ingestion_date, escape)
+    df = read_landing(spark, root, entity, ingestion_date, escape, reject_malformed=reject_malformed)
     if not landing_dates(spark, root, entity):
         source = F.lit(None).cast("string")
     else:
@@ -39,8 +40,9 @@ def ingest_bronze(
     entities: Iterable[str] = C.RAW_ENTITIES,
     ingestion_date: str | None = None,
     escape: str | None = None,
+    reject_malformed: bool = False,
 ) -> dict[str, DataFrame]:
-    return {e: read_bronze(spark, root, e, ingestion_date, escape) for e in entities}
+    return {e: read_bronze(spark, root, e, ingestion_date, escape, reject_malformed) for e in entities}
 
 
 def bronze_as_raw(bronze: dict[str, DataFrame]) -> RawTables:

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -83,6 +83,7 @@ def read_landing(
     ingestion_date: str | None = None,
     escape: str | None = None,
     every_version: bool = False,
+    reject_malformed: bool = False,
 ) -> DataFrame:
     """Header CSV of one entity with a text schema plus ``ingestion_date``.
 
@@ -93,21 +94,30 @@ def read_landing(
     the reader default is a backslash, with which a doubled quote followed by
     a comma shifts the columns of that row.  An entity that never landed has
     no rows.
+
+    The reader fits a line with too many or too few fields to the columns; with
+    ``reject_malformed`` such lines, and files without the header, are left out
+    (``rejected.quarantine_csv`` holds them).
     """
     dates = landing_dates(spark, root, entity)
     if not dates:
         schema = T.StructType([*raw_schema(entity).fields, T.StructField("ingestion_date", T.DateType(), True)])
         return spark.createDataFrame([], schema)
-    reader = spark.read.schema(raw_schema(entity)).option("header", True)
-    if escape is not None:
-        reader = reader.option("escape", escape)
-    df = reader.csv(f"{root}/{entity}")
+    if reject_malformed:
+        from larder.sources.rejected import CORRUPT, checked_lines
+
+        df = checked_lines(spark, root, entity, escape).where(F.col("_reason").isNull()).drop("_reason", CORRUPT)
+    else:
+        reader = spark.read.schema(raw_schema(entity)).option("header", True)
+        if escape is not None:
+            reader = reader.option("escape", escape)
+        df = reader.csv(f"{root}/{entity}")
     if ingestion_date is not None:
         return df.filter(F.col("ingestion_date") == F.lit(ingestion_date).cast(df.schema["ingestion_date"].dataType))
     if every_version or len(dates) == 1:
         return df
     # the join would hide the files' metadata column
-    named = df.withColumn("_file_path", F.col("_metadata.file_path"))
+    named = df if "_file_path" in df.columns else df.withColumn("_file_path", F.col("_metadata.file_path"))
     return newest_of_each(named, RAW_KEYS[entity])
 
 
@@ -154,6 +164,17 @@ def preview(spark: SparkSession, root: str, entity: str, n: int = 5) -> DataFram
     return read_landing(spark, root, entity).limit(n)
 
 
+def preview_rows(spark: SparkSession, root: str, entity: str, n: int = C.QUERY_PREVIEW_ROWS) -> DataFrame:
+    """The ``n`` first rows of an entity by its key as numbers, then all
+    fields: (entity, place, fields), the fields by name.  A top-k cut."""
+    df = read_landing(spark, root, entity).select(*RAW_SCHEMAS[entity])
+    order = [F.col(c).try_cast("long").asc_nulls_last() for c in RAW_KEYS[entity]] + [F.col(c) for c in RAW_SCHEMAS[entity]]
+    top = df.orderBy(*order).limit(n)
+    place = F.row_number().over(Window.orderBy(*order))  # n rows
+    fields = F.concat_ws("|", *[F.concat(F.lit(f"{c}="), F.coalesce(F.col(c), F.lit(""))) for c in RAW_SCHEMAS[entity]])
+    return top.select(F.lit(entity).alias("entity"), place.alias("place"), fields.alias("fields"))
+
+
 def landing_report(spark: SparkSession, root: str, entities: Iterable[str] = C.RAW_ENTITIES) -> DataFrame:
     """Expected entities against what landed: status ``uploaded`` or ``skipped``
     (a left join of the expected list with the landed counts)."""

@@ -13,7 +13,8 @@ KEYS = [
     "daily_product_demand", "reorder_metrics", "fact_inventory_snapshots", "latest_demand", "stockout_risk",
     "overstock_alerts", "basket_affinity", "dash_05_top_reordered", "dash_09_priority", "dash_11_top_pairs",
     "quarantine_order_lines", "count_by_classification_method", "count_fact_by_classification_method",
-    "raw_file_inventory", "landing_report", "landing_totals", "final_validation",
+    "quarantine_csv_rows", "csv_line_accounting", "bronze_products_valid", "raw_preview", "safe_overwrite",
+    "classify_labels_fitted", "raw_file_inventory", "landing_report", "landing_totals", "final_validation",
     "dash_01_total_records", "dash_02_high_risk_count", "dash_03_overstock_units", "dash_04_departments", "dash_06_theme",
     "dash_07_demand_type", "dash_08_stockout_tiers", "dash_10_overstock_tiers",
 ]
