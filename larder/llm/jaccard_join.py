@@ -13,7 +13,7 @@ runs as the target recall needs.  Sets in a leaf are a bucket.
 
 A bucket never emits its pairs.  Every bucket has a few leaders, and each set is
 first paired with the one of all its leaders that its sketch is closest to, then
-with the next few from other components; verified links join sets into
+with those of the next few that are in other components; verified links join sets into
 components.  Then only members outside their leader's component are compared
 with all members of the bucket, in tiles of bounded size and by the smallest
 hashes of their sets, which decide exactly for sets of at most ``LOWEST``
@@ -36,7 +36,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from larder.llm.common import joined, mix64, slices, stored, text_chunks, word_hashes
@@ -48,17 +48,19 @@ DEPTH = 3
 BRANCHING = 1.25
 #: Leaders of a bucket.
 LEADERS = 3
-#: Leaders that a set is paired with after the closest one.
+#: Leaders that a set is paired with after the closest one, where they are in
+#: other components by then.
 NEXT = 3
 #: Members of a block that is compared with a bucket.
 BLOCK = 512
 #: Shingles of a block whose sets are compared in full, on average.
 BLOCK_SHINGLES = 1 << 19
 #: Sketch bits of 128 that may differ.  Sets at the threshold differ in 12.8 on
-#: average with a standard deviation of 3.4 to 5.6, as small sets fill fewer
-#: bins; others differ in 64.  Very small sets are not sifted.
-SKETCH_BITS, SKETCH_BITS_SMALL = 26, 36
-SKETCH_SMALL, SKETCH_NONE = 128, 32
+#: average, with a standard deviation that falls from 7.5 at 32 shingles, as
+#: small sets fill few bins, to 3.4; others differ in 64.  Small sets are not
+#: sifted at all.
+SKETCH_BITS, SKETCH_BITS_SMALL = 28, 36
+SKETCH_SMALL, SKETCH_NONE = 160, 64
 #: Smallest hashes of a set that compare it with others of its bucket: a set of
 #: at most so many is compared exactly, a larger one within SURE standard errors.
 LOWEST = 256
@@ -180,15 +182,18 @@ def _signatures(rows: DataFrame, similarity: float, runs: int) -> DataFrame:
     return rows.mapInArrow(run, "rid long, fa long, fb long, size int, s1 long, s2 long, low binary, paths array<long>")
 
 
-def _sift(similarity: float):
-    """What (size, s1, s2) and (size_b, s1_b, s2_b) of a true pair fulfil."""
-    near = F.least("size", "size_b") >= F.ceil(F.greatest("size", "size_b") * F.lit(similarity)).cast("int")
-    return near & (F.col("differ") <= F.when(F.least("size", "size_b") < SKETCH_NONE, 128)
-                   .when(F.least("size", "size_b") < SKETCH_SMALL, SKETCH_BITS_SMALL).otherwise(SKETCH_BITS))
-
-
-def _differ():
-    return F.bit_count(F.col("s1").bitwiseXOR(F.col("s1_b"))) + F.bit_count(F.col("s2").bitwiseXOR(F.col("s2_b")))
+def _near_leaders(similarity: float) -> Column:
+    """(differ, other) of those leaders of a bucket's row whose size and sketch
+    may be similar to the row's."""
+    found = []
+    for i in range(LEADERS):
+        of = F.col(f"lead{i}")
+        small, large = F.least("size", of["size"]), F.greatest("size", of["size"])
+        differ = F.bit_count(F.col("s1").bitwiseXOR(of["s1"])) + F.bit_count(F.col("s2").bitwiseXOR(of["s2"]))
+        most = F.when(small < SKETCH_NONE, 128).when(small < SKETCH_SMALL, SKETCH_BITS_SMALL).otherwise(SKETCH_BITS)
+        fits = (of["key"] != F.col("key")) & (small >= F.ceil(large * F.lit(similarity)).cast("int")) & (differ <= most)
+        found.append(F.when(fits, F.struct(differ.alias("differ"), of["key"].alias("other"))))
+    return F.array_compact(F.array(*found))
 
 
 def _texts_of(keys: DataFrame, rows: DataFrame, sets: DataFrame) -> DataFrame:
@@ -282,13 +287,6 @@ def _labelled(df: DataFrame, comps: DataFrame, key: str, name: str) -> DataFrame
 # ------------------------------------------------------------------ the join
 
 
-def _described(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Pairs (key, other) with sizes and differing sketch bits of both."""
-    of = sets.select("key", "size", "s1", "s2")
-    other = of.select(F.col("key").alias("other"), *[F.col(c).alias(f"{c}_b") for c in ("size", "s1", "s2")])
-    return pairs.join(of, "key").join(other, "other").withColumn("differ", _differ())
-
-
 def _shared(m: list[np.ndarray], r: list[np.ndarray]) -> np.ndarray:
     """How many tokens each of the sets ``m`` shares with each of ``r``."""
     tokens, place = np.unique(np.concatenate(m + r), return_inverse=True)
@@ -543,30 +541,30 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, recall: flo
     sets = some.groupBy("key").agg(F.min(F.struct("rid", "size", "s1", "s2")).alias("one"), F.count(F.lit(1)).alias("n")).select("key", "one.*", "n")
     sets = stored(spark, sets, "sets")
     # Rows of the same set have the same leaves.
-    walks = some.groupBy("key").agg(F.first("paths").alias("paths")).select("key", F.explode("paths").alias("path"))
+    own = ["size", "s1", "s2"]
+    walks = some.groupBy("key").agg(*[F.first(c).alias(c) for c in ("paths", *own)]).select("key", *own, F.explode("paths").alias("path"))
     walks = stored(spark, walks, "walks")
-    lead = [F.min(F.struct(F.xxhash64("key", "path", F.lit(i)), "key"))["key"].alias(f"lead{i}") for i in range(LEADERS)]
+    # Leaders go into their bucket's rows with all that is compared.
+    lead = [F.min(F.struct(F.xxhash64("key", "path", F.lit(i)).alias("h"), "key", *own)).dropFields("h").alias(f"lead{i}") for i in range(LEADERS)]
     led = walks.groupBy("path").agg(F.min("key").alias("low"), F.max("key").alias("high"), *lead)
     led = stored(spark, led.where("low < high").drop("low", "high"), "leaders")
     buckets = stored(spark, walks.join(led, "path"), "buckets")
 
-    # The closest leaders of each set; a set has as many as its leaves.
-    tries = buckets.select("key", F.explode(F.array(*[f"lead{i}" for i in range(LEADERS)])).alias("other")).where("key <> other").distinct()
-    tries = _described(tries, sets).where(_sift(similarity)).select("key", "other", "differ")
-    tries = stored(spark, tries, "tries")
-    first = tries.groupBy("key").agg(F.min(F.struct("differ", "other"))["other"].alias("other"))
-    tested = stored(spark, _ordered(first), "tested")
+    # The closest leaders of each set, of at most LEADERS * leaves.
+    tries = buckets.select("key", _near_leaders(similarity).alias("near")).where(F.size("near") > 0)
+    near = F.array_sort(F.array_distinct(F.flatten(F.collect_list("near"))))
+    tries = stored(spark, tries.groupBy("key").agg(F.slice(near, 1, 1 + NEXT).alias("near")), "tries")
+    tested = stored(spark, _ordered(tries.select("key", F.col("near")[0]["other"].alias("other"))), "tested")
     links = _verify(tested, rows, sets, similarity)
     comps = components(links)
-    # The next closest from other components.
-    apart = _labelled(_labelled(tries, comps, "key", "comp"), comps, "other", "comp_b").where("comp <> comp_b")
-    nearest = F.slice(F.array_sort(F.collect_list(F.struct("differ", "other"))), 1, NEXT)  # of at most LEADERS * leaves
-    second = apart.groupBy("key").agg(nearest.alias("near")).select("key", F.explode("near.other").alias("other"))
+    # The next closest, where they are in other components still.
+    apart = tries.select("key", F.explode(F.slice("near", 2, NEXT)).alias("next")).select("key", "next.other")
+    second = _labelled(_labelled(apart, comps, "key", "comp"), comps, "other", "comp_b").where("comp <> comp_b")
     second = stored(spark, _ordered(second).join(tested, ["a", "b"], "left_anti"), "tested")
     more = _verify(second, rows, sets, similarity)
     comps = components(more, comps)
     # All that is left between components.
-    marked = _labelled(_labelled(buckets.select("path", "key", "lead0"), comps, "key", "comp"), comps, "lead0", "lead_comp")
+    marked = _labelled(_labelled(buckets.select("path", "key", F.col("lead0.key").alias("lead0")), comps, "key", "comp"), comps, "lead0", "lead_comp")
     marked = stored(spark, marked.select("path", "key", "comp", "lead_comp"), "buckets-marked")
     third = _outside_against_members(marked, sets, signed, similarity)
     third = stored(spark, third.join(tested.union(second), ["a", "b"], "left_anti"), "tested")
