@@ -25,10 +25,13 @@ from pyspark.sql import DataFrame
 from larder.llm.common import slices
 from larder.llm.token_counts import SPACE, _model_proto, pretokens, splits_at_spaces
 
-CACHE_WORDS = 300_000
-CACHE_PARTS = 150_000
+# Remembered pre-tokens of a worker, in bytes; an entry costs about 160 bytes
+# besides its text and ids.
+CACHE_BYTES = 160 << 20
+ENTRY_BYTES = 160
+CACHE_PARTS = 50_000
 CACHE_WORD_CHARS = 64
-CACHE_PAIRS = 300_000
+CACHE_PAIRS = 200_000
 
 
 class PieceCodec:
@@ -137,6 +140,8 @@ class PieceCodec:
 
     def encode_marked(self, text: str) -> list[int]:
         """Ids of a text in which spaces are already space marks."""
+        if len(text) > 1 and self.inside.issuperset(map(str.__add__, text, text[1:])):
+            return self._known(text)  # no cut, as in most pre-tokens
         ids: list[int] = []
         start, inside = 0, self.inside
         for i in range(1, len(text) + 1):
@@ -212,21 +217,44 @@ def _utf8(held: bytearray) -> str:
 
 
 class _Words(dict):
-    """pre-token -> (number of ids, ids as text, decoded text)."""
+    """pre-token -> its ids as decimal text.
+
+    What the ids decode to is kept only for the pre-tokens that do not come
+    back as they are; the others are their own decoded text."""
 
     def __init__(self, codec: PieceCodec):
         super().__init__()
         self.codec = codec
-
-    def __missing__(self, word: str) -> tuple[int, bytes, str]:
-        ids = self.codec.encode_marked(SPACE + word.replace(" ", SPACE))
-        value = (len(ids), " ".join([self.codec.digits[i] for i in ids]).encode(), self.codec.decode_part(ids))
+        self.odd: dict[str, str] = {}
+        self.held = 0
+
+    def __missing__(self, word: str) -> bytes:
+        codec = self.codec
+        ids = codec.encode_marked(SPACE + word.replace(" ", SPACE))
+        value = " ".join([codec.digits[i] for i in ids]).encode()
+        decoded = codec.decode_part(ids)
+        if decoded != " " + word:
+            self.odd[word] = decoded
+            self.held += ENTRY_BYTES + len(word) + len(decoded)
         if len(word) <= CACHE_WORD_CHARS:
-            if len(self) >= CACHE_WORDS:
-                self.clear()
             self[word] = value
+            self.held += ENTRY_BYTES + len(word) + len(value)
         return value
 
+    def make_room(self) -> None:
+        """Between texts: forget all when the memory set for it is full."""
+        if self.held > CACHE_BYTES:
+            self.clear()
+            self.odd.clear()
+            self.held = 0
+
+    def decoded(self, words: list[str]) -> str:
+        """The decoded text of pre-tokens whose ids were taken, without the
+        mark in front."""
+        if self.odd.keys().isdisjoint(words):
+            return " ".join(words)
+        return "".join([self.odd.get(w) or " " + w for w in words])[1:]
+
 
 _CODECS: dict[str, PieceCodec] = {}
 _WORDS: dict[str, _Words] = {}
@@ -285,10 +313,12 @@ def round_trip_digests(df: DataFrame, model_path: str, id_col: str = "doc_id", t
             n, of_ids, of_text = [], [], []
             for text in batch.column("text").to_pylist():
                 if text and c.split:
-                    counts, ids, parts = zip(*map(words.__getitem__, pretokens(text)), strict=True)
-                    n.append(sum(counts) + 1)
-                    of_ids.append(sha(b"%b %d" % (b" ".join(ids), c.end)).hexdigest())
-                    of_text.append(sha("".join(parts)[1:].encode()).hexdigest())  # without the mark in front
+                    words.make_room()
+                    cut = pretokens(text)
+                    ids = b"%b %d" % (b" ".join(map(words.__getitem__, cut)), c.end)
+                    n.append(ids.count(b" ") + 1)
+                    of_ids.append(sha(ids).hexdigest())
+                    of_text.append(sha(words.decoded(cut).encode()).hexdigest())
                 else:
                     every = [*c.encode(text), c.end]
                     n.append(len(every))
