@@ -5,7 +5,7 @@ from __future__ import annotations
 import json
 import posixpath
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -60,6 +60,25 @@ def slices(batches: Iterator[pa.RecordBatch], rows: int = SLICE_ROWS) -> Iterato
             yield batch.slice(lo, rows)
 
 
+def rows_where(docs: DataFrame, judge: Callable[[], Callable[[list[str | None]], list[bool]]], text_col: str = "text") -> DataFrame:
+    """The rows whose text is judged true, with all their columns as they are.
+    Only the text goes to Python, and only the answers come back.
+
+    ``judge`` makes, once in each task, the function that is given at most
+    ``SLICE_ROWS`` texts (null as None) at a time."""
+
+    @F.arrow_udf("boolean")
+    def decided(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        keep = judge()
+        for texts in batches:
+            found: list[bool] = []
+            for lo in range(0, len(texts), SLICE_ROWS):
+                found += keep(texts.slice(lo, SLICE_ROWS).to_pylist())
+            yield pa.array(found, pa.bool_())
+
+    return docs.where(decided(F.col(text_col)))
+
+
 def text_chunks(texts: list[str | None], limit: int = CHUNK_BYTES, rows: int = 4096) -> Iterator[tuple[int, list[bytes]]]:
     """(index of the first, UTF-8 texts) in runs of about ``limit`` bytes and at
     most ``rows`` texts; a longer text is a run of its own.  Null counts as empty."""

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from larder.llm.common import joined, slices, text_chunks, word_hashes
+from larder.llm.common import joined, rows_where, slices, stored, text_chunks, word_hashes
 
 WINDOW = 10
 BLOCK_WINDOWS = 400_000
@@ -103,7 +103,8 @@ class WindowSet:
 
 def item_windows(benchmark: DataFrame) -> DataFrame:
     """Distinct windows of all items: k (words), h (hash), words, item.  Items
-    that are null or have no word have none."""
+    that are null or have no word have none; an item without an id cannot be
+    named in a result, so by rule it is no item and its passages are no hits."""
     rows = benchmark.select(benchmark["item_id"].alias("item"), benchmark["text"].alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -134,15 +135,12 @@ def item_windows(benchmark: DataFrame) -> DataFrame:
 
 def _blocks(benchmark: DataFrame) -> Iterator[list[tuple[int, int, str, int]]]:
     """All windows in blocks that fit a broadcast (one empty block if none)."""
-    windows = item_windows(benchmark).persist()
-    try:
-        n = windows.count()
-        blocks = max(1, -(-n // BLOCK_WINDOWS))
-        for b in range(blocks):
-            part = windows if blocks == 1 else windows.where(F.pmod(F.xxhash64("k", "h"), F.lit(blocks)) == b)
-            yield [(r.k, r.h % (1 << 64), r.words, r.item) for r in part.collect()]
-    finally:
-        windows.unpersist()
+    windows = stored(benchmark.sparkSession, item_windows(benchmark), "benchmark-windows")
+    n = windows.count()
+    blocks = max(1, -(-n // BLOCK_WINDOWS))
+    for b in range(blocks):
+        part = windows if blocks == 1 else windows.where(F.pmod(F.xxhash64("k", "h"), F.lit(blocks)) == b)
+        yield [(r.k, r.h % (1 << 64), r.words, r.item) for r in part.collect()]
 
 
 _OUT = "doc_id {kind}, n_words long, n_hit long, items array<long>"
@@ -227,38 +225,39 @@ def remove_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """Documents without any hit word, with all their columns.
 
     The decision is made row by row beside the scan, so repeated rows, null
-    ids and clashing column names need no join.
+    ids and clashing column names need no join.  Null and empty texts have no
+    words and stay; an empty benchmark removes nothing.
     """
-    return _filtered(docs, benchmark, spans=False)
+    out = docs
+    for block in _blocks(benchmark):
+        windows = docs.sparkSession.sparkContext.broadcast(block)
 
+        def judge(windows=windows):
+            known = WindowSet(windows.value)
+            return lambda texts: [bool(n == 0) for _, run_ in text_chunks(texts) for n in known.hits(run_)[1]]
 
-def remove_spans(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """All documents, with hit words cut from ``text`` (from the first byte of
-    a hit run to its last); a text that loses all its words becomes empty."""
-    return _filtered(docs, benchmark, spans=True)
+        out = rows_where(out, judge)
+    return out
 
 
-def _filtered(docs: DataFrame, benchmark: DataFrame, spans: bool) -> DataFrame:
-    spark = docs.sparkSession
+def remove_spans(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """All documents, with hit words cut from ``text`` (from the first byte of
+    a hit run to its last); a text that loses all its words becomes empty, a
+    null one stays null.  Other columns, repeated rows and null ids stay."""
     out = docs
     for block in _blocks(benchmark):
-        windows = spark.sparkContext.broadcast(block)
+        windows = docs.sparkSession.sparkContext.broadcast(block)
 
         def run(batches: Iterator[pa.RecordBatch], windows=windows) -> Iterator[pa.RecordBatch]:
             known = WindowSet(windows.value)
             for batch in slices(batches):
                 texts = batch.column("text").to_pylist()
-                keep, new = [], []
+                new: list[str | None] = []
                 for start, run_ in text_chunks(texts):
-                    n, n_hit, _, hit, doc = known.hits(run_)
-                    keep += (n_hit == 0).tolist()
-                    if spans:
-                        new += _cut(run_, texts[start:start + len(run_)], n_hit, hit, doc)
-                if spans:
-                    at = batch.schema.get_field_index("text")
-                    yield batch.set_column(at, "text", pa.array(new, batch.schema.field("text").type))
-                else:
-                    yield batch.filter(pa.array(keep, pa.bool_()))
+                    _, n_hit, _, hit, doc = known.hits(run_)
+                    new += _cut(run_, texts[start:start + len(run_)], n_hit, hit, doc)
+                at = batch.schema.get_field_index("text")
+                yield batch.set_column(at, "text", pa.array(new, batch.schema.field("text").type))
 
         out = out.mapInArrow(run, docs.schema)
     return out

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from larder.llm.common import id_fold, joined, slices, text_chunks
+from larder.llm.common import id_fold, joined, rows_where, slices, text_chunks
 
 DIMS = 4096
 #: Documents of each language that the centroids are fitted on, at most.
@@ -187,12 +187,10 @@ def _judged(rows: DataFrame, model: Centroids, id_col: str) -> DataFrame:
 
 
 def keep_identified(docs: DataFrame, model: Centroids) -> DataFrame:
-    """Documents that are not rejected, with all their columns as they are."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    """Documents that are not rejected, with all their columns as they are.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
-            _, _, rejected = shared.value.predict(batch.column("text").to_pylist())
-            yield batch.filter(pa.array([not r for r in rejected], pa.bool_()))
-
-    return docs.mapInArrow(run, docs.schema)
+    Null texts and texts without a letter are in no language and go; repeated
+    rows are judged one by one; null ids stay; without any learned language
+    all rows go."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    return rows_where(docs, lambda: lambda texts: [not r for r in shared.value.predict(texts)[2]])

@@ -15,6 +15,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from larder.llm.common import stored
+
 BUCKETS = 8192
 #: Added to every bucket's count in the corpus multinomial.
 SMOOTHING = 1.0
@@ -136,6 +138,9 @@ def judge(docs: DataFrame, labels: DataFrame, least: float = LEAST_SCORE) -> Dat
     Null text has no words: all counts 0, base_failed, not kept, score null.
     Repeated rows are judged one by one.  Without trusted documents there is no
     ratio: scores are 0 and the base rules alone decide.
+
+    The rows are written once and read: a filter on them would else be pushed
+    into the counts, which hold values that must be made only once.
     """
     ratio = ratios(docs, labels).scalar()
     words = F.col("words")
@@ -151,4 +156,5 @@ def judge(docs: DataFrame, labels: DataFrame, least: float = LEAST_SCORE) -> Dat
         score / (2 * F.col("n_words") - 1))
     failed = (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEATED_PERCENT * F.col("n_words"))
     scored = df.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", failed.alias("base_failed"), mean.alias("score"))
+    scored = stored(docs.sparkSession, scored, "quality-judged")
     return scored.withColumn("kept", ~F.col("base_failed") & F.coalesce(F.col("score") >= least, F.lit(False)))

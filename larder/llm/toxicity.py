@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from larder.llm.common import id_fold, slices
+from larder.llm.common import id_fold, rows_where, slices
 
 BITS = 22
 #: Labelled documents of each label that the weights are fitted on, at most.
@@ -93,7 +93,7 @@ def fit_weights(ids: list[np.ndarray], counts: list[np.ndarray], toxic: np.ndarr
     if not len(toxic) or toxic.min() == toxic.max():
         return {}, -20.0 if not len(toxic) or not toxic[0] else 20.0
     row = np.repeat(np.arange(len(ids), dtype=np.int32), [len(i) for i in ids])
-    feature, value = _joined(ids, "<u4"), _joined(counts, "<u2")
+    feature, value = _joined(ids, "<u4"), _joined(counts, "<u4")
     one, zero = toxic.sum(), (1 - toxic).sum()
     docs = np.bincount(feature, minlength=1 << BITS)
     p = np.bincount(feature[toxic[row] == 1], minlength=1 << BITS)
@@ -203,7 +203,7 @@ def fit(docs: DataFrame, labels: DataFrame, folds: int = 5, held_out: int = 0, s
                 words = distinct_words(text)
                 of = Counter(f for w in words for f in word_features(w))
                 ids.append(np.array(sorted(of), "<u4").tobytes())
-                counts.append(np.array([of[f] for f in sorted(of)], "<u2").tobytes())
+                counts.append(np.array([of[f] for f in sorted(of)], "<u4").tobytes())
                 pairs = swaps(words, groups)
                 less.append([f for a, _ in pairs for f in word_features(a)])
                 more.append([f for _, b in pairs for f in word_features(b)])
@@ -216,7 +216,7 @@ def fit(docs: DataFrame, labels: DataFrame, folds: int = 5, held_out: int = 0, s
     found = rows.mapInArrow(run, shape).collect()
     found.sort(key=lambda r: (r.doc_id, r.ids, r.counts))
     ids = [np.frombuffer(r.ids, "<u4") for r in found]
-    counts = [np.frombuffer(r.counts, "<u2") for r in found]
+    counts = [np.frombuffer(r.counts, "<u4") for r in found]
     differences = []
     for r in found:
         if r.less:
@@ -249,12 +249,9 @@ def score(docs: DataFrame, model: ToxicityModel, folds: int = 5, held_out: int =
 
 
 def keep_clean(docs: DataFrame, model: ToxicityModel) -> DataFrame:
-    """Documents with a score below 0.5, with all their columns as they are."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    """Documents with a score below 0.5, with all their columns as they are.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
-            keep = [shared.value.score(t) < 0.5 for t in batch.column("text").to_pylist()]
-            yield batch.filter(pa.array(keep, pa.bool_()))
-
-    return docs.mapInArrow(run, docs.schema)
+    Null and empty texts score as a text without words; repeated rows are
+    judged one by one; null ids stay."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    return rows_where(docs, lambda: lambda texts: [shared.value.score(t) < 0.5 for t in texts])

@@ -1,6 +1,7 @@
 """Operator 1 against all pairs, on fixtures and on a table."""
 
 import numpy as np
+import pytest
 from helpers_llm import docs, odd_rows, prose
 
 from larder.llm import jaccard_join as j
@@ -113,6 +114,28 @@ def test_recall_at_the_threshold(spark):
     assert pairs >= 200 and found >= 0.99 * pairs
 
 
+@pytest.mark.parametrize("size", [20, 36, 40, 140, 300])
+def test_recall_by_size_at_the_threshold(spark, size):
+    """Each pair differs in as many shingles as 0.8 allows, at this set size."""
+    rows, pairs = [], 0
+    for i in range(150):
+        n = size + 4  # words
+        a = prose(50_000 + 1000 * size + i, n).split()
+        b = a[:]
+        # a changed last word costs one shingle of each side, one inside five
+        left = int(size * (1 - 0.8) / (1 + 0.8))
+        for k in range(left // 5):
+            b[10 * k + 7] = f"z{i}"
+        b[-1 - (left % 5) + 1:] = [f"y{i}"] * (left % 5) if left % 5 else b[len(b):]
+        x, y = shingles(" ".join(a)), shingles(" ".join(b))
+        if len(x & y) >= 0.8 * len(x | y):
+            pairs += 1
+            rows += [(2 * i, " ".join(a)), (2 * i + 1, " ".join(b))]
+    got = j.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), counted=False).collect()
+    found = sum(r.class_id == r.doc_id - 1 for r in got if r.doc_id % 2)
+    assert pairs >= 100 and found >= 0.98 * pairs
+
+
 def test_odd_rows(spark):
     rows = [(i, t) for i, t, *_ in odd_rows()]
     got = j.near_duplicates(docs(spark)).collect()

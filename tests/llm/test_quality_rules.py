@@ -84,3 +84,16 @@ def test_no_python_in_the_plan(spark):
     labels = spark.createDataFrame([(5, 1, 0)], LABELS)
     plan = q.judge(docs(spark), labels)._jdf.queryExecution().toString()
     assert "Python" not in plan and "InPandas" not in plan and "InArrow" not in plan
+
+
+def test_a_filter_on_the_result_costs_no_more(spark):
+    import time
+
+    docs_, labels = (spark.read.parquet(f"/root/testdata/sf0.001/{t}.parquet") for t in ("documents", "labels"))
+    start = time.time()
+    rows = q.judge(docs_, labels).collect()
+    whole = time.time() - start
+    start = time.time()
+    kept = q.judge(docs_, labels).where("kept and n_repeat_words >= 0").collect()
+    assert sorted(map(repr, kept)) == sorted(repr(r) for r in rows if r.kept)
+    assert time.time() - start < 3 * whole + 5

@@ -83,3 +83,22 @@ def test_weights_are_sparse():
     counts = [np.array([t[f] for f in sorted(t)], "<u2") for t in texts]
     weights, _ = toxicity.fit_weights(ids, counts, np.array([i % 2 for i in range(100)], float), [])
     assert weights[5] > 0 > weights[6] and len(weights) < 15
+
+
+def test_a_labelled_text_of_many_words_with_one_prefix(spark):
+    rows, labels = labelled()
+    rows = [*rows, (90_000, " ".join(f"item{i}" for i in range(70_000)), "en", "a", 1)]
+    df = docs(spark, rows)
+    model = toxicity.fit(df, spark.createDataFrame([*labels, (90_000, 0, 0)], LABELS), held_out=-1)
+    scores = {r.doc_id: r.score for r in toxicity.score(df, model).collect()}
+    assert scores[90_000] < 0.5
+
+
+def test_scores_equal_a_dense_recomputation(spark):
+    rows, labels = labelled()
+    df = docs(spark, rows)
+    model = toxicity.fit(df, spark.createDataFrame(labels, LABELS))
+    for r in toxicity.score(df, model).collect():
+        text = next(t for i, t, *_ in rows if i == r.doc_id)
+        z = model.intercept + sum(model.weights.get(f, 0.0) for w in toxicity.distinct_words(text) for f in toxicity.word_features(w))
+        assert abs(r.score - 1 / (1 + np.exp(-np.clip(z, -35, 35)))) < 1e-9
