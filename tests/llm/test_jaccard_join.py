@@ -126,7 +126,8 @@ def test_recall_by_size_at_the_threshold(spark, size):
         left = int(size * (1 - 0.8) / (1 + 0.8))
         for k in range(left // 5):
             b[10 * k + 7] = f"z{i}"
-        b[-1 - (left % 5) + 1:] = [f"y{i}"] * (left % 5) if left % 5 else b[len(b):]
+        if tail := left % 5:
+            b[-tail:] = [f"y{i}"] * tail
         x, y = shingles(" ".join(a)), shingles(" ".join(b))
         if len(x & y) >= 0.8 * len(x | y):
             pairs += 1
