@@ -225,9 +225,10 @@ INVENTORY_COLUMNS = [
 ]
 
 
-# Shards over which the order numbers meet the products; each product row is
-# copied to all of them.
+# The grid is joined in cells: the order numbers in so many shards, the products
+# in blocks of about so many, so the cells grow in number with the products.
 GRID_SHARDS = 16
+GRID_BLOCK_PRODUCTS = 2_000
 
 
 def inventory_snapshots(
@@ -251,9 +252,11 @@ def inventory_snapshots(
     NULL attribute never matches and sells 0; ``null_safe=True`` matches on
     the id alone instead.
 
-    Plan: the products are copied to a few shards, the distinct order numbers
-    are dealt over the same shards, and an equi-join on the shard gives every
-    (product, number) once as a row of zeros; the demand rows are added to
+    Plan: the products are dealt over blocks (their number follows from the
+    count of products, a subquery of the plan) and copied to a few shards, the
+    distinct order numbers are dealt over these shards and copied to the
+    blocks, and an equi-join on shard and block gives every (product, number)
+    once as a row of zeros; the demand rows are added to
     them by one aggregate per key.  The rows are hash-partitioned by product
     first, which serves the aggregate and the cumulative window, so the grid
     is shuffled once; the work is linear in its rows, and neither maps nor
@@ -278,12 +281,15 @@ def inventory_snapshots(
         "product_id", F.col("order_number").alias("inventory_snapshot_number"), *units)
     numbers = fact.filter(F.col("order_number").isNotNull()).select(F.col("order_number").alias("inventory_snapshot_number")).distinct()
     products = demand.select("product_id").distinct()
-    shard = F.pmod(F.xxhash64("inventory_snapshot_number"), F.lit(GRID_SHARDS))
-    zeros = (
-        products.withColumn("shard", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(GRID_SHARDS - 1).cast("long"))))
-        .join(numbers.withColumn("shard", shard), "shard")
-        .select("product_id", "inventory_snapshot_number", *[F.lit(0).cast("long").alias(c) for c in units])
-    )
+    counted = F.ceil(F.count(F.lit(1)) / GRID_BLOCK_PRODUCTS).cast("long")
+    blocks = products.select(F.greatest(counted, F.lit(1)).alias("blocks")).scalar()
+    zero = F.lit(0).cast("long")
+    dealt_products = products.withColumn("block", F.pmod(F.xxhash64("product_id"), blocks)).withColumn(
+        "shard", F.explode(F.sequence(zero, F.lit(GRID_SHARDS - 1).cast("long"))))
+    dealt_numbers = numbers.withColumn("shard", F.pmod(F.xxhash64("inventory_snapshot_number"), F.lit(GRID_SHARDS))).withColumn(
+        "block", F.explode(F.sequence(zero, blocks - 1)))
+    zeros = dealt_products.join(dealt_numbers, ["shard", "block"]).select(
+        "product_id", "inventory_snapshot_number", *[zero.alias(c) for c in units])
     grid = join_small(
         zeros.unionByName(sold).repartition("product_id").groupBy("product_id", "inventory_snapshot_number")
         .agg(*[F.sum(c).alias(c) for c in units]),

@@ -1,5 +1,6 @@
 """Invariants of the layers on sf0.001."""
 
+import pytest
 from pyspark.sql import functions as F
 
 
@@ -61,3 +62,14 @@ def test_latest_inventory_direct_equals_grid_filter(lineage):
         assert sorted(map(tuple, comparable(grid2).collect()), key=repr) == \
             sorted(map(tuple, comparable(grid).collect()), key=repr)
         assert a == b == c
+
+
+@pytest.mark.parametrize("per_block", [1, 7, 2_000])
+def test_grid_cells_hold_every_product_and_number_once(spark, lineage, monkeypatch, per_block):
+    from larder.operators import silver
+
+    want = {tuple(r) for r in lineage.inventory.select("product_id", "inventory_snapshot_number", "ending_inventory_qty").collect()}
+    monkeypatch.setattr(silver, "GRID_BLOCK_PRODUCTS", per_block)
+    grid = silver.inventory_snapshots(lineage.fact, lineage.attributes)
+    got = [tuple(r) for r in grid.select("product_id", "inventory_snapshot_number", "ending_inventory_qty").collect()]
+    assert len(got) == len(want) and set(got) == want
