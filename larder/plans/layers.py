@@ -80,6 +80,16 @@ def write_layer(df: DataFrame, table: str, path: str, fmt: str = "parquet",
     return rows
 
 
+def write_version(df: DataFrame, path: str, fmt: str = "parquet", keep: int = KEPT_VERSIONS) -> tuple[str, int]:
+    """Write working data, which has no table, to a new version folder under
+    ``path``; (folder, rows)."""
+    version = f"{path}/v-{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
+    obs = Observation(f"rows_{uuid.uuid4().hex}")
+    df.observe(obs, F.count(F.lit(1)).alias("rows")).write.format(fmt).save(version)
+    drop_old_versions(df.sparkSession, path, version, keep)
+    return version, int(obs.get["rows"])
+
+
 def _layout(spark: SparkSession, table: str) -> list[tuple]:
     """Columns and storage of a table, without what differs by version."""
     described = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()
@@ -99,6 +109,14 @@ def _switch(spark: SparkSession, table: str, staged: str, version: str) -> None:
     spark.catalog.refreshTable(table)
 
 
+def table_location(spark: SparkSession, table: str) -> str | None:
+    """Folder of the table's files now; None if there is no such table."""
+    if not spark.catalog.tableExists(table):
+        return None
+    described = spark.sql(f"DESCRIBE TABLE EXTENDED {table}")
+    return described.where("col_name = 'Location'").first()["data_type"]
+
+
 def _folder(spark: SparkSession, path: str):
     at = spark._jvm.org.apache.hadoop.fs.Path(path)
     return at.getFileSystem(spark._jsc.hadoopConfiguration()), at

@@ -12,6 +12,7 @@ from pyspark.sql import SparkSession
 # configuration applies; the job code does not depend on these values.
 LOCAL_CONF = {
     "spark.ui.enabled": "false",
+    "spark.scheduler.mode": "FAIR",  # steps of a layered run share the cores
     "spark.sql.shuffle.partitions": "8",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",

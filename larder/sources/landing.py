@@ -68,6 +68,19 @@ def landing_dates(spark: SparkSession, root: str, entity: str) -> list[str]:
     return sorted(n.split("=", 1)[1] for n in names if n.startswith("ingestion_date="))
 
 
+def landed_files(spark: SparkSession, root: str, entity: str) -> list[tuple[str, int, int]]:
+    """(path, bytes, time) of every landed file of ``entity`` (metadata only)."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/{entity}")
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(path):
+        return []
+    files, found = fs.listFiles(path, True), []
+    while files.hasNext():
+        f = files.next()
+        found.append((f.getPath().toString(), f.getLen(), f.getModificationTime()))
+    return sorted(found)
+
+
 def newest_of_each(df: DataFrame, keys: list[str]) -> DataFrame:
     """Of the landings that hold a key, its rows of the newest one.  Rows
     without a whole key are never replaced."""
