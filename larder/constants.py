@@ -174,6 +174,7 @@ QUERY_PREVIEW_ROWS = 5
 QUERY_MALFORMED_MOD = 10         # product lines: 3 too many fields, 7 too few, 5 landed under another header
 QUERY_LONG_REM, QUERY_SHORT_REM, QUERY_OTHER_HEADER_REM = 3, 7, 5
 QUERY_OTHER_HEADER = "id,name,aisle,department"
+QUERY_RENAMED, QUERY_KEYLESS_NAME = "renamed ", "no key"  # products of the second landing (their rem: 3); a row in both
 QUERY_MISSING_ENTITY = "aisles"  # the one that the landing report's input lacks
 QUERY_ABSENT_TABLE = "grocery_gold.absent"
 QUERY_UNREADABLE_TABLE = "grocery_bronze.unreadable"

@@ -405,6 +405,12 @@ FINAL: dict[str, str] = {
     # sources ---------------------------------------------------------------
     "bronze_products": "SELECT * FROM fx_products",
     "landing_latest_partition": "SELECT * FROM fx_products",
+    "landing_merge": f"""
+        SELECT product_id, CASE WHEN {_MALFORMED} = {C.QUERY_LONG_REM} THEN '{C.QUERY_RENAMED}' || product_id ELSE product_name END AS product_name,
+               aisle_id, department_id,
+               CASE WHEN {_MALFORMED} = {C.QUERY_LONG_REM} THEN '{RELANDING_DATE}' ELSE '{LANDING_DATE}' END AS ingestion_date
+        FROM fx_products
+        UNION ALL SELECT NULL, '{C.QUERY_KEYLESS_NAME}', '1', '1', '{RELANDING_DATE}'""",
     "raw_row_counts": """
         SELECT 'orders' AS entity, count(*) AS row_count FROM fx_orders
         UNION ALL SELECT 'order_products_prior', count(*) FROM fx_op_prior

@@ -22,7 +22,7 @@ from larder.plans import dashboard, layers, medallion
 from larder.plans.lineage import Lineage, comparable
 from larder.plans.oracle import LANDING_DATE, RELANDING_DATE
 from larder.session import scratch_dir
-from larder.sources import bronze, landing, rejected
+from larder.sources import bronze, landing, landing_merge, rejected
 from larder.sources.fixture import text_lines
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -89,6 +89,21 @@ def q_landing_latest_partition(spark, sf_dir):
     return landing.read_landing(spark, root, "products").select(*landing.RAW_SCHEMAS["products"])
 
 
+def q_landing_merge(spark, sf_dir):
+    """Products folded after each of two landings: all of them, then some under a
+    new name; a row without a key is in both."""
+    root, state = scratch_dir(spark, "landing"), scratch_dir(spark, "landing-merge")
+    names = landing.RAW_SCHEMAS["products"]
+    products = _lin(spark, sf_dir).raw.products.select(*[F.col(c).cast("string").alias(c) for c in names])
+    keyless = spark.createDataFrame([(None, C.QUERY_KEYLESS_NAME, "1", "1")], ", ".join(f"{c} string" for c in names))
+    renamed = products.where(F.col("product_id").cast("long") % C.QUERY_MALFORMED_MOD == C.QUERY_LONG_REM).withColumn(
+        "product_name", F.concat(F.lit(C.QUERY_RENAMED), "product_id"))
+    for date, rows in ((LANDING_DATE, products), (RELANDING_DATE, renamed)):
+        landing.land_entity(rows.unionByName(keyless), root, "products", date)
+        current = landing_merge.fold_landings(spark, root, "products", state)
+    return current.select(*names, F.col("ingestion_date").cast("string").alias("ingestion_date"))
+
+
 def _landed_with_malformed(spark, sf_dir) -> str:
     """Products landed with lines of too many and too few fields, and a second
     landing whose files have another header."""
@@ -359,6 +374,7 @@ QUERIES: dict[str, Query] = {
     "raw_file_inventory": q_raw_file_inventory,
     "raw_row_counts": q_raw_row_counts,
     "landing_latest_partition": q_landing_latest_partition,
+    "landing_merge": q_landing_merge,
     "landing_report": q_landing_report,
     "landing_totals": q_landing_totals,
     "quarantine_csv_rows": q_quarantine_csv_rows,
