@@ -18,15 +18,18 @@ def create_layer_databases(spark: SparkSession, root: str, names: dict[str, str]
 
 
 BUCKET_TARGET_BYTES = 256 * 1024 * 1024
+BUCKET_LEAST_BYTES = 256 * 1024
 
 
 def bucket_count(spark: SparkSession, input_bytes: int | None = None,
-                 target_bytes: int = BUCKET_TARGET_BYTES) -> int:
-    """Buckets for a bucketed layer: about ``target_bytes`` of input per bucket
-    (each bucket is one task of a later join on the key)."""
+                 target_bytes: int = BUCKET_TARGET_BYTES, least_bytes: int = BUCKET_LEAST_BYTES) -> int:
+    """Buckets for a bucketed layer: about ``target_bytes`` of input per bucket.
+    Each bucket is one task of a later join on the key, so an input of fewer
+    such buckets than cores has one for each core, of ``least_bytes`` or more."""
     if input_bytes is None:
         return int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return max(1, -(-input_bytes // target_bytes))
+    cores = spark.sparkContext.defaultParallelism
+    return max(1, -(-input_bytes // target_bytes), min(cores, input_bytes // least_bytes))
 
 
 def write_bucketed(df: DataFrame, table: str, path: str, key: str, fmt: str = "parquet",
