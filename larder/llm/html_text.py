@@ -9,9 +9,18 @@ of the class itself or of one other class.  Valid classes that most pages hold
 are the host's template.  Text nodes of a valid class that holds elements too
 come with these, on each page the same; they, nodes that are constant by
 themselves, and containers that are mostly links are not article text, inside
-an article too; nor are elements that state another purpose (menus, sidebars,
-adverts, forms, comments and so on).  What remains in the slots is the text, on
-pages with an article element (or else a main part) what remains within it.
+an article too.  The host's main slot is the element, once on each page that
+holds it, whose share of the host's varying text exceeds its share of the
+constant and linked text by most: a menu or a notice around the article costs, a
+part of the article left out costs as well.  What varies within it is the text.
+
+Markup refines this: elements that state another purpose (menus, sidebars,
+adverts, forms, comments and so on) are left out, and an article element (or
+else a main part) that the slot lies in or holds sets its bounds.  It decides
+alone on pages without the slot: hosts of fewer than ``LEAST_PAGES`` pages or of
+copies, layouts that few of a host's pages share or whose elements no tag, class
+or id tells apart.  With ``markup=False``
+the template works alone.
 """
 
 from __future__ import annotations
@@ -22,6 +31,7 @@ import struct
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
@@ -100,8 +110,9 @@ def _key(*parts: str) -> int:
     return xxhash.xxh3_64_intdigest("\x00".join(parts))
 
 
-def parse(html: str) -> tuple[dict[int, int], list[Node]]:
-    """(count of each tag token, text nodes) of a page, in one pass."""
+def parse(html: str, markup: bool = True) -> tuple[dict[int, int], list[Node]]:
+    """(count of each tag token, text nodes) of a page, in one pass; without
+    ``markup`` no element states a purpose or an article."""
     counts: dict[int, int] = {}
     nodes: list[Node] = []
     # Open elements: (name, path, containers, in a link, in an article, out).
@@ -146,6 +157,8 @@ def parse(html: str) -> tuple[dict[int, int], list[Node]]:
         _, path, containers, link, in_article, out = stack[-1]
         # A page's header is no article text; an article's own holds its title.
         label, other, article = _label(name, attributes, in_article)
+        if not markup:
+            other, article = False, 0
         out = out or other
         if name in _BLOCK:
             path = f"{path}/{label}"
@@ -163,14 +176,19 @@ def _text_token(node: Node) -> int:
     return _key("text", node.path, _WHITE.sub(" ", node.text).strip())
 
 
-def main_text(html: str | None, dropped: frozenset[int] = frozenset()) -> str:
-    """The text of a page; ``dropped``: template tokens that hold no article text."""
+def main_text(html: str | None, dropped: frozenset[int] = frozenset(), slot: int | None = None, markup: bool = True) -> str:
+    """The text of a page; ``dropped``: template tokens that hold no article
+    text; ``slot``: the token of the host's main slot."""
     if not html:
         return ""
-    _, nodes = parse(html)
+    _, nodes = parse(html, markup)
     nodes = [n for n in nodes if not n.out]
     level = max((n.article for n in nodes), default=0)
-    nodes = [n for n in nodes if n.article == level]
+    within = [n for n in nodes if slot in n.containers]
+    if within and (level == 0 or max(n.article for n in within) < level):
+        nodes = within
+    else:  # no slot on this page, or its article's bounds are the slot's
+        nodes = [n for n in nodes if n.article == level]
     chosen = [n for n in nodes if not dropped.intersection(n.containers) and _text_token(n) not in dropped]
     blocks: list[list[str]] = []
     last = None
@@ -187,17 +205,17 @@ def _host(url: str) -> Column:
     return F.lower(F.coalesce(F.regexp_extract(F.col(url), r"^[a-zA-Z][a-zA-Z0-9+.\-]*://([^/?#]*)", 1), F.lit("")))
 
 
-_STATS = "host string, token long, kind int, parent long, pages long, low long, high long, chars long, links long"
+_STATS = "host string, token long, kind int, parent long, pages long, low long, high long, chars long, links long, times long, depth int"
 
 
 def _signed(value: int) -> int:
     return value - (1 << 64) if value >= 1 << 63 else value
 
 
-def token_statistics(pages: DataFrame) -> DataFrame:
+def token_statistics(pages: DataFrame, markup: bool = True) -> DataFrame:
     """Per host and token: the tag token it stands in (0: none), pages that hold
-    it, the fingerprint of its occurrence vector (two sums), and its characters
-    in and out of links.
+    it, the fingerprint of its occurrence vector (two sums), its characters
+    in all and in links, its occurrences and how many elements it stands in.
 
     Sums are made per batch first, then by Spark.  Token 0 stands for the page.
     """
@@ -207,59 +225,70 @@ def token_statistics(pages: DataFrame) -> DataFrame:
         for batch in slices(batches):
             total: dict[tuple[str, int, int, int], list[int]] = {}
 
-            def add(host: str, token: int, kind: int, parent: int, print_: int, chars: int, links: int, total=total) -> None:
-                t = total.setdefault((host, token, kind, parent), [0, 0, 0, 0, 0])
+            def add(host: str, token: int, kind: int, parent: int, print_: int, chars: int, links: int, times: int,
+                    depth: int, total=total) -> None:
+                t = total.setdefault((host, token, kind, parent), [0, 0, 0, 0, 0, 0, 0])
                 t[0] += 1
                 t[1] += print_ & 0x7FFFFFFF
                 t[2] += print_ >> 33
                 t[3] += chars
                 t[4] += links
+                t[5] += times
+                t[6] = max(t[6], depth)
 
             for page_id, host, html in zip(*(batch.column(c).to_pylist() for c in ("page_id", "host", "html")), strict=True):
-                counts, nodes = parse(html or "")
+                counts, nodes = parse(html or "", markup)
                 # Repeated rows count as one more page with the same vector.
                 page = xxhash.xxh3_64_intdigest(f"{page_id}\x00{len(html or '')}")
                 chars: dict[int, list[int]] = {}
                 texts: dict[int, int] = {}
+                plain: dict[int, int] = {}
                 inside: dict[int, int] = {}
+                depths: dict[int, int] = {}
                 for n in nodes:
                     size = len(n.text)
                     for outer, inner in zip(n.containers, n.containers[1:], strict=False):
                         inside[inner] = outer
-                    for c in n.containers:
+                    for depth, c in enumerate(n.containers):
                         of = chars.setdefault(c, [0, 0])
                         of[0] += size
                         of[1] += size * n.link
+                        depths[c] = depth
                     if not n.out:
                         token = _text_token(n)
                         texts[token] = texts.get(token, 0) + 1
+                        plain[token] = plain.get(token, 0) + size * (not n.link)
                         inside[token] = n.containers[-1] if n.containers else 0
-                add(host, 0, 0, 0, 0, 0, 0)
+                add(host, 0, 0, 0, 0, sum(len(n.text) for n in nodes), sum(len(n.text) * n.link for n in nodes), 1, 0)
                 for token, n in counts.items():
-                    add(host, token, 1, inside.get(token, 0), xxhash.xxh3_64_intdigest(struct.pack("<QQ", page, n)), *chars.get(token, (0, 0)))
+                    print_ = xxhash.xxh3_64_intdigest(struct.pack("<QQ", page, n))
+                    add(host, token, 1, inside.get(token, 0), print_, *chars.get(token, (0, 0)), n, depths.get(token, 0))
                 for token, n in texts.items():
-                    add(host, token, 2, inside[token], xxhash.xxh3_64_intdigest(struct.pack("<QQ", page, n)), 0, 0)
-            keys, values = list(total), np.array(list(total.values()), np.int64).reshape(-1, 5)
+                    add(host, token, 2, inside[token], xxhash.xxh3_64_intdigest(struct.pack("<QQ", page, n)), plain[token], 0, n, 0)
+            keys, values = list(total), np.array(list(total.values()), np.int64).reshape(-1, 7)
             yield pa.RecordBatch.from_arrays(
                 [pa.array([k[0] for k in keys], pa.string()), pa.array([_signed(k[1]) for k in keys], pa.int64()),
-                 pa.array([k[2] for k in keys], pa.int32()), pa.array([_signed(k[3]) for k in keys], pa.int64()), *(pa.array(values[:, j]) for j in range(5))],
-                ["host", "token", "kind", "parent", "pages", "low", "high", "chars", "links"])
+                 pa.array([k[2] for k in keys], pa.int32()), pa.array([_signed(k[3]) for k in keys], pa.int64()), *(pa.array(values[:, j]) for j in range(6)),
+                 pa.array(values[:, 6].astype(np.int32))],
+                ["host", "token", "kind", "parent", "pages", "low", "high", "chars", "links", "times", "depth"])
 
     # An element without text is not known to stand in anything on that page.
     sums = [F.max_by("parent", F.when(F.col("parent") != 0, 1).otherwise(0)).alias("parent")]
-    sums += [F.sum(c).alias(c) for c in ("pages", "low", "high", "chars", "links")]
+    sums += [F.sum(c).alias(c) for c in ("pages", "low", "high", "chars", "links", "times")] + [F.max("depth").alias("depth")]
     return rows.mapInArrow(run, _STATS).groupBy("host", "token", "kind").agg(*sums)
 
 
-def deduce_templates(pages: DataFrame) -> DataFrame:
+def deduce_templates(pages: DataFrame, markup: bool = True) -> DataFrame:
     """Template tokens: host, token, kind, class (fingerprint of its vector),
     class_size, outer (the class that it stands in; null: none), valid, pages,
-    host_pages, dropped (holds no article text)."""
-    stats = stored(pages.sparkSession, token_statistics(pages), "page-tokens")
-    hosts = stats.where("kind = 0").select("host", F.col("pages").alias("host_pages"))
+    host_pages, dropped (holds no article text), and what the main slot is found
+    from: parent, depth, chars, links, whether an element is a slot."""
+    stats = stored(pages.sparkSession, token_statistics(pages, markup), "page-tokens")
+    hosts = stats.where("kind = 0").select(
+        "host", F.col("pages").alias("host_pages"), F.col("chars").alias("host_chars"), F.col("links").alias("host_links"))
     # Pages that all hold the same text nodes are copies: they tell no template.
     alike = stats.where("kind = 2").groupBy("host").agg(F.min("pages").alias("least"))
-    hosts = hosts.join(alike, "host", "left").select("host", "host_pages", F.coalesce(F.col("least") == F.col("host_pages"), F.lit(False)).alias("copies"))
+    hosts = hosts.join(alike, "host", "left").select("host", "host_pages", "host_chars", "host_links", F.coalesce(F.col("least") == F.col("host_pages"), F.lit(False)).alias("copies"))
     tokens = stats.where("kind <> 0 and pages >= 2").join(hosts, "host").where(F.col("pages") >= SUPPORT * F.col("host_pages"))
     tokens = tokens.withColumn("class", F.xxhash64("pages", "low", "high"))
     around = tokens.where("kind = 1").select("host", F.col("token").alias("parent"), F.col("class").alias("around"))
@@ -275,13 +304,43 @@ def deduce_templates(pages: DataFrame) -> DataFrame:
     often = (F.col("pages") >= CONSTANT * F.col("host_pages")) & (F.col("host_pages") >= LEAST_PAGES)
     with_tags = F.col("valid") & (F.col("tags") == 1) & (F.col("pages") >= LEAST_PAGES)
     linked = (F.col("kind") == 1) & (F.col("class_size") >= 2) & (F.col("links") > LINK_SHARE * F.col("chars")) & (F.col("chars") > 0)
+    once = (F.col("kind") == 1) & F.col("valid") & (F.col("times") == F.col("pages")) & (F.col("host_pages") >= LEAST_PAGES)
     return tokens.select(
         "host", "token", "kind", "class", "class_size", F.nullif("outer", F.lit(0)).alias("outer"), "valid", "pages", "host_pages",
+        (~F.col("copies") & once).alias("slot"), "parent", "depth", "chars", "links", "host_chars", "host_links",
         (~F.col("copies") & (((F.col("kind") == 2) & (often | with_tags)) | linked)).alias("dropped"))
 
 
-def extract(pages: DataFrame) -> DataFrame:
-    """One row per page: page_id, url, text, n_chars (code points).
+def main_slots(template: DataFrame) -> DataFrame:
+    """One row per host: its dropped tokens and the token of its main slot (null:
+    none).  A host's tokens are those that half of its pages hold, so they are at
+    most twice those of a page, whatever its pages."""
+
+    def choose(tokens: pd.DataFrame) -> pd.DataFrame:
+        parent = {r.token: r.parent for r in tokens.itertuples() if r.kind == 1}
+        rest = {r.token: r.links for r in tokens.itertuples() if r.kind == 1}  # constant or linked characters
+        whole = int(tokens["host_links"].iloc[0])
+        for r in tokens[(tokens["kind"] == 2) & tokens["dropped"]].itertuples():
+            whole += r.chars
+            at, seen = r.parent, set()
+            while at in parent and at not in seen:
+                seen.add(at)
+                rest[at] += r.chars
+                at = parent[at]
+        varying = int(tokens["host_chars"].iloc[0]) - whole
+        best = max(((r.chars - rest[r.token]) / max(varying, 1) - rest[r.token] / max(whole, 1), r.depth, r.token)
+                   for r in tokens.itertuples() if r.kind == 1 and r.slot) if tokens["slot"].any() else (0, 0, 0)
+        out = pd.DataFrame({"host": [tokens["host"].iloc[0]], "dropped": [sorted(tokens["token"][tokens["dropped"]])]})
+        return out.assign(slot=pd.array([best[2] if best[0] > 0 else None], dtype="Int64"))
+
+    columns = ("host", "token", "kind", "parent", "depth", "chars", "links", "slot", "dropped", "host_chars", "host_links")
+    needed = template.where("dropped or kind = 1").select(*columns)
+    return needed.groupBy("host").applyInPandas(choose, "host string, dropped array<long>, slot long")
+
+
+def extract(pages: DataFrame, markup: bool = True) -> DataFrame:
+    """One row per page: page_id, url, text, n_chars (code points); without
+    ``markup`` by the deduced template alone.
 
     Null or empty html, and a page of nothing but its host's template, give an
     empty text; a host whose pages are copies of one another keeps theirs; pages without a host form a group
@@ -289,23 +348,22 @@ def extract(pages: DataFrame) -> DataFrame:
     empty result; other columns are not read.
     """
     spark = pages.sparkSession
-    template = stored(spark, deduce_templates(pages), "page-templates").where("dropped")
-    # A host's template is bounded by the tokens of a page, not by its pages.
-    by_host = template.groupBy("host").agg(F.sort_array(F.collect_list("token")).alias("dropped"))
-    if template.count() <= BROADCAST_TOKENS:
+    template = stored(spark, deduce_templates(pages, markup), "page-templates")
+    by_host = main_slots(template)
+    if template.where("dropped").count() <= BROADCAST_TOKENS:
         by_host = F.broadcast(by_host)
     rows = pages.select("page_id", "url", "html", _host("url").alias("host")).join(by_host, "host", "left")
-    rows = rows.select("page_id", "url", "html", "dropped")
+    rows = rows.select("page_id", "url", "html", "dropped", "slot")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             sets: dict[tuple[int, ...], frozenset[int]] = {}
             texts = []
-            for html, dropped in zip(batch.column("html").to_pylist(), batch.column("dropped").to_pylist(), strict=True):
+            for html, dropped, slot in zip(*(batch.column(c).to_pylist() for c in ("html", "dropped", "slot")), strict=True):
                 key = tuple(dropped or ())
                 if key not in sets:
                     sets[key] = frozenset(t % (1 << 64) for t in key)
-                texts.append(main_text(html, sets[key]))
+                texts.append(main_text(html, sets[key], None if slot is None else slot % (1 << 64), markup))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())],
                 ["page_id", "url", "text", "n_chars"])

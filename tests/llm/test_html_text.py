@@ -116,3 +116,40 @@ def test_states_and_heads_do_not_hide_the_article():
     assert html_text.main_text(page) == "Title\nText"
     assert html_text.main_text("<main><header><h1>T</h1></header><p>x</p></main><p>y</p>") == "T\nx"
     assert html_text.main_text("<div class=header><p>S</p></div><div role=main><p>x</p></div>") == "x"
+
+
+def test_the_template_alone_finds_the_articles_of_the_table(spark):
+    """No tag, class or article element is consulted; every host of this table
+    has the pages that a template takes."""
+    df = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
+    source = {r.page_id: r for r in df.select("page_id", "html", html_text._host("url").alias("host")).collect()}
+    pages = {}
+    for r in source.values():
+        pages[r.host] = pages.get(r.host, 0) + 1
+    got = html_text.extract(df, markup=False).collect()
+    judged = [r for r in got if pages[source[r.page_id].host] >= html_text.LEAST_PAGES]
+    right = sum(r.text == article(source[r.page_id].html) for r in judged)
+    assert len(judged) >= 100 and right == len(judged), (right, len(judged))
+
+
+def test_slots_of_unmarked_layouts(spark):
+    """Menu, varying teasers and reader's notes around a plain container; a page
+    with an article element elsewhere still gives the host's slot."""
+    def page(i):
+        extra = f"<div class=qe><article>Teaser {i}</article></div>" if i == 3 else ""
+        return (f"<body><div class=qa><a href=/>Home</a> <a href=/{i}>Number {i} of today</a></div><div class=qb>{extra}"
+                f"<div class=qc><h2>Story {i}</h2><p>It was day {i}, and long.</p><p>So it went on, {i} times.</p></div></div>"
+                f"<div class=qd><a href=/{i}/x>More of {i}</a> Note {i}</div></body>")
+
+    rows = [(i, f"http://plain.example/{i}", page(i)) for i in range(12)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    want = {i: f"Story {i}\nIt was day {i}, and long.\nSo it went on, {i} times." for i in range(12)}
+    assert {r.page_id: r.text for r in html_text.extract(df, markup=False).collect()} == want
+    got = {r.page_id: r.text for r in html_text.extract(df).collect()}
+    assert got == want
+
+
+def test_few_pages_use_the_markup(spark):
+    html = "<body><p>Top</p><article><p>Text {0}</p></article></body>"
+    got = texts(spark, [(i, "http://two.example/", html.format(i)) for i in range(2)])
+    assert got == {0: "Text 0", 1: "Text 1"}
