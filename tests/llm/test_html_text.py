@@ -137,7 +137,7 @@ def test_slots_of_unmarked_layouts(spark):
     with an article element elsewhere still gives the host's slot."""
     def page(i):
         extra = f"<div class=qe><article>Teaser {i}</article></div>" if i == 3 else ""
-        return (f"<body><div class=qa><a href=/>Home</a> <a href=/{i}>Number {i} of today</a></div><div class=qb>{extra}"
+        return (f"<body><div class=qa><a href=/>Home</a> <a href=/{i}>Number {i} of today</a></div>{extra}<div class=qb>"
                 f"<div class=qc><h2>Story {i}</h2><p>It was day {i}, and long.</p><p>So it went on, {i} times.</p></div></div>"
                 f"<div class=qd><a href=/{i}/x>More of {i}</a> Note {i}</div></body>")
 
