@@ -8,9 +8,10 @@ from larder.functions.expressions import (
     regex_rule,
     substring_rule,
 )
-from larder.functions.sizing import estimated_bytes, join_small
+from larder.functions.sizing import dealt, estimated_bytes, join_small, task_count
 
 __all__ = [
+    "dealt",
     "estimated_bytes",
     "first_match",
     "guarded_ratio",
@@ -19,4 +20,5 @@ __all__ = [
     "lenient_long",
     "regex_rule",
     "substring_rule",
+    "task_count",
 ]

@@ -1,4 +1,4 @@
-"""Size-checked broadcast joins.
+"""Size-checked broadcast joins, and tasks by the rows of their input.
 
 A side is broadcast only when Catalyst's plan statistics, times ``DECODED``,
 are under a limit.  Without CBO a plan's statistic is at least that of its
@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # 64 MiB: far below executor memory, above any dimension of the retail shape
@@ -21,6 +21,8 @@ from pyspark.sql import functions as F
 DEFAULT_BROADCAST_LIMIT = 64 * 1024 * 1024
 # Times that rows in memory are larger than their compressed files.
 DECODED = 4
+# Rows that one task sorts, hashes or joins at a time.
+ROWS_PER_TASK = 300_000
 
 
 def estimated_bytes(df: DataFrame) -> int:
@@ -47,3 +49,20 @@ def join_small(
     size times ``DECODED`` is at most ``limit`` bytes."""
     right = F.broadcast(small) if estimated_bytes(small) * DECODED <= limit else small
     return big.join(right, on, how)
+
+
+def task_count(spark: SparkSession, rows: int, rows_per_task: int = ROWS_PER_TASK) -> int | None:
+    """Tasks for a step over ``rows`` rows; None where the planner's own
+    partitions, one for each core, hold no more rows than that.  At least the
+    session's shuffle partitions: a join of sides dealt over fewer would be
+    dealt over those instead."""
+    tasks = -(-rows // rows_per_task)
+    shuffled = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return max(tasks, shuffled) if tasks > min(spark.sparkContext.defaultParallelism, shuffled) else None
+
+
+def dealt(df: DataFrame, tasks: int | None, *keys: str) -> DataFrame:
+    """``df`` hash-partitioned on ``keys`` over ``tasks`` tasks, so that a
+    window, aggregate or join on them needs no other shuffle and a task's rows
+    do not grow with the input; ``df`` itself without a number."""
+    return df if tasks is None else df.repartition(tasks, *keys)

@@ -23,6 +23,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from larder.functions import dealt
 from larder.session import scratch_dir
 
 DEFAULT_HOT_ROWS = 2_000_000
@@ -30,9 +31,11 @@ SAMPLE_SHARE = 0.001
 MOST_HOT_KEYS = 10_000
 
 
-def _plain(df: DataFrame, group: Sequence[str], order: Sequence[Column], lag: Sequence[str]) -> DataFrame:
+def _plain(
+    df: DataFrame, group: Sequence[str], order: Sequence[Column], lag: Sequence[str], tasks: int | None
+) -> DataFrame:
     w = Window.partitionBy(*group).orderBy(*order)
-    return df.select(
+    return dealt(df, tasks, *group).select(
         "*",
         F.row_number().over(w).alias("_seq"),
         *[F.lag(c).over(w).alias(f"_prev_{c}") for c in lag],
@@ -87,6 +90,14 @@ def _split(
     )
 
 
+def hot_groups(df: DataFrame, group: Sequence[str], hot_rows: int = DEFAULT_HOT_ROWS, sample: float = SAMPLE_SHARE) -> DataFrame:
+    """Groups that a sample of the group columns finds to have more than ``hot_rows`` rows."""
+    # Group columns of a few rows only: no pass over the rows themselves.
+    sampled = df.select(*group) if hot_rows * sample < 1 else df.select(*group).sample(sample, seed=1)
+    counts = sampled.groupBy(*group).agg(F.count(F.lit(1)).alias("_n"))
+    return counts.filter(F.col("_n") > hot_rows * (1 if hot_rows * sample < 1 else sample)).select(*group)
+
+
 def sequence_within(
     df: DataFrame,
     group: Sequence[str],
@@ -95,18 +106,17 @@ def sequence_within(
     hot_rows: int = DEFAULT_HOT_ROWS,
     partitions: int | None = None,
     sample: float = SAMPLE_SHARE,
+    tasks: int | None = None,
 ) -> DataFrame:
     """Adds ``_seq`` (1-based position by ``order`` within ``group``),
     ``_prev_<c>`` (value of ``c`` on the previous row) for ``c`` in ``lag``,
-    and ``_is_last``.  ``order`` must be a total order within each group."""
+    and ``_is_last``.  ``order`` must be a total order within each group.
+    ``tasks``: how many the ordinary groups are dealt over (``task_count``)."""
     order_cols = [F.col(o) if isinstance(o, str) else o for o in order]
-    # Group columns of a few rows only: no pass over the rows themselves.
-    sampled = df.select(*group) if hot_rows * sample < 1 else df.select(*group).sample(sample, seed=1)
-    counts = sampled.groupBy(*group).agg(F.count(F.lit(1)).alias("_n"))
-    hot = counts.filter(F.col("_n") > hot_rows * (1 if hot_rows * sample < 1 else sample)).select(*group)
+    hot = hot_groups(df, group, hot_rows, sample)
     hot_keys = hot.limit(MOST_HOT_KEYS + 1).collect()
     if not hot_keys:
-        return _plain(df, group, order_cols, lag)
+        return _plain(df, group, order_cols, lag, tasks)
     known = df.sparkSession.createDataFrame(hot_keys, hot.schema)
     if len(hot_keys) <= MOST_HOT_KEYS:
         known = F.broadcast(known)
@@ -117,5 +127,5 @@ def sequence_within(
     normal = df.alias("_l").join(known.alias("_r"), condition, "left_anti")
     heavy = df.alias("_l").join(known.alias("_r"), condition, "left_semi")
     split = _split(heavy, group, order_cols, lag, partitions)
-    normal = _plain(normal, group, order_cols, lag)
+    normal = _plain(normal, group, order_cols, lag, tasks)
     return normal.unionByName(split.select(*normal.columns))

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from larder import constants as C
 from larder.operators import classify, gold, silver
-from larder.functions import estimated_bytes
+from larder.functions import estimated_bytes, task_count
 from larder.plans.layers import bucket_count, write_bucketed
 from larder.session import scratch_dir
 from larder.sources.fixture import (
@@ -89,7 +89,7 @@ class Lineage:
         build: Callable[[], DataFrame],
         partition_by: list[str] | None = None,
         bucket_by: str | None = None,
-        bucket_input: DataFrame | None = None,
+        buckets: int | None = None,
     ) -> DataFrame:
         if self._sink is not None:
             return self._sink(name, build)
@@ -102,8 +102,7 @@ class Lineage:
         # bucketed layout needs a catalog table (bucket metadata lives there)
         table = f"{SCRATCH_DB}.t_{self.root.rstrip('/').rsplit('/', 1)[-1]}_{name}"
         self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {SCRATCH_DB} LOCATION '{self.root}/_db'")
-        sized = None if bucket_input is None else bucket_count(self.spark, estimated_bytes(bucket_input))
-        write_bucketed(build(), table, path, bucket_by, buckets=sized)
+        write_bucketed(build(), table, path, bucket_by, buckets=buckets)
         # The plan keeps the bucket layout; the catalog entry is not needed any more.
         df = self.spark.table(table)
         self.spark.sql(f"DROP TABLE {table}")
@@ -185,16 +184,34 @@ class Lineage:
         """One typed row per order, written: the fact joins a plain scan of it."""
         return self._layer("fact_orders", lambda: silver.first_orders(self.raw.orders))
 
+    @cached_property
+    def _line_files(self) -> DataFrame:
+        return self.raw.order_products_prior.unionByName(self.raw.order_products_train)
+
+    @cached_property
+    def line_tasks(self) -> int | None:
+        """Tasks for a step over all order lines, from the rows of the line
+        files; None where the planner's own are enough."""
+        if self._sink is None and not self.materialize:
+            return None
+        return task_count(self.spark, self._line_files.count())
+
+    @cached_property
+    def fact_buckets(self) -> int:
+        """A bucket is one task of the pair join, so there are as many as tasks;
+        for few lines they follow from the real size of the line files."""
+        return self.line_tasks or bucket_count(self.spark, estimated_bytes(self._line_files))
+
     @cached_property
     def fact(self) -> DataFrame:
         r = self.raw
         return self._layer(
             "fact",
             lambda: silver.build_fact(
-                r.order_products_prior, r.order_products_train, self.fact_orders, self.dim_product_ai, orders_typed=True),
+                r.order_products_prior, r.order_products_train, self.fact_orders, self.dim_product_ai, orders_typed=True,
+                tasks=self.line_tasks),
             bucket_by="order_id",
-            # bucket count from the real size of the line files feeding the fact
-            bucket_input=r.order_products_prior.unionByName(r.order_products_train),
+            buckets=self.fact_buckets if self._sink is None and self.materialize else None,
         )
 
     @cached_property
@@ -209,11 +226,11 @@ class Lineage:
     # gold --------------------------------------------------------------------
     @cached_property
     def demand(self) -> DataFrame:
-        return self._layer("demand", lambda: gold.product_demand(self.fact, self.attributes))
+        return self._layer("demand", lambda: gold.product_demand(self.fact, self.attributes, tasks=self.line_tasks))
 
     @cached_property
     def reorder(self) -> DataFrame:
-        return self._layer("reorder", lambda: gold.reorder_metrics(self.fact, self.attributes))
+        return self._layer("reorder", lambda: gold.reorder_metrics(self.fact, self.attributes, tasks=self.line_tasks))
 
     @cached_property
     def latest_inventory(self) -> DataFrame:

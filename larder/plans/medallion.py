@@ -16,11 +16,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from larder import constants as C
-from larder.functions import estimated_bytes, expressions, sizing
+from larder.functions import expressions, sizing
 from larder.operators import classify, gold, sequence, silver
 from larder.operators.maintenance import maintain_tables
 from larder.plans import lineage
-from larder.plans.layers import bucket_count, create_layer_databases, table_location, write_layer, write_version
+from larder.plans.layers import create_layer_databases, table_location, write_layer, write_version
 from larder.plans.ledger import StepLedger, code_version, digest, run_steps
 from larder.sources import bronze, landing, rejected
 from larder.sources.fixture import RawTables
@@ -123,10 +123,7 @@ def run_layers(
         if step in table_of:
             layer, name = published[step]
             bucket = BUCKETED.get(step) if fmt == "parquet" else None
-            buckets = None
-            if bucket:  # size the buckets from the bronze line tables feeding the fact
-                lines = raw.order_products_prior.unionByName(raw.order_products_train)
-                buckets = bucket_count(spark, estimated_bytes(lines))
+            buckets = made.fact_buckets if bucket else None  # from the bronze line tables feeding the fact
             rows = write_layer(build(), table_of[step], f"{out_root}/{layer}/{name}", fmt, bucket_by=bucket, buckets=buckets)
             location = table_location(spark, table_of[step])
         else:  # working data of a step, not a published table

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from larder import constants as C
-from larder.functions import join_small
+from larder.functions import dealt, join_small
 from larder.operators import gold, maintenance, silver, validate
 from larder.operators.classify import classify_rules
 from larder.operators.label_model import fit_from_rules, model_table
@@ -314,7 +314,8 @@ def q_agg_sum_reordered(spark, sf_dir):
 
 
 def q_agg_distinct_customers(spark, sf_dir):
-    return _fact_lines(spark, sf_dir).groupBy("product_id").agg(
+    lines = dealt(_fact_lines(spark, sf_dir), _lin(spark, sf_dir).line_tasks, "product_id", "user_id")
+    return lines.groupBy("product_id").agg(
         F.count_distinct("user_id").alias("unique_customers"), F.count(F.lit(1)).alias("units"))
 
 

@@ -11,10 +11,11 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from larder import constants as C
+from larder.functions import dealt, task_count
 from larder.operators.sequence import sequence_within
 
 
@@ -72,8 +73,9 @@ def fixture_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     ``sequence_within`` (a plain window for ordinary customers; a customer
     with a huge history is split over several tasks).
     """
+    tasks = task_count(spark, _read(spark, sf_dir, "orders").count())
     o = _read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
-    seq = sequence_within(o, ["o_custkey"], ["o_orderdate", "o_orderkey"], lag=["o_orderdate"])
+    seq = sequence_within(o, ["o_custkey"], ["o_orderdate", "o_orderkey"], lag=["o_orderdate"], tasks=tasks)
     return seq.select(
         order_id_of("o_orderkey").alias("order_id"),
         F.col("o_custkey").alias("user_id"),
@@ -95,25 +97,29 @@ def fixture_order_lines(
 
     Cart positions come from ``sequence_within`` (hot orders are split).
     ``reordered`` compares with the user's first order of the
-    product, computed as an aggregate (map-side combined) joined back, so a
-    hot (user, product) group is split by AQE rather than sorted in one task.
+    product, a window over (user, product): the lines are joined and shuffled
+    once, where an aggregate joined back did both twice.  Lines without a user
+    or product have no such order and are left out.
     """
     li = _read(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_shipdate", "l_extendedprice"
     )
+    tasks = task_count(spark, li.count())
     carted = sequence_within(
-        li, ["l_orderkey"], ["l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_extendedprice"]
+        li, ["l_orderkey"], ["l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_extendedprice"], tasks=tasks
     )
     lines = carted.select(
         order_id_of("l_orderkey").alias("order_id"),
         product_of_part("l_partkey", modulus or product_modulus(spark, sf_dir)).cast("long").alias("product_id"),
         F.col("_seq").alias("add_to_cart_order"),
     )
-    with_orders = lines.join(orders.select("order_id", "user_id", "order_number", "eval_set"), "order_id")
-    first_seen = with_orders.groupBy("user_id", "product_id").agg(
-        F.min("order_number").alias("first_order_number")
+    o = orders.select("order_id", "user_id", "order_number", "eval_set").filter(F.col("user_id").isNotNull())
+    with_orders = dealt(lines.filter(F.col("product_id").isNotNull()), tasks, "order_id").join(dealt(o, tasks, "order_id"), "order_id")
+    w = Window.partitionBy("user_id", "product_id")
+    first_seen = dealt(with_orders, tasks, "user_id", "product_id").withColumn(
+        "first_order_number", F.min("order_number").over(w)
     )
-    return with_orders.join(first_seen, ["user_id", "product_id"]).select(
+    return first_seen.select(
         "order_id",
         "product_id",
         "add_to_cart_order",
