@@ -62,6 +62,27 @@ def test_buckets_follow_the_rows(spark, many):
     assert sum(per_file) == lines and max(per_file) < 3 * ROWS
 
 
+def test_pairs_dealt_before_counting(spark, lineage):
+    """More pairs than fit the planner's partitions are dealt by both ids, and only once counted."""
+    lines = gold.basket_lines(lineage.fact)
+    want = _rows(gold.co_purchase_counts(lines, 1))
+    got = gold.co_purchase_counts(lines, 1, pairs_per_task=100)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "REPARTITION_BY_NUM" in plan and "partial_count" in plan.split("REPARTITION_BY_NUM")[0]
+    assert _rows(got) == want
+    few_products = lines.where("product_id < 5")  # few possible pairs: counted per task as before
+    plan = gold.co_purchase_counts(few_products, 1, pairs_per_task=100)._jdf.queryExecution().executedPlan().toString()
+    assert "REPARTITION_BY_NUM" not in plan
+
+
+def test_pairs_of_no_lines_and_null_orders(spark):
+    none = spark.createDataFrame([], FACT_SCHEMA)
+    assert gold.co_purchase_counts(gold.basket_lines(none), 1).count() == 0
+    some = fact(spark, [(None, 1, p, 1) for p in range(5)] + [(1, 1, 1, 1), (1, 1, 2, 1)])
+    got = gold.co_purchase_counts(gold.basket_lines(some), 1, giant_basket=3)
+    assert _rows(got) == [(1, 1, 2)]
+
+
 def test_nulls_and_repeats_by_many_tasks(spark):
     rows = [(i % 7 or None, i % 5 or None, i % 3 or None, i % 4 or None, i % 2, i) for i in range(200)] * 2
     f = spark.createDataFrame(rows, FACT_SCHEMA)
