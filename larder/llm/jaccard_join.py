@@ -424,15 +424,17 @@ def _outside_against_members(buckets: DataFrame, sets: DataFrame, signed: DataFr
     rows = rows.withColumns({
         "nm": F.ceil(F.col("n") / BLOCK), "nr": F.ceil(F.col("n_out") / BLOCK), "out": F.col("comp") != F.col("lead_comp")})
     rows = rows.withColumns({"own_m": F.pmod(own, F.col("nm")), "own_r": F.pmod(F.shiftright(own, 20), F.col("nr"))})
-    base = ["path", "key", "comp"]
+    # Each row gets its set before it is copied to the tiles, so the join's rows
+    # grow with the buckets and not with their blocks.
+    rows = rows.join(lows, "key")
+    base = ["path", "key", "comp", "size", "s1", "s2", "low"]
     as_member = rows.select(*base, F.col("own_m").alias("mb"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("nr") - 1)).alias("rb"),
                             "out", "own_r").select(*base, "mb", "rb", F.lit(True).alias("as_m"), (F.col("out") & (F.col("rb") == F.col("own_r"))).alias("as_r"))
     # An outside member stands in its own tile already.
     as_outside = rows.where("out and nm > 1").select(
         *base, F.explode(F.sequence(F.lit(0).cast("long"), F.col("nm") - 1)).alias("mb"), F.col("own_r").alias("rb"), "own_m").where(
         "mb <> own_m").select(*base, "mb", "rb", F.lit(False).alias("as_m"), F.lit(True).alias("as_r"))
-    tiles = as_member.unionByName(as_outside).join(lows, "key")
-    tiles = tiles.select(*_TILE, "key", "comp", "size", "s1", "s2", "low", "as_m", "as_r")
+    tiles = as_member.unionByName(as_outside).select(*_TILE, "key", "comp", "size", "s1", "s2", "low", "as_m", "as_r")
     tiles = tiles.repartition(*_TILE).sortWithinPartitions(*_TILE)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -3,6 +3,7 @@
 import numpy as np
 import pytest
 from helpers_llm import docs, odd_rows, prose
+from pyspark.sql import functions as F
 
 from larder.llm import jaccard_join as j
 
@@ -189,3 +190,18 @@ def test_runs_reach_the_recall():
         other[swap] = j.mix64(np.arange(44, dtype=np.uint64) + np.uint64(10_000 * (i + 1)))
         hits += bool(np.intersect1d(j.leaves(tokens, j.runs_for(), 0.8), j.leaves(np.sort(other), j.runs_for(), 0.8)).size)
     assert hits >= 194
+
+
+def test_sets_are_joined_before_the_tiles(spark):
+    """A bucket of several blocks: its rows are joined with their sets once each, and copied to the tiles after that."""
+    n = 3 * j.BLOCK
+    rows = spark.range(n).select(F.col("id").alias("key"))
+    sets = rows.select("key", F.lit(5).alias("size"), F.lit(0).cast("long").alias("s1"), F.lit(0).cast("long").alias("s2"))
+    signed = rows.select("key", F.lit(5).alias("size"), F.unhex(F.lit("0100000002000000")).alias("low"))
+    buckets = rows.select(F.lit(1).cast("long").alias("path"), "key", F.col("key").alias("comp"), F.lit(0).cast("long").alias("lead_comp"))
+    found = j._outside_against_members(buckets, sets, signed, 0.8)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    above_copies = plan[:plan.index("Generate")]
+    assert "Join" not in above_copies
+    # All sets are the same: each is linked with one of another component, so that all are one.
+    assert found.count() >= n - 1
