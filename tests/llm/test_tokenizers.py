@@ -108,6 +108,29 @@ def test_word_encoder_equals_the_library(text):
     assert np.frombuffer(enc.encode(text), enc.dtype).tolist() == lib.encode(text, add_special_tokens=False).ids
 
 
+@settings(max_examples=200, deadline=None)
+@given(texts=st.lists(st.text(alphabet="stremvld'' é9.\n", max_size=12) | st.sampled_from([None, "中 12", "<|endoftext|>"]), max_size=8))
+def test_texts_are_cut_together(texts):
+    enc = token_file.WordEncoder.__new__(token_file.WordEncoder)
+    enc.__dict__ |= token_file.encoder(WORDS).__dict__ | {"known": {}}
+    asked = []
+    enc._encode_words = lambda words: asked.extend(words) or token_file.WordEncoder._encode_words(enc, words)
+    got = [np.frombuffer(b, enc.dtype).tolist() for b in enc.encode_many(texts)]
+    assert got == [enc.lib.encode(t or "", add_special_tokens=False).ids for t in texts]
+    # The library is given each pre-token once, not each run between white space.
+    assert len(asked) == len(set(asked)) and all(w.isalpha() or not any(c.isalpha() for c in w[1:]) or w[0] == "'" for w in asked)
+
+
+def test_texts_in_parts_and_a_full_table(monkeypatch):
+    monkeypatch.setattr(token_file, "CHARS_AT_ONCE", 20)
+    monkeypatch.setattr(token_file, "CACHE_WORDS", 5)
+    enc = token_file.WordEncoder(WORDS)
+    texts = ["we'll see, won't we?", "", "a b c d e f g h", None, "é" * 70 + " é", "we'll see"] * 2
+    got = [np.frombuffer(b, enc.dtype).tolist() for b in enc.encode_many(texts)]
+    assert got == [enc.lib.encode(t or "", add_special_tokens=False).ids for t in texts]
+    assert b"we" in enc.known and not any(len(w) > token_file.CACHE_WORD_CHARS for w in enc.known)
+
+
 @settings(max_examples=100, deadline=None)
 @given(counts=st.lists(st.integers(0, 10_000), min_size=1, max_size=40), limit=st.integers(6, 9))
 def test_code_lengths_are_a_complete_code_within_the_limit(counts, limit):
