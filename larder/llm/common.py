@@ -69,6 +69,7 @@ def rows_where(docs: DataFrame, judge: Callable[[], Callable[[list[str | None]],
 
     @F.arrow_udf("boolean")
     def decided(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        held_by("rows_where")
         keep = judge()
         for texts in batches:
             found: list[bool] = []
@@ -192,5 +193,18 @@ def write_manifest(uri: str, name: str, content: dict) -> str:
     return final
 
 
+_HELD: dict[str, dict] = {}
+
+
+def held_by(operator: str) -> dict:
+    """What a worker keeps from task to task for an operator, by key.  Asking
+    lets go of what other operators kept there, so that a worker that serves
+    them one after another has the memory of one."""
+    if operator not in _HELD:
+        _HELD.clear()
+        _HELD[operator] = {}
+    return _HELD[operator]
+
+
 def arrow_schema(ddl_fields: list[tuple[str, pa.DataType]]) -> pa.Schema:
     return pa.schema([pa.field(n, t) for n, t in ddl_fields])

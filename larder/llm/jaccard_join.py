@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from larder.llm.common import joined, mix64, slices, stored, text_chunks, word_hashes
+from larder.llm.common import held_by, joined, mix64, slices, stored, text_chunks, word_hashes
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -164,6 +164,7 @@ def _with_rid(docs: DataFrame) -> DataFrame:
 def _signatures(rows: DataFrame, similarity: float, runs: int) -> DataFrame:
     """rid and, of its set: fingerprint, size, sketch and leaves."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held_by("jaccard_join")
         for batch in slices(batches):
             prints, sketches, size, low, paths = [], [], [], [], []
             texts = [t.lower() if t else t for t in batch.column("text").to_pylist()]
@@ -205,6 +206,7 @@ def _texts_of(keys: DataFrame, rows: DataFrame, sets: DataFrame) -> DataFrame:
         ids = F.broadcast(ids)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held_by("jaccard_join")
         for batch in slices(batches):
             texts = [t.lower() if t else t for t in batch.column("text").to_pylist()]
             prints = [fingerprint(tokens) for _, chunk in text_chunks(texts) for tokens in shingle_sets(chunk)]
@@ -226,6 +228,7 @@ def _verify(pairs: DataFrame, rows: DataFrame, sets: DataFrame, similarity: floa
     both = both.join(texts.select(F.col("key").alias("b"), F.col("text").alias("tb")), "b").select("a", "b", "ta", "tb")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held_by("jaccard_join")
         for batch in slices(batches):
             for lo in range(0, batch.num_rows, 64):
                 part = batch.slice(lo, 64)
@@ -453,6 +456,7 @@ def _outside_against_members(buckets: DataFrame, sets: DataFrame, signed: DataFr
             pairs = np.unique(np.concatenate(found, axis=1), axis=1) if found else np.zeros((2, 0), np.int64)
             return pa.RecordBatch.from_arrays([pa.array(pairs[0], pa.int64()), pa.array(pairs[1], pa.int64())], ["a", "b"])
 
+        held_by("jaccard_join")
         for table in _whole_tiles(batches):
             yield links(table)
 

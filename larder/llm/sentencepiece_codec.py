@@ -22,7 +22,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from larder.llm.common import slices
+from larder.llm.common import held_by, slices
 from larder.llm.token_counts import SPACE, _model_proto, pretokens, splits_at_spaces
 
 # Remembered pre-tokens of a worker, in bytes; an entry costs about 160 bytes
@@ -256,14 +256,11 @@ class _Words(dict):
         return "".join([self.odd.get(w) or " " + w for w in words])[1:]
 
 
-_CODECS: dict[str, PieceCodec] = {}
-_WORDS: dict[str, _Words] = {}
-
-
 def codec(path: str) -> PieceCodec:
-    if path not in _CODECS:
-        _CODECS[path] = PieceCodec(path)
-    return _CODECS[path]
+    held = held_by("sentencepiece")
+    if path not in held:
+        held[path] = PieceCodec(path)
+    return held[path]
 
 
 def encode_texts(df: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text",
@@ -307,9 +304,9 @@ def round_trip_digests(df: DataFrame, model_path: str, id_col: str = "doc_id", t
     sha = hashlib.sha256
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        c = codec(model_path)
+        words = _Words(c)  # of the task: a worker that goes on to other steps keeps none
         for batch in slices(batches):
-            c = codec(model_path)
-            words = _WORDS.setdefault(model_path, _Words(c))
             n, of_ids, of_text = [], [], []
             for text in batch.column("text").to_pylist():
                 if text and c.split:

@@ -87,3 +87,19 @@ def test_odd_rows_through_the_last_stage(spark):
     out = dict(corpus_pipeline.STAGES)["sentencepiece"](spark, odd_table(spark), SF)
     assert out.count() == odd_table(spark).count()
     assert dict(corpus_pipeline.STAGES)["sentencepiece"](spark, odd_table(spark).limit(0), SF).collect() == []
+
+
+def test_a_worker_keeps_the_tables_of_one_operator(spark):
+    def run(batches):
+        import pyarrow as pa
+
+        from larder.llm import common, sentencepiece_codec
+
+        sentencepiece_codec.codec(PIECES)
+        assert sentencepiece_codec.codec(PIECES) is sentencepiece_codec.codec(PIECES)
+        common.held_by("jaccard_join")["x"] = 1
+        assert common.held_by("jaccard_join") == {"x": 1}
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([len(common._HELD)] * batch.num_rows, pa.int64())], ["n"])
+
+    assert spark.range(1).mapInArrow(run, "n long").collect()[0].n == 1
