@@ -32,10 +32,10 @@ MOST_HOT_KEYS = 10_000
 
 
 def _plain(
-    df: DataFrame, group: Sequence[str], order: Sequence[Column], lag: Sequence[str], tasks: int | None
+    df: DataFrame, group: Sequence[str], order: Sequence[Column], lag: Sequence[str], tasks: int | None, deal_by: Sequence[str]
 ) -> DataFrame:
     w = Window.partitionBy(*group).orderBy(*order)
-    return dealt(df, tasks, *group).select(
+    return dealt(df, tasks, *deal_by).select(
         "*",
         F.row_number().over(w).alias("_seq"),
         *[F.lag(c).over(w).alias(f"_prev_{c}") for c in lag],
@@ -107,16 +107,19 @@ def sequence_within(
     partitions: int | None = None,
     sample: float = SAMPLE_SHARE,
     tasks: int | None = None,
+    deal_by: Sequence[str] | None = None,
 ) -> DataFrame:
     """Adds ``_seq`` (1-based position by ``order`` within ``group``),
     ``_prev_<c>`` (value of ``c`` on the previous row) for ``c`` in ``lag``,
     and ``_is_last``.  ``order`` must be a total order within each group.
-    ``tasks``: how many the ordinary groups are dealt over (``task_count``)."""
+    ``tasks``: how many the ordinary groups are dealt over (``task_count``), by
+    the group or those columns of it that ``deal_by`` names."""
+    deal_by = deal_by or group
     order_cols = [F.col(o) if isinstance(o, str) else o for o in order]
     hot = hot_groups(df, group, hot_rows, sample)
     hot_keys = hot.limit(MOST_HOT_KEYS + 1).collect()
     if not hot_keys:
-        return _plain(df, group, order_cols, lag, tasks)
+        return _plain(df, group, order_cols, lag, tasks, deal_by)
     known = df.sparkSession.createDataFrame(hot_keys, hot.schema)
     if len(hot_keys) <= MOST_HOT_KEYS:
         known = F.broadcast(known)
@@ -127,5 +130,5 @@ def sequence_within(
     normal = df.alias("_l").join(known.alias("_r"), condition, "left_anti")
     heavy = df.alias("_l").join(known.alias("_r"), condition, "left_semi")
     split = _split(heavy, group, order_cols, lag, partitions)
-    normal = _plain(normal, group, order_cols, lag, tasks)
+    normal = _plain(normal, group, order_cols, lag, tasks, deal_by)
     return normal.unionByName(split.select(*normal.columns))

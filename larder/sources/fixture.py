@@ -95,26 +95,29 @@ def fixture_order_lines(
 ) -> DataFrame:
     """All order lines with cart position, reorder flag and their order's eval_set.
 
-    Cart positions come from ``sequence_within`` (hot orders are split).
+    Cart positions come from ``sequence_within`` (hot orders are split), dealt by
+    the order id that the join with the orders needs, so it shuffles no lines.
     ``reordered`` compares with the user's first order of the
     product, a window over (user, product): the lines are joined and shuffled
     once, where an aggregate joined back did both twice.  Lines without a user
     or product have no such order and are left out.
     """
     li = _read(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_shipdate", "l_extendedprice"
+        order_id_of("l_orderkey").alias("order_id"),
+        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_shipdate", "l_extendedprice",
     )
     tasks = task_count(spark, li.count())
     carted = sequence_within(
-        li, ["l_orderkey"], ["l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_extendedprice"], tasks=tasks
+        li, ["order_id", "l_orderkey"], ["l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_extendedprice"], tasks=tasks,
+        deal_by=["order_id"],
     )
     lines = carted.select(
-        order_id_of("l_orderkey").alias("order_id"),
+        "order_id",
         product_of_part("l_partkey", modulus or product_modulus(spark, sf_dir)).cast("long").alias("product_id"),
         F.col("_seq").alias("add_to_cart_order"),
     )
     o = orders.select("order_id", "user_id", "order_number", "eval_set").filter(F.col("user_id").isNotNull())
-    with_orders = dealt(lines.filter(F.col("product_id").isNotNull()), tasks, "order_id").join(dealt(o, tasks, "order_id"), "order_id")
+    with_orders = lines.filter(F.col("product_id").isNotNull()).join(dealt(o, tasks, "order_id"), "order_id")
     w = Window.partitionBy("user_id", "product_id")
     first_seen = dealt(with_orders, tasks, "user_id", "product_id").withColumn(
         "first_order_number", F.min("order_number").over(w)

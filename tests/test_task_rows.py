@@ -133,3 +133,15 @@ def test_a_hot_order_is_split_when_dealt(spark, tmp_path):
         for k in conf:
             spark.conf.unset(k)
     assert "skew=true" in text
+
+
+def test_lines_are_shuffled_twice(spark, many):
+    """By their order for the cart position and the join, then by user and product."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        lines = fixture.fixture_order_lines(spark, SF_SMALL, many.raw.orders)
+        plan = lines._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plan.count("Exchange hashpartitioning(order_id") == 2  # lines and orders
+    assert plan.count("Exchange hashpartitioning(user_id") == 1 and plan.count("Exchange") == 3
