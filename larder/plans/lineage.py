@@ -179,10 +179,17 @@ class Lineage:
         return self._layer(
             "quarantine_lines", lambda: silver.quarantine_order_lines(r.order_products_prior, r.order_products_train))
 
+    @cached_property
+    def order_tasks(self) -> int | None:
+        """Tasks for a step over all orders, as ``line_tasks``."""
+        if self._sink is None and not self.materialize:
+            return None
+        return task_count(self.spark, self.raw.orders.count())
+
     @cached_property
     def fact_orders(self) -> DataFrame:
         """One typed row per order, written: the fact joins a plain scan of it."""
-        return self._layer("fact_orders", lambda: silver.first_orders(self.raw.orders))
+        return self._layer("fact_orders", lambda: silver.first_orders(self.raw.orders, self.order_tasks))
 
     @cached_property
     def _line_files(self) -> DataFrame:

@@ -135,6 +135,16 @@ def test_a_hot_order_is_split_when_dealt(spark, tmp_path):
     assert "skew=true" in text
 
 
+def test_tasks_of_the_orders_follow_their_rows(many):
+    """The first of each order id is found in tasks of about ``ROWS`` orders."""
+    orders = many.fact_orders.count()
+    assert many.order_tasks == max(8, math.ceil(orders / ROWS))
+    per_file = [r["count"] for r in many.fact_orders.groupBy(F.input_file_name()).count().collect()]
+    assert sum(per_file) == orders and max(per_file) <= 2 * ROWS and len(per_file) >= many.order_tasks // 2
+    plan = silver.first_orders(many.raw.orders, many.order_tasks)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(order_id") == plan.count("Exchange") == 1
+
+
 def test_lines_are_shuffled_twice(spark, many):
     """By their order for the cart position and the join, then by user and product."""
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
