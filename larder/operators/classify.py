@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from larder import constants as C
-from larder.functions import join_small, regex_rule, substring_rule
+from larder.functions import dealt, join_small, regex_rule, substring_rule, task_count
 from larder.session import scratch_dir
 
 # --------------------------------------------------------------------------- J6
@@ -72,7 +72,9 @@ def classify_labels(
     tables (tasks) share one tokenisation and one idf; both are written once
     and read by all later steps.  The idf joins by a size-checked broadcast;
     beyond the limit both sides are plain shuffles of written tables, which
-    AQE can split where a token is hot.
+    AQE can split where a token is hot.  Many texts are dealt by id over as many
+    tasks as their rows and tokens need, which serves every aggregate, join and
+    window on the id.
     """
     spark = df.sparkSession
 
@@ -81,13 +83,15 @@ def classify_labels(
         frame.write.parquet(path)
         return spark.read.parquet(path)
 
-    tf = written(tokens(df, id_col, text_col).groupBy(id_col, "token").agg(F.count(F.lit(1)).alias("tf")), "tf")
-    n_docs = df.select(F.count(F.lit(1)).alias("n")).scalar()
+    n_docs = df.count()
+    texts = dealt(df.select(id_col, text_col), task_count(spark, n_docs), id_col)
+    tf = written(tokens(texts, id_col, text_col).groupBy(id_col, "token").agg(F.count(F.lit(1)).alias("tf")), "tf")
+    tasks = task_count(spark, tf.count())
     idf = written(tf.groupBy("token").agg(F.count(F.lit(1)).alias("df")).select(
-        "token", (F.log((F.lit(1) + n_docs) / (F.lit(1) + F.col("df"))) + F.lit(1.0)).alias("idf")
+        "token", (F.log(F.lit(1 + n_docs) / (F.lit(1) + F.col("df"))) + F.lit(1.0)).alias("idf")
     ), "idf")
     tf_idf = join_small(tf, idf, "token", "inner")
-    doc_norm = tf_idf.groupBy(id_col).agg(
+    doc_norm = dealt(tf_idf, tasks, id_col).groupBy(id_col).agg(
         F.sqrt(F.sum((F.col("tf") * F.col("idf")) ** 2)).alias("doc_norm")
     )
     # idf is unique per token, so the matched rows are bounded by the keyword
@@ -98,7 +102,7 @@ def classify_labels(
         *key, F.coalesce(F.col("idf"), F.lit(1.0)).alias("kw_idf")
     )
     label_norm = kw.groupBy("task", "label").agg(F.sqrt(F.sum(F.col("kw_idf") ** 2)).alias("label_norm"))
-    hits = tf_idf.join(F.broadcast(kw), F.col("token") == F.col("keyword"))
+    hits = dealt(tf_idf.join(F.broadcast(kw), F.col("token") == F.col("keyword")), tasks, id_col)
     scores = (
         hits.groupBy(id_col, "task", "label", "pos")
         .agg(F.sum(F.col("tf") * F.col("kw_idf") * F.col("kw_idf")).alias("dot"))
@@ -116,26 +120,27 @@ def classify_labels(
 # --------------------------------------------------------------------------- J7
 
 
+def named_products(dim_product: DataFrame) -> DataFrame:
+    """All products with a name (one without has no text to label)."""
+    return dim_product.select("product_id", "product_name", "aisle", "department").filter(F.col("product_name").isNotNull())
+
+
 def sample_products(dim_product: DataFrame, sample_size: int = C.MODEL_SAMPLE_SIZE) -> DataFrame:
-    """The ``sample_size`` lowest product ids with a name (a top-k by design)."""
-    return (
-        dim_product.select("product_id", "product_name", "aisle", "department")
-        .filter(F.col("product_name").isNotNull())
-        .orderBy("product_id")
-        .limit(sample_size)
-    )
+    """The ``sample_size`` lowest product ids with a name (a top-k by design,
+    for the overlay alone)."""
+    return named_products(dim_product).orderBy("product_id").limit(sample_size)
 
 
-def model_labels(spark: SparkSession, sample: DataFrame, default: str = "other", models: Mapping | None = None) -> DataFrame:
-    """Theme and demand type for the sample by the keyword scorer (one pass
-    for both label tables); no keyword hit gives ``default``.
+def model_labels(spark: SparkSession, products: DataFrame, default: str = "other", models: Mapping | None = None) -> DataFrame:
+    """Theme and demand type for each of ``products`` by the keyword scorer (one
+    pass for both label tables); no keyword hit gives ``default``.
 
     ``models`` ({column: model}, see ``label_model``) labels the names instead;
     the method recorded is then the models' name."""
     if models is not None:
         from larder.operators.label_model import model_table
 
-        return model_table(sample, models, default=default).select(
+        return model_table(products, models, default=default).select(
             "product_id", "ai_product_theme", "ai_demand_type",
             F.lit("+".join(dict.fromkeys(m.name for m in models.values()))).alias("classification_method"),
             F.current_timestamp().alias("ai_classified_ts"))
@@ -146,12 +151,12 @@ def model_labels(spark: SparkSession, sample: DataFrame, default: str = "other",
             "ai_demand_type": (C.DEMAND_KEYWORDS, C.DEMAND_TYPES),
         },
     )
-    best = classify_labels(sample, "product_id", "product_name", kw)
+    best = classify_labels(products, "product_id", "product_name", kw)
     wide = best.groupBy("product_id").agg(
         *[F.max(F.when(F.col("task") == t, F.col("label"))).alias(t) for t in ("ai_product_theme", "ai_demand_type")]
     )
     return (
-        sample.select("product_id")
+        products.select("product_id")
         .join(wide, "product_id", "left")
         .select(
             "product_id",

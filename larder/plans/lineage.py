@@ -165,6 +165,12 @@ class Lineage:
     def model_labels(self) -> DataFrame:
         return self._layer("model_labels", lambda: classify.model_labels(self.spark, self.sample))
 
+    @cached_property
+    def product_labels(self) -> DataFrame:
+        """The scorer's labels of every product with a name, not the sample alone."""
+        return self._layer(
+            "product_labels", lambda: classify.model_labels(self.spark, classify.named_products(self.dim_product)))
+
     @cached_property
     def dim_product_ai(self) -> DataFrame:
         return self._layer("dim_product_ai", lambda: classify.classify_overlay(self.dim_product, self.model_labels))

@@ -399,6 +399,15 @@ CTES: dict[str, str] = {
         GROUP BY ALL HAVING count(DISTINCT a.order_id) >= {C.MIN_CO_PURCHASE}""",
 }
 
+# classify_labels scores every product with a name: the CTEs above with ``named`` in place of the sample.
+NAMED_CTES: dict[str, str] = {
+    "named" if name == "sample" else name: re.sub(r"\bsample\b", "named", sql) for name, sql in CTES.items()
+} | {
+    "named": """
+        SELECT product_id, product_name, aisle, department FROM dim_product
+        WHERE product_name IS NOT NULL""",
+}
+
 _FACT_ALL = "SELECT * FROM fact"
 
 FINAL: dict[str, str] = {
@@ -621,29 +630,29 @@ UNION ALL SELECT '{C.QUERY_ABSENT_TABLE}', NULL, 'ERROR: missing'
 UNION ALL SELECT '{C.QUERY_UNREADABLE_TABLE}', NULL, 'ERROR: unreadable'"""
 
 
-def _deps(sql: str) -> list[str]:
-    return [name for name in CTES if re.search(rf"\b{name}\b", sql)]
+def _deps(sql: str, ctes: dict[str, str]) -> list[str]:
+    return [name for name in ctes if re.search(rf"\b{name}\b", sql)]
 
 
-def with_ctes(final: str) -> str:
+def with_ctes(final: str, ctes: dict[str, str] = CTES) -> str:
     """Prefix ``final`` with the CTEs it needs, in dependency order."""
     order: list[str] = []
 
     def visit(name: str, stack: tuple[str, ...] = ()) -> None:
         if name in order:
             return
-        for dep in _deps(CTES[name]):
+        for dep in _deps(ctes[name], ctes):
             if dep != name and dep not in stack:
                 visit(dep, stack + (name,))
         order.append(name)
 
-    for name in _deps(final):
+    for name in _deps(final, ctes):
         visit(name)
     if not order:
         return final.strip()
-    body = ",\n".join(f"{n} AS ({CTES[n].strip()})" for n in order)
+    body = ",\n".join(f"{n} AS ({ctes[n].strip()})" for n in order)
     return f"WITH {body}\n{final.strip()}"
 
 
 def oracle_queries() -> dict[str, str]:
-    return {name: with_ctes(sql) for name, sql in FINAL.items()}
+    return {name: with_ctes(sql, NAMED_CTES if name == "classify_labels" else CTES) for name, sql in FINAL.items()}

@@ -401,7 +401,7 @@ QUERIES: dict[str, Query] = {
     "rule_product_theme": q_rule_product_theme,
     "rule_demand_type": q_rule_demand_type,
     "topk_sample_products": _from("sample"),
-    "classify_labels": _from("model_labels"),
+    "classify_labels": _from("product_labels"),
     "classify_labels_fitted": q_classify_labels_fitted,
     "classify_overlay": _from("dim_product_ai", "product_id", "ai_product_theme", "ai_demand_type",
                               "classification_method"),
